@@ -39,8 +39,8 @@ _FACT = f"""
 """
 
 # Strict "exactly one JSON object" test on a text expression ``{t}``.
-_IS_OBJ = ("COALESCE(starts_with({t}, '{{') AND ends_with({t}, '}}') AND json_valid({t}) "
-           "AND json_type({t}) = 'OBJECT', false)")
+_IS_OBJ = ("COALESCE(CASE WHEN starts_with({t}, '{{') AND ends_with({t}, '}}') AND json_valid({t}) "
+           "THEN json_type({t}) = 'OBJECT' ELSE false END, false)")
 
 
 def _is_obj(t: str) -> str:
@@ -61,7 +61,7 @@ def _match(text: str, tokens: list[str]) -> str:
 
 def _highlight(text: str, tokens: list[str]) -> str:
     return (f"array_to_string(list_transform(regexp_extract_all({text}, {_RUNS}), "
-            f"x -> CASE WHEN list_contains({_sql_list(tokens)}, lower(x)) "
+            f"lambda x: CASE WHEN list_contains({_sql_list(tokens)}, lower(x)) "
             f"THEN '<em>' || x || '</em>' ELSE x END), '')")
 
 
