@@ -9,6 +9,7 @@ from driftlog.operators.offsets import (latest_offsets, ledger_rows, offset_rang
                                         starting_offsets_json)
 from driftlog.operators.project import (decode_fact, project_doc, project_fact, project_visitor,
                                         rows_to_json, with_doc_id, with_event_day)
+from driftlog.operators.parallel import spread
 from driftlog.operators.search import search, term_filter
 
 __all__ = [
@@ -18,5 +19,5 @@ __all__ = [
     "latest_offsets", "ledger_rows", "offset_ranges", "resume_from", "starting_offsets_json",
     "decode_fact", "project_doc", "project_fact", "project_visitor", "rows_to_json",
     "with_doc_id", "with_event_day",
-    "search", "term_filter",
+    "search", "term_filter", "spread",
 ]

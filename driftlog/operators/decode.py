@@ -116,6 +116,6 @@ def split_valid(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
 
     flag = "_is_object"
     tagged = df.withColumn(flag, is_json_object(F.col(col)))
-    valid = tagged.where(F.col(flag)).drop(flag)
-    bad = tagged.where(~F.col(flag)).drop(flag).withColumn(REASON, F.lit("not_json_object"))
+    valid = keep_where(tagged, F.col(flag), df.columns)
+    bad = keep_where(tagged, ~F.col(flag), [*df.columns, F.lit("not_json_object").alias(REASON)])
     return valid, bad

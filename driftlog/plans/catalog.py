@@ -19,11 +19,13 @@ from driftlog.functions.time import instant_to_wall
 from driftlog.functions.url import decode_args, query_string
 from driftlog.operators.decode import REASON, decode_records
 from driftlog.operators.dedup import daily_first_seen, latest_documents
+from driftlog.operators.parallel import spread
 from driftlog.operators.offsets import latest_offsets, ledger_rows, offset_ranges, resume_from
 from driftlog.operators.project import (decode_fact, project_doc, project_visitor, rows_to_json,
                                         with_doc_id, with_event_day)
 from driftlog.operators.search import search
 from driftlog.session import scratch_path
+from driftlog.streaming.sinks import read_store
 from driftlog.sources.records import records_from_events, visitor_events
 from driftlog.sources.tables import read_table
 
@@ -34,7 +36,11 @@ SEARCH_QUERY = "whst erth"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events")
+    return spread(read_table(spark, sf_dir, "events"))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_table(spark, sf_dir, "documents"))
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +79,7 @@ def _texts(spark, sf_dir) -> DataFrame:
     parts = [
         _events(spark, sf_dir).select(F.lit("events").alias("source"),
                                       F.col("event_id").alias("id"), F.col("props").alias("text")),
-        read_table(spark, sf_dir, "documents").select(F.lit("documents").alias("source"),
+        _documents(spark, sf_dir).select(F.lit("documents").alias("source"),
                                                       F.col("doc_id").alias("id"), "text"),
         read_table(spark, sf_dir, "conversations").select(
             F.lit("conversations").alias("source"),
@@ -102,7 +108,7 @@ def _mixed_records(spark, sf_dir) -> DataFrame:
     (missing when the URL has none), which is not a JSON payload.
     """
     good_recs = _records(spark, sf_dir).select(F.lit("events").alias("source"), "value")
-    docs = read_table(spark, sf_dir, "documents").select(F.lit("documents").alias("source"),
+    docs = _documents(spark, sf_dir).select(F.lit("documents").alias("source"),
                                                          F.col("text").alias("value"))
     conv = read_table(spark, sf_dir, "conversations").select(
         F.lit("conversations").alias("source"),
@@ -178,14 +184,14 @@ def q_rows_to_json(spark, sf_dir):
 
 
 def q_search_topk(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     res = search(docs, "text", SEARCH_QUERY, filters={"lang": "en"}, sort="n_chars",
                  id_col="doc_id", size=20, offset=0, highlight=True)
     return res.select("doc_id", "lang", "source", "n_chars", "text_highlight")
 
 
 def q_search_page(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     res = search(docs, "text", "ing", filters={"source": "src3"}, sort="n_chars",
                  descending=False, id_col="doc_id", size=10, offset=5, highlight=False)
     return res.select("doc_id", "source", "n_chars")
@@ -209,7 +215,7 @@ def q_daily_first_seen_stream(spark, sf_dir):
     base = _stream_dir(spark, "daily-visitors")
     stream = visitor_events(table_stream(spark, sf_dir, "events"))
     daily_visitors(stream, f"{base}/out", f"{base}/ckpt", available_now=True).awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("dt", "mid")
+    return read_store(spark, f"{base}/out").select("dt", "mid")
 
 
 def _records_at_rest(spark, sf_dir, base: str) -> str:
@@ -227,7 +233,7 @@ def q_flatten_append_stream(spark, sf_dir):
     src = file_records(spark, _records_at_rest(spark, sf_dir, base), stream=True)
     flatten_append(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
                    quarantine_path=f"{base}/bad", available_now=True).awaitTermination()
-    return spark.read.parquet(f"{base}/docs").select(*S.DOC6_COLUMNS)
+    return read_store(spark, f"{base}/docs").select(*S.DOC6_COLUMNS)
 
 
 def q_flatten_upsert_stream(spark, sf_dir):
@@ -238,7 +244,7 @@ def q_flatten_upsert_stream(spark, sf_dir):
     src = file_records(spark, _records_at_rest(spark, sf_dir, base), stream=True)
     flatten_upsert(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
                    available_now=True).awaitTermination()
-    docs = latest_documents(spark.read.parquet(f"{base}/docs"), "doc_id")
+    docs = latest_documents(read_store(spark, f"{base}/docs"), "doc_id")
     return docs.select("doc_id", "uid", "oid", "et", "timestamp")
 
 
@@ -251,7 +257,7 @@ def q_ledger_stream(spark, sf_dir):
                        max_files_per_trigger=1)
     flatten_append(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
                    available_now=True).awaitTermination()
-    latest = latest_offsets(spark.read.parquet(f"{base}/ledger"))
+    latest = latest_offsets(read_store(spark, f"{base}/ledger"))
     return latest.select("group", "topic", "partition", "until_offset")
 
 

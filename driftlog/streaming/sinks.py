@@ -89,3 +89,21 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, key_col: str | None = No
                 .option("checkpointLocation", checkpoint))
     out.write.format("kafka").options(**opts).save()
     return None
+
+
+# Partition columns the sinks write, with the type they had before writing.
+STORE_PARTITION_TYPES = {"dt": "string", "batch_id": "long"}
+
+
+def read_store(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """Read a store written by these sinks.
+
+    Partition discovery would turn a ``dt`` folder value into a date; cast
+    the sinks' partition columns back to their written types. Filters on
+    them still prune folders.
+    """
+    df = spark.read.format(fmt).load(path)
+    for c, t in STORE_PARTITION_TYPES.items():
+        if c in df.columns:
+            df = df.withColumn(c, F.col(c).cast(t))
+    return df
