@@ -25,7 +25,7 @@ from driftlog.operators.project import (decode_fact, project_doc, project_visito
                                         with_doc_id, with_event_day)
 from driftlog.operators.search import search
 from driftlog.session import scratch_path
-from driftlog.streaming.sinks import read_store
+from driftlog.streaming.sinks import read_store, with_write_metrics
 from driftlog.sources.records import records_from_events, visitor_events
 from driftlog.sources.tables import read_table
 
@@ -198,7 +198,10 @@ def q_search_page(spark, sf_dir):
 
 
 def q_write_metrics(spark, sf_dir):
+    """Documents written per bulk (one bulk per topic-partition), plus the running
+    ``written`` metric observed on the way (read it from the Observation)."""
     fact = decode_fact(_records(spark, sf_dir), keep=("topic", "partition"))
+    fact, _obs = with_write_metrics(fact)
     return fact.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("written"))
 
 

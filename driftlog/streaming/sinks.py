@@ -107,3 +107,29 @@ def read_store(spark, path: str, fmt: str = "parquet") -> DataFrame:
         if c in df.columns:
             df = df.withColumn(c, F.col(c).cast(t))
     return df
+
+
+def search_index_options(nodes: str, index: str, id_col: str | None = None,
+                         batch_entries: int = 5000, batch_bytes: str = "2.5mb",
+                         refresh: bool = False, auto_create: bool = True) -> dict[str, str]:
+    """Options for the Elasticsearch Spark SQL connector (``org.elasticsearch.spark.sql``).
+
+    ``id_col`` maps a column to the document id, so a replayed write
+    replaces instead of duplicating. The connector jar is not bundled.
+    """
+    opts = {"es.nodes": nodes, "es.resource": index,
+            "es.batch.size.entries": str(batch_entries), "es.batch.size.bytes": batch_bytes,
+            "es.batch.write.refresh": str(refresh).lower(),
+            "es.index.auto.create": str(auto_create).lower()}
+    if id_col:
+        opts["es.mapping.id"] = id_col
+        opts["es.write.operation"] = "upsert"
+    return opts
+
+
+def write_search_index(df: DataFrame, nodes: str, index: str, id_col: str | None = None,
+                       **kwargs) -> None:
+    """Write a (micro-)batch to a search index through the connector."""
+    (df.write.format("org.elasticsearch.spark.sql")
+       .options(**search_index_options(nodes, index, id_col, **kwargs))
+       .mode("append").save())

@@ -44,3 +44,24 @@ def test_kafka_frame_key_value(spark):
     df = spark.createDataFrame([(1, "a")], "id long, v string")
     [r] = kafka_frame(df, key_col="id").collect()
     assert r.key == "1" and json.loads(r.value) == {"id": 1, "v": "a"}
+
+
+def test_search_index_options():
+    from driftlog.streaming.sinks import search_index_options
+    o = search_index_options("es1.example.com:9200", "docs", id_col="doc_id")
+    assert o["es.mapping.id"] == "doc_id" and o["es.write.operation"] == "upsert"
+    assert o["es.batch.size.entries"] == "5000" and o["es.batch.size.bytes"] == "2.5mb"
+    assert "es.mapping.id" not in search_index_options("n:9200", "docs")
+
+
+def test_progress_offsets_kafka_and_files():
+    from driftlog.streaming.progress import progress_offsets
+    prog = {"sources": [
+        {"description": "KafkaV2[Subscribe[logs]]",
+         "startOffset": '{"logs":{"0":10,"1":4}}', "endOffset": '{"logs":{"0":25,"1":9}}'},
+        {"description": "FileStreamSource[x]", "startOffset": None, "endOffset": {"logOffset": 0}},
+    ]}
+    got = progress_offsets(prog)
+    assert {(g["partition"], g["start"], g["end"]) for g in got if g["topic"]} == \
+        {(0, 10, 25), (1, 4, 9)}
+    assert any(g["topic"] is None for g in got)
