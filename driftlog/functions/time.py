@@ -1,10 +1,25 @@
-"""Event-time functions that do not depend on the session time zone."""
+"""Event-time functions that never depend on the session or JVM time zone.
+
+Wall times are ``timestamp_ntz``; instants are ``timestamp``. Spark casts a
+``timestamp_ntz`` through the session zone in ``date_format`` and
+``timestamp_diff``, which is off by an hour around that zone's DST changes,
+so conversions here use date/field arithmetic and string casts instead.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+_US_PER_DAY = 86_400_000_000
+
+
+def _wall_micros(wall: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a wall time, zone-free."""
+    day = F.unix_date(wall.cast("date")).cast("long")
+    sec = F.date_part(F.lit("SECOND"), wall)  # seconds with microsecond fraction
+    return (day * _US_PER_DAY + F.hour(wall).cast("long") * 3_600_000_000
+            + F.minute(wall).cast("long") * 60_000_000 + F.floor(sec * 1_000_000).cast("long"))
 
 
 def millis_to_wall(ts_millis: Column, tz: str = "UTC") -> Column:
@@ -15,28 +30,42 @@ def millis_to_wall(ts_millis: Column, tz: str = "UTC") -> Column:
 
 def wall_to_millis(ts_ntz: Column) -> Column:
     """UTC wall time (``timestamp_ntz``) -> epoch milliseconds, truncated."""
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH_NTZ), ts_ntz)
+    return F.floor(_wall_micros(ts_ntz) / 1000).cast("long")
 
 
-def day_text(wall: Column) -> Column:
-    return F.date_format(wall, "yyyy-MM-dd")
+def wall_to_instant(ts_ntz: Column) -> Column:
+    """UTC wall time (``timestamp_ntz``) -> instant (``timestamp``)."""
+    return F.timestamp_micros(_wall_micros(ts_ntz))
 
 
-def hour_text(wall: Column) -> Column:
-    return F.date_format(wall, "HH")
+def instant_to_wall(ts: Column, tz: str = "UTC") -> Column:
+    """Instant (``timestamp``) -> local wall time in ``tz``."""
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.expr(_EPOCH_NTZ))
+    return utc if tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
-def iso_text(wall: Column, offset: str = "+00:00") -> Column:
-    """ISO-8601 text with microseconds and a fixed offset suffix."""
-    return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(offset))
+def _text(wall: Column) -> Column:
+    # 'yyyy-MM-dd HH:mm:ss[.ffffff]'; casting a wall time to text uses no zone
+    return wall.cast("string")
 
 
-def wall_to_instant(ts_ntz: Column) -> Column:
-    """UTC wall time (``timestamp_ntz``) -> instant (``timestamp``), session-independent."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts_ntz))
+def day_text(wall: Column) -> Column:
+    """``yyyy-MM-dd`` of a wall time."""
+    return F.substring(_text(wall), 1, 10)
 
 
-def instant_to_wall(ts: Column, tz: str = "UTC") -> Column:
-    """Instant (``timestamp``) -> local wall time in ``tz``, session-independent."""
-    utc = F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.expr(_EPOCH_NTZ))
-    return utc if tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+def hour_text(wall: Column) -> Column:
+    """``HH`` of a wall time."""
+    return F.substring(_text(wall), 12, 2)
+
+
+def day_number(wall: Column) -> Column:
+    """``yyyyMMdd`` of a wall time as a number."""
+    return F.regexp_replace(day_text(wall), "-", "").cast("long")
+
+
+def iso_text(wall: Column, offset: str = "+00:00") -> Column:
+    """ISO-8601 text with microseconds and a fixed offset suffix."""
+    micros = (F.floor(F.date_part(F.lit("SECOND"), wall) * 1_000_000) % 1_000_000).cast("string")
+    return F.concat(day_text(wall), F.lit("T"), F.substring(_text(wall), 12, 8), F.lit("."),
+                    F.lpad(micros, 6, "0"), F.lit(offset))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driftlog import schemas as S
 from driftlog.functions.json import object_check, parse_object
-from driftlog.functions.time import instant_to_wall
+from driftlog.functions.time import day_number, instant_to_wall
 from driftlog.functions.url import decode_args, query_string
 from driftlog.operators.decode import REASON, decode_records
 from driftlog.operators.dedup import daily_first_seen, latest_documents
@@ -49,7 +49,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _batch_of(ts_col: str = "timestamp"):
     """Micro-batch id of a record in the ledger scenarios: its UTC event day."""
-    return F.date_format(instant_to_wall(F.col(ts_col)), "yyyyMMdd").cast("long")
+    return day_number(instant_to_wall(F.col(ts_col)))
 
 
 def q_decode_fact(spark, sf_dir):
@@ -212,13 +212,14 @@ def _stream_dir(spark, name: str) -> str:
 
 
 def q_daily_first_seen_stream(spark, sf_dir):
-    from driftlog.streaming.jobs import daily_visitors
+    from driftlog.streaming.jobs import daily_visitors, read_visitors
     from driftlog.sources.records import table_stream
 
     base = _stream_dir(spark, "daily-visitors")
     stream = visitor_events(table_stream(spark, sf_dir, "events"))
-    daily_visitors(stream, f"{base}/out", f"{base}/ckpt", available_now=True).awaitTermination()
-    return read_store(spark, f"{base}/out").select("dt", "mid")
+    daily_visitors(stream, f"{base}/out", f"{base}/ckpt", tie_col="event_id",
+                   available_now=True).awaitTermination()
+    return read_visitors(spark, f"{base}/out")
 
 
 def _records_at_rest(spark, sf_dir, base: str) -> str:

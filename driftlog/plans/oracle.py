@@ -223,9 +223,7 @@ SQL["write_metrics"] = f"""
 SELECT topic, "partition", COUNT(*) AS written FROM ({_RECORDS}) GROUP BY ALL
 """
 
-SQL["daily_first_seen_stream"] = """
-SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt, CAST(user_id AS VARCHAR) AS mid FROM events
-"""
+SQL["daily_first_seen_stream"] = SQL["visitor_record"]
 
 SQL["flatten_append_stream"] = f"""
 SELECT oid, b, "catId", chl, cu, en FROM ({_FACT})

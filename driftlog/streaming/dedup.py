@@ -1,22 +1,35 @@
 """First event per (day, visitor) on a stream.
 
-State is Spark's state store, keyed by ``(dt, id)``, one entry per visitor
-and day. An entry is dropped once the event-time watermark has moved
-``lateness`` past the first event of its key; an event later than the
-watermark is dropped, not counted as a new visitor. Which of two events of
-the same key that arrive in the same micro-batch is kept is not defined;
-the batch form (``operators.dedup.daily_first_seen``) is the deterministic
-one.
+A streaming aggregation, not a streaming dedup: ``min`` of a struct led by
+``(ts, tie)`` per ``(day, id)``. Streaming aggregations combine on the map
+side before the state-store shuffle, so a visitor that sends a third of all
+events still leaves each map task as one row per micro-batch (a
+``dropDuplicates`` would ship every one of its rows to a single task).
+
+The struct also carries the micro-batch time (``current_timestamp()`` is
+fixed per micro-batch and replayed with it), so each batch emits only the
+keys whose earliest event was set in that batch: new visitors, or a
+visitor whose late-arriving event is earlier than the one already stored.
+Stores read the current view with ``current_first_seen`` (latest batch per
+key), which then equals the batch operator ``daily_first_seen`` exactly.
+
+State is keyed by the day; the watermark is on the day's start instant, so
+a day's keys are evicted once the watermark passes ``lateness`` beyond it.
+Events older than the watermark are dropped, not counted as new visitors.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from driftlog.functions.time import wall_to_instant
+from driftlog.operators.dedup import pick_per_key
 from driftlog.operators.project import with_event_day
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+OUTPUT_MODE = "update"
+
+_DAY, _PICK, _SEEN, _ROW = "_day", "_pick", "_seen_at", "_row"
 
 
 def use_rocksdb_state(spark) -> None:
@@ -26,17 +39,38 @@ def use_rocksdb_state(spark) -> None:
         spark.conf.set(key, ROCKSDB)
 
 
-def daily_first_seen_stream(df: DataFrame, id_col: str, ts_col: str = "ts", tz: str = "UTC",
-                            millis: bool = True, lateness: str = "1 day") -> DataFrame:
-    """Streaming first-seen filter; adds ``dt`` and ``hr``."""
+def day_start(dt: Column, tz: str = "UTC") -> Column:
+    """Instant at which local day ``dt`` (``yyyy-MM-dd``) starts in ``tz``."""
+    wall = F.to_timestamp_ntz(dt, F.lit("yyyy-MM-dd"))
+    utc = wall if tz == "UTC" else F.convert_timezone(F.lit(tz), F.lit("UTC"), wall)
+    return wall_to_instant(utc)
+
+
+def daily_first_seen_stream(df: DataFrame, id_col: str, ts_col: str = "ts",
+                            tie_col: str | None = None, tz: str = "UTC", millis: bool = True,
+                            lateness: str = "1 day") -> DataFrame:
+    """Streaming first-seen per (``dt``, ``id_col``); adds ``dt`` and ``hr``.
+
+    Write it with output mode ``update`` (the jobs do). Output columns are
+    the input's plus ``dt`` and ``hr``, in the batch operator's order.
+    """
     dated = with_event_day(df, ts_col, tz, millis)
-    if millis:
-        event_time = F.timestamp_millis(F.col(ts_col))
-    elif df.schema[ts_col].dataType.typeName() == "timestamp":
-        event_time = F.col(ts_col)
-    else:
-        event_time = wall_to_instant(F.col(ts_col))
-    dated = dated.withColumn("_event_time", event_time)
-    return (dated.withWatermark("_event_time", lateness)
-            .dropDuplicatesWithinWatermark(["dt", id_col])
-            .drop("_event_time"))
+    out_cols = dated.columns
+    rest = [c for c in out_cols if c not in ("dt", id_col)]
+    order = [ts_col] + ([tie_col] if tie_col else [c for c in rest if c != ts_col])
+    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                      F.col(_SEEN), F.struct(*rest).alias(_ROW))
+    agg = (dated.withColumn(_DAY, day_start(F.col("dt"), tz))
+           .withColumn(_SEEN, F.current_timestamp())  # the micro-batch time
+           .withWatermark(_DAY, lateness)
+           .groupBy(_DAY, "dt", id_col)
+           .agg(F.min(packed).alias(_PICK)))
+    changed = agg.where(F.col(f"{_PICK}.{_SEEN}") == F.current_timestamp())
+    by_name = {"dt": F.col("dt"), id_col: F.col(id_col)}
+    by_name.update({c: F.col(f"{_PICK}.{_ROW}.{c}").alias(c) for c in rest})
+    return changed.select(*[by_name[c] for c in out_cols])
+
+
+def current_first_seen(store: DataFrame, id_col: str) -> DataFrame:
+    """Current first-seen view of a store written batch by batch (latest batch per key)."""
+    return pick_per_key(store, ["dt", id_col], ["batch_id"], last=True)

@@ -24,16 +24,19 @@ from driftlog import schemas as S
 from driftlog.operators.decode import INTERNAL, REASON, decode_records
 from driftlog.operators.offsets import offset_ranges
 from driftlog.operators.project import fact_columns, project_visitor, with_doc_id
-from driftlog.streaming.dedup import daily_first_seen_stream
-from driftlog.streaming.sinks import append_documents, append_offsets, upsert_documents
+from driftlog.streaming.dedup import OUTPUT_MODE as STREAM_DEDUP_MODE
+from driftlog.streaming.dedup import current_first_seen, daily_first_seen_stream
+from driftlog.streaming.sinks import append_documents, append_offsets, read_store, upsert_documents
 
 DEFAULT_GROUP = "tracking-etl"
 SOURCE_COLS = ["topic", "partition", "offset"]
 
 
 def _start(df: DataFrame, handle, checkpoint: str, trigger_seconds: float,
-           available_now: bool, query_name: str | None) -> StreamingQuery:
-    w = df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+           available_now: bool, query_name: str | None,
+           output_mode: str = "append") -> StreamingQuery:
+    w = (df.writeStream.foreachBatch(handle).outputMode(output_mode)
+         .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if available_now else \
@@ -99,15 +102,18 @@ def flatten_upsert(records: DataFrame, out_path: str, checkpoint: str,
 
 
 def daily_visitors(events: DataFrame, out_path: str, checkpoint: str, tz: str = "UTC",
-                   lateness: str = "1 day", trigger_seconds: float = 3.0,
-                   available_now: bool = False, query_name: str | None = None) -> StreamingQuery:
-    """Visitor events ``(ts millis, common{...})`` -> one visitor record per (day, mid).
+                   lateness: str = "1 day", tie_col: str | None = None,
+                   trigger_seconds: float = 3.0, available_now: bool = False,
+                   query_name: str | None = None) -> StreamingQuery:
+    """Visitor events ``(ts millis, common{...})`` -> visitor record per (day, mid).
 
-    Output is partitioned by ``dt`` (then ``batch_id``), so a day's readers
-    prune to that day's files.
+    Each batch appends the keys first seen (or seen earlier) in it; read the
+    store with ``read_visitors``. Output is partitioned by ``dt`` (then
+    ``batch_id``), so a day's readers prune to that day's files.
     """
     ev = events.withColumn("mid", F.col("common.mid"))
-    firsts = project_visitor(daily_first_seen_stream(ev, "mid", "ts", tz=tz, lateness=lateness))
+    firsts = project_visitor(daily_first_seen_stream(ev, "mid", "ts", tie_col=tie_col, tz=tz,
+                                                     lateness=lateness))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -117,7 +123,13 @@ def daily_visitors(events: DataFrame, out_path: str, checkpoint: str, tz: str =
         finally:
             b.unpersist()
 
-    return _start(firsts, handle, checkpoint, trigger_seconds, available_now, query_name)
+    return _start(firsts, handle, checkpoint, trigger_seconds, available_now, query_name,
+                  output_mode=STREAM_DEDUP_MODE)
+
+
+def read_visitors(spark, path: str) -> DataFrame:
+    """Current visitor records of a ``daily_visitors`` store, one per (dt, mid)."""
+    return current_first_seen(read_store(spark, path), "mid").select(*S.VISITOR_COLUMNS)
 
 
-__all__ = ["flatten_append", "flatten_upsert", "daily_visitors", "INTERNAL"]
+__all__ = ["flatten_append", "flatten_upsert", "daily_visitors", "read_visitors", "INTERNAL"]
