@@ -222,10 +222,18 @@ def q_daily_first_seen_stream(spark, sf_dir):
     return read_visitors(spark, f"{base}/out")
 
 
-def _records_at_rest(spark, sf_dir, base: str) -> str:
-    """Write the derived records as files: the offline stand-in for a topic."""
+def _records_at_rest(spark, sf_dir, base: str, file_per_partition: bool = False) -> str:
+    """Write the derived records as files: the offline stand-in for a topic.
+
+    ``file_per_partition`` puts each topic-partition in one file, so that
+    micro-batches of one file each see every partition's offsets in order
+    (as a topic delivers them); otherwise files are written as the data lies.
+    """
     path = f"{base}/records"
-    _records(spark, sf_dir).repartition(4, "partition").write.parquet(path)
+    recs = _records(spark, sf_dir)
+    if file_per_partition:
+        recs = recs.repartition("partition")
+    recs.write.parquet(path)
     return path
 
 
@@ -257,8 +265,8 @@ def q_ledger_stream(spark, sf_dir):
     from driftlog.streaming.jobs import flatten_append
 
     base = _stream_dir(spark, "ledger")
-    src = file_records(spark, _records_at_rest(spark, sf_dir, base), stream=True,
-                       max_files_per_trigger=1)
+    src = file_records(spark, _records_at_rest(spark, sf_dir, base, file_per_partition=True),
+                       stream=True, max_files_per_trigger=1)
     flatten_append(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
                    available_now=True).awaitTermination()
     latest = latest_offsets(read_store(spark, f"{base}/ledger"))

@@ -45,9 +45,11 @@ def _start(df: DataFrame, handle, checkpoint: str, trigger_seconds: float,
 
 
 def _decoded_batch(batch: DataFrame, mode: str) -> DataFrame:
-    """Source columns, raw value, reason and the 19 fact columns, computed once."""
+    """Source columns, reason, the 19 fact columns and (for bad records only)
+    the raw value: what the batch's writes need, computed once."""
     dec = decode_records(batch, mode=mode)
-    return dec.select(*SOURCE_COLS, "value", REASON, *fact_columns())
+    raw = F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value")
+    return dec.select(*SOURCE_COLS, raw, REASON, *fact_columns())
 
 
 def _process(batch: DataFrame, batch_id: int, mode: str, write_good, quarantine_path: str | None,
