@@ -6,7 +6,7 @@ from driftlog.operators.decode import (access_log_columns, decode_args, decode_e
                                        split_valid)
 from driftlog.operators.dedup import daily_first_seen, latest_documents, pick_per_key
 from driftlog.operators.offsets import (latest_offsets, ledger_rows, offset_ranges, resume_from,
-                                        starting_offsets_json)
+                                        seed_offsets, starting_offsets_json)
 from driftlog.operators.project import (decode_fact, project_doc, project_fact, project_visitor,
                                         rows_to_json, with_doc_id, with_event_day)
 from driftlog.operators.parallel import spread
@@ -16,7 +16,8 @@ __all__ = [
     "access_log_columns", "decode_args", "decode_envelope", "decode_payload", "decode_records",
     "good", "quarantined", "split_valid",
     "daily_first_seen", "latest_documents", "pick_per_key",
-    "latest_offsets", "ledger_rows", "offset_ranges", "resume_from", "starting_offsets_json",
+    "latest_offsets", "ledger_rows", "offset_ranges", "resume_from", "seed_offsets",
+    "starting_offsets_json",
     "decode_fact", "project_doc", "project_fact", "project_visitor", "rows_to_json",
     "with_doc_id", "with_event_day",
     "search", "term_filter", "spread",

@@ -87,3 +87,20 @@ def starting_offsets_json(saved: DataFrame, offset_col: str = "until_offset",
 
 
 LEDGER_SCHEMA = S.LEDGER
+
+
+def seed_offsets(spark, ledger_path: str, group: str, topic: str) -> str:
+    """``startingOffsets`` for a new query: the ledger's next offsets, else ``earliest``.
+
+    Only a query without a checkpoint uses this; a restarted query resumes
+    from its checkpoint. Reads one row per partition of ``topic``.
+    """
+    from pyspark.errors import AnalysisException
+
+    try:
+        ledger = spark.read.parquet(ledger_path)
+    except AnalysisException:  # no ledger yet
+        return "earliest"
+    saved = latest_offsets(ledger.where((F.col("group") == group) & (F.col("topic") == topic)))
+    spec = starting_offsets_json(saved)
+    return "earliest" if spec == "{}" else spec

@@ -60,3 +60,26 @@ def test_resume_broadcasts_only_a_bounded_side(spark):
 def test_starting_offsets_json(spark):
     saved = spark.createDataFrame([("t", 0, 7), ("t", 1, 10)], "topic string, partition int, until_offset long")
     assert json.loads(starting_offsets_json(saved)) == {"t": {"0": 7, "1": 10}}
+
+
+def test_seed_offsets_from_ledger_or_earliest(spark, tmp_dir):
+    from driftlog.operators.offsets import seed_offsets
+    from driftlog.streaming.sinks import append_offsets
+
+    path = f"{tmp_dir}/ledger"
+    assert seed_offsets(spark, path, "g", "t") == "earliest"
+    recs = _records(spark, {0: range(5), 1: range(3)})
+    append_offsets(offset_ranges(recs), 0, path, "g")
+    assert json.loads(seed_offsets(spark, path, "g", "t")) == {"t": {"0": 5, "1": 3}}
+    assert seed_offsets(spark, path, "other-group", "t") == "earliest"
+
+
+def test_spread_only_when_under_partitioned(spark):
+    from driftlog.operators.parallel import spread
+
+    one = spark.range(0, 100, numPartitions=1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(0, 100, numPartitions=6)
+    out = spread(many, 4)
+    assert out.rdd.getNumPartitions() == 6
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
