@@ -1,7 +1,8 @@
 """DataFrame -> DataFrame operators; each works on batch and streaming input
 unless its docstring says otherwise."""
 
-from driftlog.operators.decode import (access_log_columns, decode_args, decode_envelope,
+from driftlog.operators.decode import (access_log_columns, access_log_fields, decode_args,
+                                       decode_envelope,
                                        decode_payload, decode_records, good, quarantined,
                                        split_valid)
 from driftlog.operators.dedup import daily_first_seen, latest_documents, pick_per_key
@@ -13,7 +14,7 @@ from driftlog.operators.parallel import spread
 from driftlog.operators.search import search, term_filter
 
 __all__ = [
-    "access_log_columns", "decode_args", "decode_envelope", "decode_payload", "decode_records",
+    "access_log_columns", "access_log_fields", "decode_args", "decode_envelope", "decode_payload", "decode_records",
     "good", "quarantined", "split_valid",
     "daily_first_seen", "latest_documents", "pick_per_key",
     "latest_offsets", "ledger_rows", "offset_ranges", "resume_from", "seed_offsets",

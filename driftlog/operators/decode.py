@@ -68,6 +68,9 @@ def decode_records(df: DataFrame, value_col: str = "value", mode: str = "permiss
     a payload without ``d`` is good and its ``d`` columns are null.
     ``failfast``: the first bad record, a bad URL escape, or a payload
     without ``d`` fails the query.
+
+    Split the result with ``good`` / ``quarantined`` / ``project_fact`` (or
+    persist it first), not with ``where`` on ``reason``: see ``keep_where``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -81,6 +84,13 @@ def decode_records(df: DataFrame, value_col: str = "value", mode: str = "permiss
     return out.withColumn(REASON, reason)
 
 
+def access_log_fields(decoded: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """The line fields the jobs read (``timestamp, client_ip, domain, args``) of good records."""
+    line = F.col(LINE)
+    return keep_where(decoded, F.col(REASON).isNull(),
+                      [*keep, *[line[c].alias(c) for c in S.LINE_READ_FIELDS]])
+
+
 def keep_where(df: DataFrame, cond: Column, cols: list[Column | str]) -> DataFrame:
     """Rows where ``cond`` holds, projected to ``cols``, without a pushable filter.
 

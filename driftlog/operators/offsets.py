@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from driftlog import schemas as S
 
 # The saved-offsets side of ``resume_from`` holds one row per topic-partition.
 # Broadcast it only up to this many rows; beyond, use a shuffle join.
@@ -86,8 +85,6 @@ def starting_offsets_json(saved: DataFrame, offset_col: str = "until_offset",
     return json.dumps(spec, sort_keys=True)
 
 
-LEDGER_SCHEMA = S.LEDGER
-
 
 def seed_offsets(spark, ledger_path: str, group: str, topic: str) -> str:
     """``startingOffsets`` for a new query: the ledger's next offsets, else ``earliest``.

@@ -12,9 +12,10 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from driftlog import schemas as S
-from driftlog.functions.json import object_check, parse_object
+from driftlog.functions.json import is_json_object, object_check, parse_object
 from driftlog.functions.time import day_number, instant_to_wall
 from driftlog.functions.url import decode_args, query_string
 from driftlog.operators.decode import REASON, decode_records
@@ -26,7 +27,9 @@ from driftlog.operators.project import (decode_fact, project_doc, project_visito
 from driftlog.operators.search import search
 from driftlog.session import scratch_path
 from driftlog.streaming.sinks import read_store, with_write_metrics
-from driftlog.sources.records import records_from_events, visitor_events
+from driftlog.sources.records import (file_records, records_from_events, table_stream,
+                                      visitor_events)
+from driftlog.streaming.jobs import daily_visitors, flatten_append, flatten_upsert, read_visitors
 from driftlog.sources.tables import read_table
 
 GROUP = "tracking-etl"
@@ -63,7 +66,7 @@ def q_doc_projection(spark, sf_dir):
 
 def q_json_props(spark, sf_dir):
     ev = _events(spark, sf_dir).select("event_id", "props")
-    parsed = parse_object(F.col("props"), S.T.StructType([S.T.StructField("k", S.T.StringType())]))
+    parsed = parse_object(F.col("props"), T.StructType([T.StructField("k", T.StringType())]))
     return ev.select("event_id", parsed["k"].alias("k"),
                      object_check(F.col("props"), parsed).alias("is_object"))
 
@@ -95,7 +98,6 @@ def _texts(spark, sf_dir) -> DataFrame:
 
 
 def q_valid_split(spark, sf_dir):
-    from driftlog.functions.json import is_json_object
     return _texts(spark, sf_dir).select("source", "id", is_json_object(F.col("text")).alias("is_object"))
 
 
@@ -212,9 +214,6 @@ def _stream_dir(spark, name: str) -> str:
 
 
 def q_daily_first_seen_stream(spark, sf_dir):
-    from driftlog.streaming.jobs import daily_visitors, read_visitors
-    from driftlog.sources.records import table_stream
-
     base = _stream_dir(spark, "daily-visitors")
     stream = visitor_events(table_stream(spark, sf_dir, "events"))
     daily_visitors(stream, f"{base}/out", f"{base}/ckpt", tie_col="event_id",
@@ -238,9 +237,6 @@ def _records_at_rest(spark, sf_dir, base: str, file_per_partition: bool = False)
 
 
 def q_flatten_append_stream(spark, sf_dir):
-    from driftlog.sources.records import file_records
-    from driftlog.streaming.jobs import flatten_append
-
     base = _stream_dir(spark, "flatten-append")
     src = file_records(spark, _records_at_rest(spark, sf_dir, base), stream=True)
     flatten_append(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
@@ -249,9 +245,6 @@ def q_flatten_append_stream(spark, sf_dir):
 
 
 def q_flatten_upsert_stream(spark, sf_dir):
-    from driftlog.sources.records import file_records
-    from driftlog.streaming.jobs import flatten_upsert
-
     base = _stream_dir(spark, "flatten-upsert")
     src = file_records(spark, _records_at_rest(spark, sf_dir, base), stream=True)
     flatten_upsert(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
@@ -261,9 +254,6 @@ def q_flatten_upsert_stream(spark, sf_dir):
 
 
 def q_ledger_stream(spark, sf_dir):
-    from driftlog.sources.records import file_records
-    from driftlog.streaming.jobs import flatten_append
-
     base = _stream_dir(spark, "ledger")
     src = file_records(spark, _records_at_rest(spark, sf_dir, base, file_per_partition=True),
                        stream=True, max_files_per_trigger=1)

@@ -27,7 +27,7 @@ def _money(c: Column) -> Column:
     return c.cast("decimal(18,2)").cast("string")
 
 
-def payload_struct(ev: DataFrame | None = None) -> Column:
+def payload_struct() -> Column:
     """Tracking payload for an ``events`` row (before URL encoding)."""
     uid = F.col("user_id").cast("string")
     d = F.struct(

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftlog import schemas as S
-from driftlog.operators.decode import INTERNAL, REASON, decode_records
+from driftlog.operators.decode import REASON, decode_records
 from driftlog.operators.offsets import offset_ranges
 from driftlog.operators.project import fact_columns, project_visitor, with_doc_id
 from driftlog.streaming.dedup import OUTPUT_MODE as STREAM_DEDUP_MODE
@@ -134,4 +134,4 @@ def read_visitors(spark, path: str) -> DataFrame:
     return current_first_seen(read_store(spark, path), "mid").select(*S.VISITOR_COLUMNS)
 
 
-__all__ = ["flatten_append", "flatten_upsert", "daily_visitors", "read_visitors", "INTERNAL"]
+__all__ = ["flatten_append", "flatten_upsert", "daily_visitors", "read_visitors"]

@@ -2,7 +2,6 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from driftlog import schemas as S
 from driftlog.operators.decode import decode_records, quarantined, split_valid
