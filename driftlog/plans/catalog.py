@@ -65,10 +65,11 @@ def q_doc_projection(spark, sf_dir):
 
 
 def q_json_props(spark, sf_dir):
-    ev = _events(spark, sf_dir).select("event_id", "props")
-    parsed = parse_object(F.col("props"), T.StructType([T.StructField("k", T.StringType())]))
-    return ev.select("event_id", parsed["k"].alias("k"),
-                     object_check(F.col("props"), parsed).alias("is_object"))
+    schema = T.StructType([T.StructField("k", T.StringType())])
+    ev = (_events(spark, sf_dir).select("event_id", "props")
+          .withColumn("_p", parse_object(F.col("props"), schema)))  # parsed once, used twice
+    return ev.select("event_id", F.col("_p")["k"].alias("k"),
+                     object_check(F.col("props"), F.col("_p")).alias("is_object"))
 
 
 def q_url_args(spark, sf_dir):
@@ -83,7 +84,7 @@ def _texts(spark, sf_dir) -> DataFrame:
         _events(spark, sf_dir).select(F.lit("events").alias("source"),
                                       F.col("event_id").alias("id"), F.col("props").alias("text")),
         _documents(spark, sf_dir).select(F.lit("documents").alias("source"),
-                                                      F.col("doc_id").alias("id"), "text"),
+                                         F.col("doc_id").alias("id"), "text"),
         read_table(spark, sf_dir, "conversations").select(
             F.lit("conversations").alias("source"),
             (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text"),
@@ -98,7 +99,8 @@ def _texts(spark, sf_dir) -> DataFrame:
 
 
 def q_valid_split(spark, sf_dir):
-    return _texts(spark, sf_dir).select("source", "id", is_json_object(F.col("text")).alias("is_object"))
+    return _texts(spark, sf_dir).select("source", "id",
+                                        is_json_object(F.col("text")).alias("is_object"))
 
 
 def _mixed_records(spark, sf_dir) -> DataFrame:
@@ -111,7 +113,7 @@ def _mixed_records(spark, sf_dir) -> DataFrame:
     """
     good_recs = _records(spark, sf_dir).select(F.lit("events").alias("source"), "value")
     docs = _documents(spark, sf_dir).select(F.lit("documents").alias("source"),
-                                                         F.col("text").alias("value"))
+                                            F.col("text").alias("value"))
     conv = read_table(spark, sf_dir, "conversations").select(
         F.lit("conversations").alias("source"),
         F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value"))
