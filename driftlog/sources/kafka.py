@@ -53,9 +53,17 @@ def kafka_options(servers: str, topic: str, group: str | None = None,
 def kafka_records(spark: SparkSession, servers: str, topic: str, stream: bool = True,
                   **kwargs) -> DataFrame:
     """Records ``(topic, partition, offset, timestamp, key, value)`` with text key/value."""
+    from pyspark.errors import AnalysisException
+
     opts = kafka_options(servers, topic, **kwargs)
     reader = spark.readStream if stream else spark.read
-    df = reader.format("kafka").options(**opts).load()
+    try:
+        df = reader.format("kafka").options(**opts).load()
+    except AnalysisException as e:
+        if "kafka" in str(e).lower() and "data source" in str(e).lower():
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka package on the "
+                               "classpath (spark.jars.packages); offline, use file_records") from e
+        raise
     return df.select("topic", "partition", "offset", "timestamp",
                      F.col("key").cast("string").alias("key"),
                      F.col("value").cast("string").alias("value"))
