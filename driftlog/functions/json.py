@@ -36,18 +36,29 @@ def object_check(text: Column | str, parsed: Column) -> Column:
 
     The text must be non-empty, start with ``{`` and end with ``}``, parse
     without landing in the corrupt column, and hold exactly one top-level
-    value (this rejects ``{"a":1} x}`` and ``{"a":1},{"b":2}``, which the
-    parse alone accepts). Known hole: ``{} ] [ {}`` is accepted. Never null.
+    value. The parse alone stops after the first value and ignores the
+    rest, so the count is taken as an array: ``[t]`` must hold one element
+    (rejects ``{"a":1} x}`` and ``{"a":1},{"b":2}``). That count also stops
+    at the first closing bracket, so a text with a top-level ``]``
+    (``{} ] [ {}``) would pass; for a text containing ``]``, ``[t,t]`` must
+    then hold two elements, which only a single complete value gives.
+    Never null.
     """
     t = _col(text)
+
+    def _count(*parts: Column) -> Column:
+        return F.json_array_length(F.concat(F.lit("["), *parts, F.lit("]")))
+
     # A text that starts with '{' and ends with '}' always parses to a
     # non-null struct, so the parse is referenced once, after the cheap
-    # character tests (And short-circuits).
+    # character tests (And short-circuits). The doubled count runs only on
+    # texts holding a ']'.
     return F.coalesce(
         t.startswith("{")
         & t.endswith("}")
         & parsed.getField(CORRUPT).isNull()
-        & (F.json_array_length(F.concat(F.lit("["), t, F.lit("]"))) == 1),
+        & (_count(t) == 1)
+        & (~t.contains("]") | (_count(t, F.lit(","), t) == 2)),
         F.lit(False),
     )
 

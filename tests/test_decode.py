@@ -133,11 +133,12 @@ def test_failfast_passes_good_records(spark):
 
 
 def test_split_valid_table(spark):
-    """FLT-1 on the survey's edge rows, including the documented hole."""
+    """FLT-1 on the survey's edge rows, plus texts closing the array count early."""
     cases = [('{"a":1}', True), ('{"a":1} trailing}', False), ('{"a":1},{"b":2}', False),
              ("{'a':1}", False), ("[1]", False), ("{a:1}", False), ('{"a":1,}', False),
              ('{"a":1', False), ("", False), (None, False), ('{"a":"1","a":"2"}', True),
-             ("{} ] [ {}", True)]
+             ("{} ] [ {}", False), ("{},{}] {}", False), ("{} ] ] {}", False),
+             ('{"a":"x]"} ]{}', False), ('{"a":[1,2],"b":"]"}', True), ('{"a":{"b":[{}]}}', True)]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "id int, t string")
     valid, bad = split_valid(df, "t")
     got_valid = {r.id for r in valid.collect()}
