@@ -33,10 +33,18 @@ _DAY, _PICK, _SEEN, _ROW = "_day", "_pick", "_seen_at", "_row"
 
 
 def use_rocksdb_state(spark) -> None:
-    """Keep large key sets off the JVM heap (only if no provider is configured)."""
+    """Keep large key sets off the JVM heap (only if no provider is configured).
+
+    With RocksDB, changelog checkpointing (unless set otherwise) uploads
+    only each batch's changes to the checkpoint instead of a full snapshot.
+    """
     key = "spark.sql.streaming.stateStore.providerClass"
     if not spark.conf.get(key, None):
         spark.conf.set(key, ROCKSDB)
+        changelog = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+        if spark.conf.get(changelog, None) in (None, "false") and \
+                not spark.sparkContext.getConf().contains(changelog):
+            spark.conf.set(changelog, "true")
 
 
 def day_start(dt: Column, tz: str = "UTC") -> Column:

@@ -25,7 +25,7 @@ from driftlog.operators.decode import REASON, decode_records
 from driftlog.operators.offsets import offset_ranges
 from driftlog.operators.project import fact_columns, project_visitor, with_doc_id
 from driftlog.streaming.dedup import OUTPUT_MODE as STREAM_DEDUP_MODE
-from driftlog.streaming.dedup import current_first_seen, daily_first_seen_stream
+from driftlog.streaming.dedup import current_first_seen, daily_first_seen_stream, use_rocksdb_state
 from driftlog.streaming.sinks import append_documents, append_offsets, read_store, upsert_documents
 
 DEFAULT_GROUP = "tracking-etl"
@@ -106,13 +106,21 @@ def flatten_upsert(records: DataFrame, out_path: str, checkpoint: str,
 def daily_visitors(events: DataFrame, out_path: str, checkpoint: str, tz: str = "UTC",
                    lateness: str = "1 day", tie_col: str | None = None,
                    trigger_seconds: float = 3.0, available_now: bool = False,
-                   query_name: str | None = None) -> StreamingQuery:
+                   query_name: str | None = None, rocksdb: bool = True) -> StreamingQuery:
     """Visitor events ``(ts millis, common{...})`` -> visitor record per (day, mid).
 
     Each batch appends the keys first seen (or seen earlier) in it; read the
     store with ``read_visitors``. Output is partitioned by ``dt`` (then
     ``batch_id``), so a day's readers prune to that day's files.
+
+    The state holds one row per (day, visitor) for up to ``lateness`` past
+    the day, which grows with the audience, so ``rocksdb`` keeps it in
+    RocksDB (off the JVM heap) unless the session already names a state
+    store provider. A restarted query keeps the provider its checkpoint
+    was started with.
     """
+    if rocksdb:
+        use_rocksdb_state(events.sparkSession)
     ev = events.withColumn("mid", F.col("common.mid"))
     firsts = project_visitor(daily_first_seen_stream(ev, "mid", "ts", tie_col=tie_col, tz=tz,
                                                      lateness=lateness))
