@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from driftlog import schemas as S
 from driftlog.operators.decode import REASON, decode_records
 from driftlog.operators.offsets import offset_ranges
+from driftlog.operators.parallel import spread
 from driftlog.operators.project import fact_columns, project_visitor, with_doc_id
 from driftlog.streaming.dedup import OUTPUT_MODE as STREAM_DEDUP_MODE
 from driftlog.streaming.dedup import current_first_seen, daily_first_seen_stream, use_rocksdb_state
@@ -47,7 +48,11 @@ def _start(df: DataFrame, handle, checkpoint: str, trigger_seconds: float,
 def _decoded_batch(batch: DataFrame, mode: str) -> DataFrame:
     """Source columns, reason, the 19 fact columns and (for bad records only)
     the raw value: what the batch's writes need, computed once."""
-    dec = decode_records(batch, mode=mode)
+    # A micro-batch arrives in as many partitions as the source gives it (Kafka:
+    # topic partitions or minPartitions; files: splits). When that is fewer
+    # than the cores, decode would leave cores idle: spread it first. No-op
+    # once the batch has a partition per core.
+    dec = decode_records(spread(batch), mode=mode)
     raw = F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value")
     return dec.select(*SOURCE_COLS, raw, REASON, *fact_columns())
 
