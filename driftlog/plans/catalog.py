@@ -201,6 +201,32 @@ def q_search_page(spark, sf_dir):
     return res.select("doc_id", "source", "n_chars")
 
 
+# An anchor of a page's markup: ``<a href="(href)">(text)</a>``.
+_ANCHOR = r'<a href="([^"]*)">([^<]*)</a>'
+LINK_TERM = "de"
+LINK_QUERY = "the was"
+
+
+def _pages_with_links(spark, sf_dir) -> DataFrame:
+    """Pages with their anchors as an array of ``{href, text}`` objects (one
+    narrow projection per page) and the markup length."""
+    pages = spread(read_table(spark, sf_dir, "pages"))
+    links = F.zip_with(F.regexp_extract_all("html", F.lit(_ANCHOR), 1),
+                       F.regexp_extract_all("html", F.lit(_ANCHOR), 2),
+                       lambda h, t: F.struct(h.alias("href"), t.alias("text")))
+    return pages.select("page_id", "url", "html", links.alias("links"),
+                        F.length("html").alias("html_len"))
+
+
+def q_search_links(spark, sf_dir):
+    """QRY-1 with the keyword filter inside an array of objects (FLT-3):
+    pages matching the query whose anchors include one with exactly that text."""
+    res = search(_pages_with_links(spark, sf_dir), "html", LINK_QUERY,
+                 filters={"links.text": LINK_TERM}, sort="html_len", id_col="page_id",
+                 size=10, offset=0, highlight=False)
+    return res.select("page_id", "url", "html_len")
+
+
 def q_write_metrics(spark, sf_dir):
     """Documents written per bulk (one bulk per topic-partition), plus the running
     ``written`` metric observed on the way (read it from the Observation)."""
@@ -282,6 +308,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rows_to_json": q_rows_to_json,
     "search_topk": q_search_topk,
     "search_page": q_search_page,
+    "search_links": q_search_links,
     "write_metrics": q_write_metrics,
     "daily_first_seen_stream": q_daily_first_seen_stream,
     "flatten_append_stream": q_flatten_append_stream,

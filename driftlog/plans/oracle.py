@@ -11,7 +11,8 @@ JSON nulls with ``to_json`` of a struct.
 
 from __future__ import annotations
 
-from driftlog.plans.catalog import GROUP, RESUME_AFTER_DAY, SEARCH_QUERY
+from driftlog.plans.catalog import (GROUP, LINK_QUERY, LINK_TERM, RESUME_AFTER_DAY,
+                                    SEARCH_QUERY)
 from driftlog.functions.text import query_tokens
 
 _V = "CAST(NULL AS VARCHAR)"
@@ -219,6 +220,14 @@ ORDER BY n_chars ASC NULLS LAST, doc_id
 LIMIT 10 OFFSET 5
 """
 
+SQL["search_links"] = f"""
+SELECT page_id, url, length(html) AS html_len FROM pages
+WHERE list_contains(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2), '{LINK_TERM}')
+  AND {_match('html', query_tokens(LINK_QUERY))}
+ORDER BY html_len DESC NULLS LAST, page_id
+LIMIT 10
+"""
+
 SQL["write_metrics"] = f"""
 SELECT topic, "partition", COUNT(*) AS written FROM ({_RECORDS}) GROUP BY ALL
 """
