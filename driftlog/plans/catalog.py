@@ -245,7 +245,8 @@ def q_daily_first_seen_stream(spark, sf_dir):
     base = _stream_dir(spark, "daily-visitors")
     stream = visitor_events(table_stream(spark, sf_dir, "events"))
     daily_visitors(stream, f"{base}/out", f"{base}/ckpt", tie_col="event_id",
-                   available_now=True).awaitTermination()
+                   available_now=True,
+                   state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return read_visitors(spark, f"{base}/out")
 
 

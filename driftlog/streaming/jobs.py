@@ -35,14 +35,24 @@ SOURCE_COLS = ["topic", "partition", "offset"]
 
 def _start(df: DataFrame, handle, checkpoint: str, trigger_seconds: float,
            available_now: bool, query_name: str | None,
-           output_mode: str = "append") -> StreamingQuery:
+           output_mode: str = "append", state_partitions: int | None = None) -> StreamingQuery:
     w = (df.writeStream.foreachBatch(handle).outputMode(output_mode)
          .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{trigger_seconds} seconds")
-    return w.start()
+    if not state_partitions:
+        return w.start()
+    # The query takes a copy of the session's settings when it starts, and its
+    # checkpoint then fixes the state partition count: set it for the start only.
+    conf, key = df.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        conf.set(key, before)
 
 
 def _decoded_batch(batch: DataFrame, mode: str) -> DataFrame:
@@ -111,7 +121,8 @@ def flatten_upsert(records: DataFrame, out_path: str, checkpoint: str,
 def daily_visitors(events: DataFrame, out_path: str, checkpoint: str, tz: str = "UTC",
                    lateness: str = "1 day", tie_col: str | None = None,
                    trigger_seconds: float = 3.0, available_now: bool = False,
-                   query_name: str | None = None, rocksdb: bool = True) -> StreamingQuery:
+                   query_name: str | None = None, rocksdb: bool = True,
+                   state_partitions: int | None = None) -> StreamingQuery:
     """Visitor events ``(ts millis, common{...})`` -> visitor record per (day, mid).
 
     Each batch appends the keys first seen (or seen earlier) in it; read the
@@ -123,6 +134,12 @@ def daily_visitors(events: DataFrame, out_path: str, checkpoint: str, tz: str =
     RocksDB (off the JVM heap) unless the session already names a state
     store provider. A restarted query keeps the provider its checkpoint
     was started with.
+
+    ``state_partitions`` sets the number of state partitions (and tasks per
+    micro-batch) of a new query, default the session's
+    ``spark.sql.shuffle.partitions``; a restart keeps its checkpoint's count.
+    Size it to the cluster's cores or a small multiple: each partition is
+    one state store, opened and committed every micro-batch.
     """
     if rocksdb:
         use_rocksdb_state(events.sparkSession)
@@ -139,7 +156,7 @@ def daily_visitors(events: DataFrame, out_path: str, checkpoint: str, tz: str =
             b.unpersist()
 
     return _start(firsts, handle, checkpoint, trigger_seconds, available_now, query_name,
-                  output_mode=STREAM_DEDUP_MODE)
+                  output_mode=STREAM_DEDUP_MODE, state_partitions=state_partitions)
 
 
 def read_visitors(spark, path: str) -> DataFrame:

@@ -161,3 +161,17 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp_dir):
     _process(recs, 7, "permissive", write_good, bad, led, "g")
     assert snapshot() == first
     assert len(first[0]) == spark.read.parquet(EVENTS).count() and len(first[2]) == 1
+
+
+def test_state_partitions_set_for_the_query_only(spark, tmp_dir):
+    src, out, ck = (f"{tmp_dir}/{n}" for n in ("src", "out", "ck"))
+    ev = spark.read.parquet(EVENTS).where("ts < '2024-01-05'")
+    visitor_events(ev).write.parquet(src)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream = spark.readStream.schema(visitor_events(ev).schema).parquet(src)
+    q = daily_visitors(stream, out, ck, tie_col="event_id", available_now=True, state_partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = [p["stateOperators"] for p in q.recentProgress if p["stateOperators"]]
+    assert ops and all(o[0]["numShufflePartitions"] == 3 for o in ops)
+    assert read_visitors(spark, out).count() > 0
