@@ -1,0 +1,97 @@
+"""Snapshots of keyed stores: fold closed batches once, read the rest on top.
+
+A keyed store (``upsert_documents``, ``daily_visitors``) is written batch by
+batch and read as a view, the last version per key (``pick_per_key`` with
+``last=True``). Reading that view aggregates the store's whole history, so
+on a long-lived store every read would shuffle every batch ever written.
+``compact`` folds the batches up to a closed batch id into a snapshot of the
+view once; ``current_view`` then reads that snapshot plus only the newer
+batches. Each compaction starts from the previous snapshot, so its work is
+one view plus the batches since.
+
+Layout under the snapshot folder:
+
+    upto=<N>/    the view over batches <= N; each row keeps its own batch_id
+    _manifest/   one row per completed snapshot (append)
+
+A snapshot is written with overwrite, then recorded in the manifest.
+Readers take the highest recorded ``N``, so a snapshot being written (or
+left half-written by a lost driver) is never read, and rerunning the same
+compaction replaces it. Old ``upto=`` folders can be deleted once no reader
+uses them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from driftlog.operators.dedup import pick_per_key
+from driftlog.streaming.sinks import read_store
+
+MANIFEST = "_manifest"
+
+
+def _snapshot_dir(snap_path: str, upto: int) -> str:
+    return f"{snap_path}/upto={int(upto)}"
+
+
+def latest_snapshot(spark: SparkSession, snap_path: str) -> int | None:
+    """Highest completed snapshot id, or None when there is none (one value read)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        manifest = spark.read.parquet(f"{snap_path}/{MANIFEST}")
+    except AnalysisException:  # no snapshot yet
+        return None
+    return manifest.agg(F.max("upto")).first()[0]
+
+
+def _view_input(spark: SparkSession, store_path: str, snap_path: str,
+                upto: int | None = None) -> tuple[DataFrame, int | None]:
+    """Latest snapshot (if any) plus the store's batches after it, up to ``upto``."""
+    store = read_store(spark, store_path)
+    prev = latest_snapshot(spark, snap_path)
+    tail = store if prev is None else store.where(F.col("batch_id") > prev)
+    if upto is not None:
+        tail = tail.where(F.col("batch_id") <= upto)
+    if prev is None:
+        return tail, None
+    snap = read_store(spark, _snapshot_dir(snap_path, prev))
+    return snap.unionByName(tail.select(*snap.columns)), prev
+
+
+def current_view(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
+                 order: list[str]) -> DataFrame:
+    """Last version per ``keys`` (largest ``order``) over snapshot + newer batches.
+
+    Equal to ``pick_per_key(read_store(store_path), keys, order, last=True)``
+    as long as ``order`` leads with ``batch_id``.
+    """
+    rows, _ = _view_input(spark, store_path, snap_path)
+    return pick_per_key(rows, keys, order, last=True)
+
+
+def compact(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
+            order: list[str], upto: int, partition_by: tuple[str, ...] = ()) -> int:
+    """Fold the store's batches ``<= upto`` into a new snapshot; returns its id.
+
+    Pass a batch id that is committed (e.g. the streaming query's last
+    progress ``batchId``); batches written later are left to readers. A
+    call with ``upto`` at or below the latest snapshot does nothing.
+    ``order`` must lead with ``batch_id`` (see ``current_view``).
+    """
+    if not order or order[0] != "batch_id":
+        raise ValueError("order must lead with batch_id")
+    prev = latest_snapshot(spark, snap_path)
+    if prev is not None and upto <= prev:
+        return prev
+    rows, _ = _view_input(spark, store_path, snap_path, upto)
+    view = pick_per_key(rows, keys, order, last=True)
+    (view.write.mode("overwrite").partitionBy(*partition_by)
+         .parquet(_snapshot_dir(snap_path, upto)))
+    (spark.createDataFrame([(int(upto),)], "upto long")
+          .write.mode("append").parquet(f"{snap_path}/{MANIFEST}"))
+    return upto
+
+
+__all__ = ["compact", "current_view", "latest_snapshot"]
