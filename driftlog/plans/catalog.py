@@ -30,6 +30,7 @@ from driftlog.streaming.sinks import read_store, with_write_metrics
 from driftlog.sources.records import (file_records, records_from_events, table_stream,
                                       visitor_events)
 from driftlog.streaming.jobs import daily_visitors, flatten_append, flatten_upsert, read_visitors
+from driftlog.streaming.snapshots import compact, current_view
 from driftlog.sources.tables import read_table
 
 GROUP = "tracking-etl"
@@ -174,14 +175,34 @@ def q_resume_from(spark, sf_dir):
     return resume_from(recs, saved).select("topic", "partition", "offset", "key")
 
 
-def q_upsert_latest(spark, sf_dir):
+UPSERT_ORDER = ["batch_id", "event_time", "partition", "offset"]
+
+
+def _keyed_docs(spark, sf_dir) -> DataFrame:
+    """Documents keyed by ``uid``, one upsert batch per event day."""
     fact = decode_fact(_records(spark, sf_dir), keep=("partition", "offset"))
-    docs = (fact.withColumn("event_time", F.to_timestamp("timestamp"))
+    return (fact.withColumn("event_time", F.to_timestamp("timestamp"))
             .withColumn("batch_id", _batch_of("event_time")))
-    latest = latest_documents(docs, "uid", order=["batch_id", "event_time", "partition", "offset"])
+
+
+def q_upsert_latest(spark, sf_dir):
+    latest = latest_documents(_keyed_docs(spark, sf_dir), "uid", order=UPSERT_ORDER)
     return latest.select("uid", "batch_id", *S.DOC6_COLUMNS)
 
 
+def q_upsert_snapshot(spark, sf_dir):
+    """The keyed store as the upsert job lays it out (one ``batch_id`` folder per
+    batch, written here in one distributed write), compacted up to the cutoff
+    day, read as snapshot + later batches. Equals ``upsert_latest``."""
+    base = _stream_dir(spark, "upsert-snapshot")
+    store, snap = f"{base}/store", f"{base}/snap"
+    _keyed_docs(spark, sf_dir).write.partitionBy("batch_id").parquet(store)
+    cutoff = int(RESUME_AFTER_DAY.replace("-", ""))
+    compact(spark, store, snap, ["uid"], UPSERT_ORDER, upto=cutoff)
+    view = current_view(spark, store, snap, ["uid"], UPSERT_ORDER)
+    return view.select("uid", "batch_id", *S.DOC6_COLUMNS)
+
+
 def q_rows_to_json(spark, sf_dir):
     cust = read_table(spark, sf_dir, "customer")
     return rows_to_json(cust, key_cols=("c_custkey",))
@@ -306,6 +327,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_offsets": q_latest_offsets,
     "resume_from": q_resume_from,
     "upsert_latest": q_upsert_latest,
+    "upsert_snapshot": q_upsert_snapshot,
     "rows_to_json": q_rows_to_json,
     "search_topk": q_search_topk,
     "search_page": q_search_page,

@@ -233,6 +233,7 @@ SELECT topic, "partition", COUNT(*) AS written FROM ({_RECORDS}) GROUP BY ALL
 """
 
 SQL["daily_first_seen_stream"] = SQL["visitor_record"]
+SQL["upsert_snapshot"] = SQL["upsert_latest"]
 
 SQL["flatten_append_stream"] = f"""
 SELECT oid, b, "catId", chl, cu, en FROM ({_FACT})
