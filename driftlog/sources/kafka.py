@@ -20,9 +20,15 @@ def max_offsets_per_trigger(rate_per_partition: int, partitions: int, trigger_se
 def kafka_options(servers: str, topic: str, group: str | None = None,
                   offsets: dict[int, int] | str | None = None,
                   rate_per_partition: int | None = None, partitions: int | None = None,
-                  trigger_seconds: float | None = None) -> dict[str, str]:
+                  trigger_seconds: float | None = None,
+                  min_partitions: int | None = None) -> dict[str, str]:
     """Source options.
 
+    ``min_partitions`` (Kafka ``minPartitions``): split each micro-batch's
+    offset ranges into at least this many tasks. Set it to about the
+    cluster's cores, so a topic-partition carrying a third of the traffic is
+    read and decoded by many tasks instead of one.
+
     ``offsets``: next offset per partition (or ready ``startingOffsets``
     JSON); partitions not listed start from the earliest offset. Without
     it the stream starts from the earliest offset. The checkpoint, not the
@@ -42,6 +48,8 @@ def kafka_options(servers: str, topic: str, group: str | None = None,
             for p in range(partitions or 0):
                 spec.setdefault(str(p), -2)
             opts["startingOffsets"] = json.dumps({topic: spec}, sort_keys=True)
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     if rate_per_partition:
         if not (partitions and trigger_seconds):
             raise ValueError("rate_per_partition needs partitions and trigger_seconds")

@@ -65,3 +65,11 @@ def test_progress_offsets_kafka_and_files():
     assert {(g["partition"], g["start"], g["end"]) for g in got if g["topic"]} == \
         {(0, 10, 25), (1, 4, 9)}
     assert any(g["topic"] is None for g in got)
+
+
+def test_kafka_min_partitions_splits_hot_partitions():
+    from driftlog.sources.kafka import kafka_options
+
+    opts = kafka_options("b:9092", "t", min_partitions=2000)
+    assert opts["minPartitions"] == "2000"
+    assert "minPartitions" not in kafka_options("b:9092", "t")
