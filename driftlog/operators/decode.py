@@ -84,6 +84,23 @@ def decode_records(df: DataFrame, value_col: str = "value", mode: str = "permiss
     return out.withColumn(REASON, reason)
 
 
+def decode_visitor_events(records: DataFrame, value_col: str = "value",
+                          keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Records whose envelope ``message`` is a visitor event (as an object or
+    as text) -> ``(ts millis, common{mid, uid, ar, ch, vc})`` plus ``keep``.
+
+    Records failing the envelope or message check are left out (decode them
+    with ``decode_records`` to see why). Narrow, one parse per level.
+    """
+    env = parse_object(F.col(value_col), S.ENVELOPE_READ)
+    dec = records.withColumn(ENV, env).withColumn(LINE, parse_object(F.col(ENV)["message"],
+                                                                      S.VISITOR_EVENT))
+    ok = object_check(F.col(value_col), F.col(ENV)) & object_check(F.col(ENV)["message"],
+                                                                   F.col(LINE))
+    return keep_where(dec, ok, [*keep, F.col(LINE)["ts"].alias("ts"),
+                                F.col(LINE)["common"].alias("common")])
+
+
 def access_log_fields(decoded: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """The line fields the jobs read (``timestamp, client_ip, domain, args``) of good records."""
     line = F.col(LINE)

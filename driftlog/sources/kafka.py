@@ -29,8 +29,9 @@ def kafka_options(servers: str, topic: str, group: str | None = None,
     cluster's cores, so a topic-partition carrying a third of the traffic is
     read and decoded by many tasks instead of one.
 
-    ``offsets``: next offset per partition (or ready ``startingOffsets``
-    JSON); partitions not listed start from the earliest offset. Without
+    ``offsets``: next offset per partition, as a dict or as ``startingOffsets``
+    JSON (e.g. from ``seed_offsets``); with ``partitions`` given, partitions
+    not listed start from the earliest offset. Without
     it the stream starts from the earliest offset. The checkpoint, not the
     consumer group, decides where a restarted query resumes; ``group`` only
     labels the consumer.
@@ -40,11 +41,13 @@ def kafka_options(servers: str, topic: str, group: str | None = None,
     if group:
         opts["groupIdPrefix"] = group
     if offsets:
-        if isinstance(offsets, str):
-            opts["startingOffsets"] = offsets
+        if isinstance(offsets, str) and not offsets.lstrip().startswith("{"):
+            opts["startingOffsets"] = offsets  # "earliest" / "latest"
         else:
-            spec = {str(p): int(o) for p, o in sorted(offsets.items())}
-            # -2 = earliest for partitions with no saved position
+            saved = json.loads(offsets).get(topic, {}) if isinstance(offsets, str) else offsets
+            spec = {str(p): int(o) for p, o in sorted(saved.items(), key=lambda kv: int(kv[0]))}
+            # Spark needs every partition listed: -2 = earliest for those with
+            # no saved position (give ``partitions`` to cover them)
             for p in range(partitions or 0):
                 spec.setdefault(str(p), -2)
             opts["startingOffsets"] = json.dumps({topic: spec}, sort_keys=True)

@@ -73,3 +73,12 @@ def test_kafka_min_partitions_splits_hot_partitions():
     opts = kafka_options("b:9092", "t", min_partitions=2000)
     assert opts["minPartitions"] == "2000"
     assert "minPartitions" not in kafka_options("b:9092", "t")
+
+
+def test_kafka_offsets_json_fills_unsaved_partitions():
+    import json as _json
+    from driftlog.sources.kafka import kafka_options
+
+    o = kafka_options("b:9092", "logs", offsets='{"logs": {"1": 40}}', partitions=3)
+    assert _json.loads(o["startingOffsets"]) == {"logs": {"0": -2, "1": 40, "2": -2}}
+    assert kafka_options("b:9092", "logs", offsets="earliest")["startingOffsets"] == "earliest"
