@@ -25,8 +25,8 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _session(master: str | None) -> SparkSession:
-    builder = SparkSession.builder.appName("driftlog")
+def _session(master: str | None, ui: bool = False) -> SparkSession:
+    builder = SparkSession.builder.appName("driftlog").config("spark.ui.enabled", str(ui).lower())
     if master:
         builder = builder.master(master)
     return builder.getOrCreate()
@@ -63,6 +63,7 @@ def run(argv: list[str]):
     ap = argparse.ArgumentParser(prog="driftlog.apps")
     ap.add_argument("job", choices=["append", "upsert", "visitors", "compact"])
     ap.add_argument("--master")
+    ap.add_argument("--ui", action="store_true", help="serve the Spark web UI (off by default)")
     src = ap.add_argument_group("source")
     src.add_argument("--servers")
     src.add_argument("--topic")
@@ -93,7 +94,7 @@ def run(argv: list[str]):
     cmp_.add_argument("--partition-by", default="")
     a = ap.parse_args(argv)
 
-    spark = _session(a.master)
+    spark = _session(a.master, a.ui)
     if a.job == "compact":
         from driftlog.streaming.snapshots import compact
 
@@ -146,4 +147,6 @@ def main(argv: list[str] | None = None) -> int:
 
 
 if __name__ == "__main__":
+    # run as a file (spark-submit driftlog/apps.py): import the package beside it
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sys.exit(main())
