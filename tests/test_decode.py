@@ -161,3 +161,15 @@ def test_decode_prunes_envelope_schema(spark):
     df = decode_fact(records_df(spark, [envelope(line(args_of(PAYLOAD)))]))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "@metadata" not in plan
+
+
+def test_visitor_events_from_object_or_text_message(spark):
+    from driftlog.operators.decode import decode_visitor_events
+
+    ev = {"ts": 1595037510000, "common": {"mid": "m1", "uid": "u1", "ar": "a", "ch": "c",
+                                          "vc": "1.0"}}
+    values = [json.dumps({"message": ev}), json.dumps({"message": json.dumps(ev)}),
+              json.dumps({"message": "not an object"}), "{broken", json.dumps({"other": 1})]
+    out = decode_visitor_events(records_df(spark, values), keep=["offset"]).collect()
+    assert [r.offset for r in out] == [0, 1]
+    assert all(r.ts == 1595037510000 and r.common.mid == "m1" and r.common.vc == "1.0" for r in out)
