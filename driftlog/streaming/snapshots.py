@@ -6,8 +6,9 @@ batch and read as a view, the last version per key (``pick_per_key`` with
 on a long-lived store every read would shuffle every batch ever written.
 ``compact`` folds the batches up to a closed batch id into a snapshot of the
 view once; ``current_view`` then reads that snapshot plus only the newer
-batches. Each compaction starts from the previous snapshot, so its work is
-one view plus the batches since.
+batches. Each compaction starts from the previous snapshot. Reads and
+compactions aggregate only the newer batches; the snapshot is scanned and
+anti-joined with their keys, not shuffled (see ``_view``).
 
 Layout under the snapshot folder:
 
@@ -46,29 +47,58 @@ def latest_snapshot(spark: SparkSession, snap_path: str) -> int | None:
     return manifest.agg(F.max("upto")).first()[0]
 
 
-def _view_input(spark: SparkSession, store_path: str, snap_path: str,
-                upto: int | None = None) -> tuple[DataFrame, int | None]:
-    """Latest snapshot (if any) plus the store's batches after it, up to ``upto``."""
+# Keys of the batches after the snapshot are broadcast against it up to this
+# many (checked with a bounded count); beyond, the anti join shuffles.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def _bounded(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def _view(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
+          order: list[str], upto: int | None = None,
+          max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """Last version per key over the latest snapshot plus the batches after it
+    (up to ``upto``).
+
+    Every batch after the snapshot is newer than every row in it, so a key
+    present in those batches takes its version from them, and any other key
+    keeps its snapshot row: the view is the tail's own view plus the
+    snapshot anti-joined with the tail's keys. Only the tail is aggregated;
+    with the tail's keys broadcast the snapshot is read narrowly, never
+    shuffled.
+    """
+    if not order or order[0] != "batch_id":
+        raise ValueError("order must lead with batch_id")
     store = read_store(spark, store_path)
     prev = latest_snapshot(spark, snap_path)
     tail = store if prev is None else store.where(F.col("batch_id") > prev)
     if upto is not None:
         tail = tail.where(F.col("batch_id") <= upto)
+    latest_tail = pick_per_key(tail, keys, order, last=True)
     if prev is None:
-        return tail, None
+        return latest_tail
     snap = read_store(spark, _snapshot_dir(snap_path, prev))
-    return snap.unionByName(tail.select(*snap.columns)), prev
+    tail_keys = latest_tail.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    if _bounded(tail_keys, max_broadcast_keys):
+        tail_keys = F.broadcast(tail_keys)
+    match = None
+    for k in keys:
+        eq = snap[k].eqNullSafe(tail_keys[f"_k_{k}"])
+        match = eq if match is None else match & eq
+    kept = snap.join(tail_keys, match, "left_anti")
+    return kept.unionByName(latest_tail.select(*snap.columns))
 
 
 def current_view(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
                  order: list[str]) -> DataFrame:
     """Last version per ``keys`` (largest ``order``) over snapshot + newer batches.
 
-    Equal to ``pick_per_key(read_store(store_path), keys, order, last=True)``
-    as long as ``order`` leads with ``batch_id``.
+    Equal to ``pick_per_key(read_store(store_path), keys, order, last=True)``;
+    ``order`` must lead with ``batch_id``.
     """
-    rows, _ = _view_input(spark, store_path, snap_path)
-    return pick_per_key(rows, keys, order, last=True)
+    return _view(spark, store_path, snap_path, keys, order)
 
 
 def compact(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
@@ -85,8 +115,7 @@ def compact(spark: SparkSession, store_path: str, snap_path: str, keys: list[str
     prev = latest_snapshot(spark, snap_path)
     if prev is not None and upto <= prev:
         return prev
-    rows, _ = _view_input(spark, store_path, snap_path, upto)
-    view = pick_per_key(rows, keys, order, last=True)
+    view = _view(spark, store_path, snap_path, keys, order, upto)
     (view.write.mode("overwrite").partitionBy(*partition_by)
          .parquet(_snapshot_dir(snap_path, upto)))
     (spark.createDataFrame([(int(upto),)], "upto long")

@@ -57,6 +57,13 @@ def test_compaction_reads_the_previous_snapshot_not_old_batches(spark, tmp_dir):
     # the store side is pruned to the batches after the snapshot
     assert "PartitionFilters: [isnotnull(batch_id" in text and "> 1)" in text
     assert "upto=1" in text
+    # the snapshot is anti-joined with the broadcast tail keys, never shuffled
+    assert "LeftAnti" in text and "BroadcastExchange" in text
+    snap_scan = [ln for ln in text.splitlines() if "upto=1" in ln][0]
+    depth = len(snap_scan) - len(snap_scan.lstrip(" :|+-"))
+    above = text.splitlines()[:text.splitlines().index(snap_scan)]
+    assert not any("Exchange hashpartitioning" in ln and
+                   len(ln) - len(ln.lstrip(" :|+-")) < depth for ln in above[-2:])
 
 
 def test_rerun_and_stale_upto_are_harmless(spark, tmp_dir):
