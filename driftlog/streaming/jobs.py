@@ -159,9 +159,20 @@ def daily_visitors(events: DataFrame, out_path: str, checkpoint: str, tz: str =
                   output_mode=STREAM_DEDUP_MODE, state_partitions=state_partitions)
 
 
-def read_visitors(spark, path: str) -> DataFrame:
-    """Current visitor records of a ``daily_visitors`` store, one per (dt, mid)."""
-    return current_first_seen(read_store(spark, path), "mid").select(*S.VISITOR_COLUMNS)
+def read_visitors(spark, path: str, snapshot_path: str | None = None) -> DataFrame:
+    """Current visitor records of a ``daily_visitors`` store, one per (dt, mid).
+
+    With ``snapshot_path`` (kept by ``snapshots.compact(spark, path,
+    snapshot_path, ["dt", "mid"], ["batch_id"], upto, partition_by=("dt",))``)
+    only the batches after the snapshot are aggregated.
+    """
+    if snapshot_path:
+        from driftlog.streaming.snapshots import current_view
+
+        view = current_view(spark, path, snapshot_path, ["dt", "mid"], ["batch_id"])
+    else:
+        view = current_first_seen(read_store(spark, path), "mid")
+    return view.select(*S.VISITOR_COLUMNS)
 
 
 __all__ = ["flatten_append", "flatten_upsert", "daily_visitors", "read_visitors"]

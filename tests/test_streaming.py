@@ -77,6 +77,10 @@ def test_daily_visitors_stream_equals_batch_across_restart(spark, tmp_dir):
     visitor_events(ev.where("ts >= '2024-01-10'")).write.parquet(f"{src}/part2")
     run()
     got = {tuple(r) for r in read_visitors(spark, out).collect()}
+    from driftlog.streaming.snapshots import compact
+    compact(spark, out, f"{tmp_dir}/snap", ["dt", "mid"], ["batch_id"], upto=0,
+            partition_by=("dt",))
+    assert {tuple(r) for r in read_visitors(spark, out, f"{tmp_dir}/snap").collect()} == got
     batch = daily_first_seen(visitor_events(ev).withColumn("mid", F.col("common.mid")),
                              "mid", "ts", tie_col="event_id")
     want = {tuple(r) for r in project_visitor(batch).collect()}
