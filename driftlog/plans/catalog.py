@@ -186,7 +186,9 @@ def _keyed_docs(spark, sf_dir) -> DataFrame:
 
 
 def q_upsert_latest(spark, sf_dir):
-    latest = latest_documents(_keyed_docs(spark, sf_dir), "uid", order=UPSERT_ORDER)
+    # project first: the per-key pick carries every column it is given
+    docs = _keyed_docs(spark, sf_dir).select("uid", *UPSERT_ORDER, *S.DOC6_COLUMNS)
+    latest = latest_documents(docs, "uid", order=UPSERT_ORDER)
     return latest.select("uid", "batch_id", *S.DOC6_COLUMNS)
 
 
@@ -199,7 +201,7 @@ def q_upsert_snapshot(spark, sf_dir):
     _keyed_docs(spark, sf_dir).write.partitionBy("batch_id").parquet(store)
     cutoff = int(RESUME_AFTER_DAY.replace("-", ""))
     compact(spark, store, snap, ["uid"], UPSERT_ORDER, upto=cutoff)
-    view = current_view(spark, store, snap, ["uid"], UPSERT_ORDER)
+    view = current_view(spark, store, snap, ["uid"], UPSERT_ORDER, columns=S.DOC6_COLUMNS)
     return view.select("uid", "batch_id", *S.DOC6_COLUMNS)
 
 

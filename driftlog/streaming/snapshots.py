@@ -57,7 +57,7 @@ def _bounded(df: DataFrame, max_rows: int) -> bool:
 
 
 def _view(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
-          order: list[str], upto: int | None = None,
+          order: list[str], upto: int | None = None, columns: list[str] | None = None,
           max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """Last version per key over the latest snapshot plus the batches after it
     (up to ``upto``).
@@ -72,6 +72,8 @@ def _view(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
     if not order or order[0] != "batch_id":
         raise ValueError("order must lead with batch_id")
     store = read_store(spark, store_path)
+    if columns is not None:  # prune before the per-key pick packs every column
+        store = store.select(*dict.fromkeys([*keys, *order, *columns]))
     prev = latest_snapshot(spark, snap_path)
     tail = store if prev is None else store.where(F.col("batch_id") > prev)
     if upto is not None:
@@ -79,7 +81,7 @@ def _view(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
     latest_tail = pick_per_key(tail, keys, order, last=True)
     if prev is None:
         return latest_tail
-    snap = read_store(spark, _snapshot_dir(snap_path, prev))
+    snap = read_store(spark, _snapshot_dir(snap_path, prev)).select(*store.columns)
     tail_keys = latest_tail.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     if _bounded(tail_keys, max_broadcast_keys):
         tail_keys = F.broadcast(tail_keys)
@@ -92,13 +94,14 @@ def _view(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
 
 
 def current_view(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
-                 order: list[str]) -> DataFrame:
+                 order: list[str], columns: list[str] | None = None) -> DataFrame:
     """Last version per ``keys`` (largest ``order``) over snapshot + newer batches.
 
     Equal to ``pick_per_key(read_store(store_path), keys, order, last=True)``;
-    ``order`` must lead with ``batch_id``.
+    ``order`` must lead with ``batch_id``. ``columns`` limits the output to
+    the keys, the order and these columns, pruned before the pick.
     """
-    return _view(spark, store_path, snap_path, keys, order)
+    return _view(spark, store_path, snap_path, keys, order, columns=columns)
 
 
 def compact(spark: SparkSession, store_path: str, snap_path: str, keys: list[str],
