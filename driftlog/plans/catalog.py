@@ -301,8 +301,9 @@ def q_flatten_upsert_stream(spark, sf_dir):
     src = file_records(spark, _records_at_rest(spark, sf_dir, base), stream=True)
     flatten_upsert(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
                    available_now=True).awaitTermination()
-    docs = latest_documents(read_store(spark, f"{base}/docs"), "doc_id")
-    return docs.select("doc_id", "uid", "oid", "et", "timestamp")
+    out = ["doc_id", "uid", "oid", "et", "timestamp"]
+    store = read_store(spark, f"{base}/docs").select(*out, "batch_id", "offset")
+    return latest_documents(store, "doc_id").select(*out)
 
 
 def q_ledger_stream(spark, sf_dir):
