@@ -23,7 +23,9 @@ def pick_per_key(df: DataFrame, keys: list[str], order: list[str], last: bool =
 
     Make ``order`` unique within a key (end it with a unique column) for a
     deterministic pick. Null order values sort first. Output keeps the
-    input's columns and column order.
+    input's columns and column order. Select only the columns you need
+    first: the packed struct carries every column it is given through the
+    shuffle, and Catalyst cannot prune fields out of it afterwards.
     """
     rest = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
