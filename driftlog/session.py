@@ -20,15 +20,34 @@ BASE_CONF = {
 }
 
 
+def _local_cores(master: str) -> int:
+    """Threads of a ``local``, ``local[n]``, ``local[*]`` or ``local[n,f]`` master."""
+    inner = master[len("local"):].strip("[]").split(",")[0]
+    if inner == "*":
+        return os.cpu_count() or 1
+    return int(inner) if inner else 1
+
+
 def build_session(app: str = "driftlog", master: str | None = None,
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    """Local session for tests and the bench; clusters pass their own master."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
+    """Session with the common settings.
+
+    ``master=None`` leaves the master to the launcher (``spark-submit`` or
+    the cluster's configuration; plain ``python`` then runs ``local[*]``)
+    and keeps the configured shuffle partition count. An explicit
+    ``local[n]`` master (tests, bench, tools) gets one shuffle partition per
+    core and a 16 GB driver.
+    """
+    builder = SparkSession.builder.appName(app)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf["spark.driver.memory"] = "16g"
+    if master:
+        builder = builder.master(master)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "16g"
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or _local_cores(master))
+    elif shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -53,7 +53,7 @@ def main() -> int:
     from driftlog.plans.catalog import QUERIES
     from driftlog.session import build_session
 
-    spark = build_session("plan-report")
+    spark = build_session("plan-report", master=f"local[{os.environ.get('BENCH_CPUS', '8')}]")
     print("# Physical plans of the batch catalog queries\n")
     print(f"Generated by `tools/plan_report.py` on `{a.sf_dir}` (AQE on; initial plans).\n")
     print("`spread` = round-robin exchanges added only because a test table is one row group")
