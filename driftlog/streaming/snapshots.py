@@ -111,7 +111,9 @@ def compact(spark: SparkSession, store_path: str, snap_path: str, keys: list[str
     Pass a batch id that is committed (e.g. the streaming query's last
     progress ``batchId``); batches written later are left to readers. A
     call with ``upto`` at or below the latest snapshot does nothing.
-    ``order`` must lead with ``batch_id`` (see ``current_view``).
+    ``order`` must lead with ``batch_id`` (see ``current_view``). Run one
+    compaction at a time per snapshot folder (e.g. one scheduled job);
+    readers may run alongside.
     """
     if not order or order[0] != "batch_id":
         raise ValueError("order must lead with batch_id")
