@@ -60,8 +60,10 @@ def hour_text(wall: Column) -> Column:
 
 
 def day_number(wall: Column) -> Column:
-    """``yyyyMMdd`` of a wall time as a number."""
-    return F.regexp_replace(day_text(wall), "-", "").cast("long")
+    """``yyyyMMdd`` of a wall time as a number (date fields; a wall time's
+    date needs no zone)."""
+    day = wall.cast("date")
+    return (F.year(day).cast("long") * 10000 + F.month(day) * 100 + F.dayofmonth(day))
 
 
 def iso_text(wall: Column, offset: str = "+00:00") -> Column:
