@@ -36,8 +36,8 @@ from driftlog.llm.gates import Table
 from driftlog.llm.words import _powers_to, mix, row_slices, span_hashes, text_buffers
 
 SAMPLE_SLICE = 1 << 20
-STORE_UNITS = 120_000
-HEAD = 256              # steps of a path whose queue entries are looked at first
+STORE_UNITS = 200_000
+HEAD = 512              # steps of a path whose queue entries are looked at first
 _U = np.uint64
 _loaded: dict[tuple[str, float], "Vocabulary"] = {}
 _stores: dict[tuple[str, float], "Store"] = {}
@@ -68,6 +68,7 @@ class Vocabulary:
         rank[order] = np.arange(1, len(order) + 1)
         self.weight = -alpha * np.log(rank + 10.0)
         self.at = np.append(0, np.cumsum([len(p) for p in self.pieces]))
+        self.size = np.diff(self.at)
         self.data = np.frombuffer(b"".join(self.pieces), dtype=np.uint8)
         ids = np.array(usable)
         self.longest = int(np.diff(self.at).max())
@@ -88,8 +89,17 @@ def store(path: str, alpha: float) -> "Store":
 
 def decode(vocab: Vocabulary, ids: np.ndarray) -> bytes:
     """Text of a segmentation; the blank put before every text is taken off."""
-    pieces = vocab.pieces
-    return b"".join([pieces[i] for i in ids.tolist()])[1:]
+    return _decoded(vocab, ids)[0].tobytes()[1:]
+
+
+def _decoded(vocab: Vocabulary, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all pieces, and where each piece starts in them."""
+    size = vocab.size[ids]
+    at = np.zeros(len(ids) + 1, dtype=np.int64)
+    np.cumsum(size, out=at[1:])
+    where = np.repeat(vocab.at[ids] - at[:-1], size)
+    where += np.arange(len(where))
+    return vocab.data[where], at
 
 
 class Lattice:
@@ -150,10 +160,13 @@ class Lattice:
         order = np.argsort(((src << 16 | np.minimum(-log_p * 1024, 65535).astype(np.int64)) << 6) | length)
         self.src, self.dst, self.piece, self.log_p = src[order], dst[order], piece[order], log_p[order]
         self.weight = weight[order]
-        p = (np.exp(self.log_p) * 2.0**40).astype(np.int64)  # whole numbers: sums do not depend on what else is in the slice
+        # whole numbers: sums do not depend on what else is in the slice
+        p = (np.exp(self.log_p) * 2.0**40).astype(np.int64)
         self.first = np.append(0, np.cumsum(np.bincount(self.src, minlength=len(data) + n)))
         total = np.append(0, np.cumsum(p))
-        self.upto = (total[1:] - total[self.first[self.src]]) * 2.0**-40     # cumulative probability within the node
+        upto = (total[1:] - total[self.first[self.src]]) >> 8        # cumulative probability within the node, of 2**32
+        upto[self.first[1:][np.diff(self.first) > 0] - 1] = 2**32 - 1
+        self.upto = np.minimum(upto, 2**32 - 1).astype(np.uint32)
         self.root = at[:-1] + np.arange(n)
         self.end = np.zeros(len(data) + n, dtype=bool)
         self.end[at[1:] + np.arange(n)] = True
@@ -172,7 +185,7 @@ class Store:
         self.first = np.zeros(1, np.int32)
         self.end = np.zeros(0, bool)
         self.src, self.dst, self.piece = (np.zeros(0, np.int32) for _ in range(3))
-        self.log_p, self.upto = np.zeros(0), np.zeros(0)
+        self.log_p, self.upto = np.zeros(0), np.zeros(0, np.uint32)
 
     def roots(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
         """Root node of every unit of a slice."""
@@ -211,25 +224,24 @@ class Store:
         self.log_p = put(self.log_p, self.edges, new.log_p)
         self.upto = put(self.upto, self.edges, new.upto)
 
-    def walk(self, node: np.ndarray, uniform) -> tuple[np.ndarray, np.ndarray]:
-        """Sampled edges from each node to its unit's end: (edges in order, how many by node)."""
+    def walk(self, node: np.ndarray, seed: np.ndarray) -> tuple[list, list]:
+        """Sampled edges from each node to its unit's end, by step: (entries still on their way, their edges)."""
         which, step, edges = [], 0, []
         live = np.flatnonzero(~self.end[node])
-        node = node[live]
+        node, seed = node[live], seed[live]
         while len(live):
-            u = uniform(live, step)
+            u = (_stirred(seed, step) >> _U(32)).astype(np.uint32)
             edge = self.first[node]
-            last = self.first[node + 1] - 1
-            todo = np.flatnonzero((self.upto[edge] < u) & (edge < last))
+            todo = np.flatnonzero(self.upto[edge] < u)
             while len(todo):
-                edge[todo] += 1
-                e = edge[todo]
-                todo = todo[(self.upto[e] < u[todo]) & (e < last[todo])]
+                e = edge[todo] + 1
+                edge[todo] = e
+                todo = todo[self.upto[e] < u[todo]]
             which.append(live)
             edges.append(edge)
             node = self.dst[edge]
-            on = ~self.end[node]
-            live, node = live[on], node[on]
+            on = np.flatnonzero(~self.end[node])
+            live, node, seed = live[on], node[on], seed[on]
             step += 1
         return which, edges
 
@@ -254,12 +266,21 @@ def span_hashes_at(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndar
 _sums_of = None
 
 
+def _seeds(seed: np.ndarray, sample: int, place: np.ndarray) -> np.ndarray:
+    """Seeds that depend on the row's seed, the sample and the place in the row."""
+    with np.errstate(over="ignore"):
+        return mix(seed + _U((sample + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) + place.astype(_U) * _U(0xC2B2AE3D27D4EB4F))
+
+
+def _stirred(seeds: np.ndarray, step) -> np.ndarray:
+    """The seeds' random 64 bits of a step."""
+    with np.errstate(over="ignore"):
+        return mix(seeds + np.asarray(step).astype(_U) * _U(0x165667B19E3779F9))
+
+
 def _uniform(seed: np.ndarray, sample: int, place: np.ndarray, step) -> np.ndarray:
     """Numbers in (0, 1) that depend on the arguments alone."""
-    with np.errstate(over="ignore"):
-        x = seed + _U(sample + 1) * _U(0x9E3779B97F4A7C15) + place.astype(_U) * _U(0xC2B2AE3D27D4EB4F)
-        x = mix(mix(x) + np.asarray(step).astype(_U) * _U(0x165667B19E3779F9))
-    return ((x >> _U(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+    return ((_stirred(_seeds(seed, sample, place), step) >> _U(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
 def _flat(which: list[np.ndarray], edges: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -336,8 +357,8 @@ def sample(lattice: Store, data: np.ndarray, at: np.ndarray, keys: np.ndarray, k
     def entries(edges: np.ndarray, edge_at: np.ndarray, values: np.ndarray, seeds: np.ndarray, draw: int, skip: np.ndarray):
         """Best queue bounds of the edges not taken along each row's path, after its first ``skip`` edges.
 
-        A bound lies less than 45 under or over the log mass of its entry, and masses only fall along a path: where
-        the first HEAD entries end below that, no later entry can be among the best.
+        A bound is less than 38 over the log mass of its entry (the noise is over 2 ** -54), and masses only fall
+        along a path: where the first HEAD entries end that far below the best bounds, no later entry is among them.
         """
         lp = lattice.log_p[edges]
         log_p = _row_sums(lp, edge_at)
@@ -364,13 +385,13 @@ def sample(lattice: Store, data: np.ndarray, at: np.ndarray, keys: np.ndarray, k
             again = []
             for r, found, end in zip(rows_.tolist(), _best(bound, at, k - draw), at[1:].tolist(), strict=True):
                 best[r] = [(v, s + int(skip[r])) for v, s in found]
-                if head[r] < length[r] and (len(found) < k - draw or before[end - 1] + 90 > found[-1][0]):
+                if head[r] < length[r] and (len(found) < k - draw or before[end - 1] + 38 > found[-1][0]):
                     again.append(r)
             rows_ = np.array(again, dtype=np.int64)
             head[rows_] = length[rows_]
         return best, log_p
 
-    which, found = lattice.walk(roots, lambda live, step: _uniform(seed[row_of[live]], 0, place[live], step))
+    which, found = lattice.walk(roots, _seeds(seed[row_of], 0, place))
     edges, by_unit = _flat(which, found, len(starts))
     edge_at = by_unit[unit_at]
     unit_of = np.repeat(place, np.diff(by_unit))
@@ -416,8 +437,7 @@ def sample(lattice: Store, data: np.ndarray, at: np.ndarray, keys: np.ndarray, k
         entry_place = np.zeros(len(nodes), dtype=np.int64)
         entry_place[later] = place[flat_rest]
         entry_place[first[:-1]] = resume_unit
-        which, found = lattice.walk(
-            nodes, lambda live, step, r=entry_row, pl=entry_place, d=draw: _uniform(seed[r[live]], d, pl[live], step + 1))
+        which, found = lattice.walk(nodes, _seeds(seed[entry_row], draw, entry_place))
         edges, by_entry = _flat(which, found, len(nodes))
         unit_of = np.repeat(entry_place, np.diff(by_entry))
         tails = by_entry[first]
@@ -484,23 +504,26 @@ def _sample_rows(lattice, data, offsets, ids, keys, k, with_ids, names) -> pa.Re
     mask[at[:-1]] = False
     body[mask] = data[offsets[0]:offsets[-1]]
     drawn = sample(lattice, body, at, keys[some], k) if len(some) else []
-    where, columns, pieces = [], [[] for _ in range(7)], []
     empty = [(np.zeros(0, np.int64), 0.0, 0.0)], -np.inf
     found = dict(zip(some.tolist(), drawn, strict=True))
+    where, columns, pieces = [], [[] for _ in range(7)], []
     for i in range(len(size)):
         samples, kappa = found.get(i, empty)
         for rank, (piece, log_p, value) in enumerate(samples):
-            little = piece.astype("<i4")
             inclusion = -np.expm1(-np.exp(min(700.0, log_p - kappa))) if np.isfinite(kappa) else 1.0
-            for c, x in zip(columns, (rank + 1, len(piece), log_p, value, float(inclusion), zlib.crc32(little.tobytes()),
-                                      zlib.crc32(decode(lattice.vocab, piece)) if len(piece) else 0), strict=True):
+            for c, x in zip(columns, (rank + 1, len(piece), log_p, value, float(inclusion)), strict=False):
                 c.append(x)
             where.append(i)
-            pieces.append(little)
+            pieces.append(piece)
+    flat = np.concatenate(pieces).astype("<i4") if pieces else np.zeros(0, "<i4")
+    lengths = np.append(0, np.cumsum([len(p) for p in pieces])).astype(np.int64)
+    text, piece_at = _decoded(lattice.vocab, flat)
+    raw, ids_raw = memoryview(text), memoryview(flat).cast("B")
+    for a, b in zip(lengths[:-1].tolist(), lengths[1:].tolist(), strict=True):
+        columns[5].append(zlib.crc32(ids_raw[4 * a:4 * b]))
+        columns[6].append(zlib.crc32(raw[piece_at[a] + 1:piece_at[b]]) if b > a else 0)
     types = (pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
     arrays = [ids.take(pa.array(where, pa.int64()))] + [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
     if with_ids:
-        lengths = np.append(0, np.cumsum([len(p) for p in pieces]))
-        flat = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
         arrays.append(pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat, pa.int32())))
     return pa.RecordBatch.from_arrays(arrays, names)
