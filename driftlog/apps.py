@@ -3,14 +3,13 @@
     python -m driftlog.apps append   --servers H:9092 --topic logs --group etl \\
         --out DOCS --ledger LEDGER [--quarantine BAD] [--rate 2000 --partitions 6] [--trigger 1]
     python -m driftlog.apps upsert   --servers ... --topic ... --out DOCS [--ledger LEDGER] [--trigger 3]
-    python -m driftlog.apps visitors --servers ... --topic ... --out VISITORS [--tz UTC]
-    python -m driftlog.apps compact  --store DOCS --snapshot SNAP --keys doc_id \\
-        --order batch_id,offset --upto N
-
-``append`` with ``--ledger`` resumes a new query from the ledger's saved
-offsets and records each batch's offsets after its data; without it, it is
-the fresh-start append job. Either way a restarted query resumes from its
-checkpoint. Instead of ``--servers/--topic``, ``--files DIR`` reads records
+    python -m driftlog.apps visitors --servers ... --topic ... --out VISITORS [--tz UTC] [--ledger LEDGER]
+
+Each job writes to a store (``--out``), to a search index (``--index-nodes
+H:9200 --index NAME``) or to both. With ``--ledger`` a new query starts at the
+ledger's saved offsets and records each batch's offsets after its data;
+without it, it starts afresh (``append`` then every 3 s instead of every
+second). Either way a restarted query resumes from its checkpoint. Instead of ``--servers/--topic``, ``--files DIR`` reads records
 at rest (the same schema as the topic records). ``--available-now``
 processes what is there and stops. The checkpoint defaults to a folder
 under the session's ``spark.checkpoint.dir`` named after the job and source.
@@ -58,10 +57,9 @@ def _checkpoint(spark: SparkSession, a, job: str) -> str:
 
 
 def run(argv: list[str]):
-    """Parse ``argv`` and start the job; returns the StreamingQuery (or the
-    snapshot id for ``compact``)."""
+    """Parse ``argv`` and start the job; returns the StreamingQuery."""
     ap = argparse.ArgumentParser(prog="driftlog.apps")
-    ap.add_argument("job", choices=["append", "upsert", "visitors", "compact"])
+    ap.add_argument("job", choices=["append", "upsert", "visitors"])
     ap.add_argument("--master")
     ap.add_argument("--ui", action="store_true", help="serve the Spark web UI (off by default)")
     src = ap.add_argument_group("source")
@@ -75,6 +73,9 @@ def run(argv: list[str]):
     src.add_argument("--min-partitions", type=int)
     out = ap.add_argument_group("output")
     out.add_argument("--out")
+    out.add_argument("--index-nodes")
+    out.add_argument("--index")
+    out.add_argument("--files-per-batch", type=int, help="most files a batch leaves in a folder")
     out.add_argument("--ledger")
     out.add_argument("--quarantine")
     out.add_argument("--checkpoint")
@@ -85,58 +86,47 @@ def run(argv: list[str]):
     vis.add_argument("--tz", default="UTC")
     vis.add_argument("--lateness", default="1 day")
     vis.add_argument("--state-partitions", type=int)
-    cmp_ = ap.add_argument_group("compact")
-    cmp_.add_argument("--store")
-    cmp_.add_argument("--snapshot")
-    cmp_.add_argument("--keys")
-    cmp_.add_argument("--order", default="batch_id,offset")
-    cmp_.add_argument("--upto", type=int)
-    cmp_.add_argument("--partition-by", default="")
     a = ap.parse_args(argv)
 
     spark = _session(a.master, a.ui)
-    if a.job == "compact":
-        from driftlog.streaming.snapshots import compact
-
-        if not (a.store and a.snapshot and a.keys and a.upto is not None):
-            ap.error("compact needs --store, --snapshot, --keys and --upto")
-        return compact(spark, a.store, a.snapshot, a.keys.split(","), a.order.split(","),
-                       a.upto, tuple(p for p in a.partition_by.split(",") if p))
-
     if bool(a.servers) == bool(a.files) or (a.servers and not a.topic):
         ap.error("give either --servers with --topic, or --files")
-    if not a.out:
-        ap.error("--out is required")
+    if bool(a.index) != bool(a.index_nodes):
+        ap.error("--index and --index-nodes go together")
+    if not (a.out or a.index):
+        ap.error("--out or --index is required")
     if a.rate and not a.partitions:
         ap.error("--rate needs --partitions")
-    # micro-batch cadence of the reference's jobs: 1 s append, 3 s otherwise
-    a.trigger = a.trigger or (1.0 if a.job == "append" else 3.0)
+    a.trigger = a.trigger or trigger_seconds(a.job, bool(a.ledger))
 
     from driftlog.streaming import jobs
 
-    if a.job == "visitors":
-        from driftlog.operators.decode import decode_visitor_events
-
-        events = decode_visitor_events(_records(spark, a))
-        return jobs.daily_visitors(events, a.out, _checkpoint(spark, a, "visitors"), tz=a.tz,
-                                   lateness=a.lateness, trigger_seconds=a.trigger,
-                                   available_now=a.available_now,
-                                   state_partitions=a.state_partitions)
-
     starting = None
-    if a.job == "append" and a.ledger and a.servers:
+    if a.ledger and a.servers:
         from driftlog.operators.offsets import seed_offsets
 
         # used by Kafka only when the query has no checkpoint yet
         starting = seed_offsets(spark, a.ledger, a.group, a.topic)
     records = _records(spark, a, starting)
-    common = dict(ledger_path=a.ledger, quarantine_path=a.quarantine, group=a.group,
-                  mode=a.mode, available_now=a.available_now)
-    if a.job == "append":
-        return jobs.flatten_append(records, a.out, _checkpoint(spark, a, "append"),
-                                   trigger_seconds=a.trigger, **common)
-    return jobs.flatten_upsert(records, a.out, _checkpoint(spark, a, "upsert"),
-                               trigger_seconds=a.trigger, **common)
+    checkpoint = _checkpoint(spark, a, a.job)
+    common = dict(ledger_path=a.ledger, group=a.group, available_now=a.available_now, trigger_seconds=a.trigger,
+                  index=(a.index_nodes, a.index) if a.index else None, files_per_batch=a.files_per_batch)
+    if a.job == "visitors":
+        from driftlog.operators.decode import decode_visitor_events
+
+        if a.quarantine:
+            beside = jobs.quarantine_visitors(records, a.quarantine, f"{checkpoint}-quarantine", a.trigger, a.available_now)
+            if a.available_now:
+                beside.awaitTermination()
+        return jobs.daily_visitors(decode_visitor_events(records), a.out, checkpoint, tz=a.tz, lateness=a.lateness,
+                                   state_partitions=a.state_partitions, **common)
+    job = jobs.flatten_append if a.job == "append" else jobs.flatten_upsert
+    return job(records, a.out, checkpoint, quarantine_path=a.quarantine, mode=a.mode, **common)
+
+
+def trigger_seconds(job: str, resumes: bool) -> float:
+    """Micro-batch cadence of the jobs: 1 s for the append job that resumes, else 3 s."""
+    return 1.0 if job == "append" and resumes else 3.0
 
 
 def main(argv: list[str] | None = None) -> int:

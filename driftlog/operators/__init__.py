@@ -4,6 +4,7 @@ unless its docstring says otherwise."""
 from driftlog.operators.decode import (access_log_columns, access_log_fields, decode_args,
                                        decode_envelope,
                                        decode_payload, decode_records, decode_visitor_events,
+                                       decode_visitors,
                                        good, quarantined, split_valid)
 from driftlog.operators.dedup import daily_first_seen, latest_documents, pick_per_key
 from driftlog.operators.offsets import (latest_offsets, ledger_rows, offset_ranges, resume_from,
@@ -15,7 +16,7 @@ from driftlog.operators.search import search, term_filter
 
 __all__ = [
     "access_log_columns", "access_log_fields", "decode_args", "decode_envelope", "decode_payload", "decode_records",
-    "decode_visitor_events", "good", "quarantined", "split_valid",
+    "decode_visitor_events", "decode_visitors", "good", "quarantined", "split_valid",
     "daily_first_seen", "latest_documents", "pick_per_key",
     "latest_offsets", "ledger_rows", "offset_ranges", "resume_from", "seed_offsets",
     "starting_offsets_json",

@@ -1,8 +1,10 @@
 """Decode log envelopes into the tracking payload, with quarantine reasons.
 
 All steps are narrow column expressions: no shuffle, one stage, and each
-JSON level is parsed exactly once (``from_json`` against a pruned schema
-plus a corrupt-record column). Works on batch and streaming frames alike.
+JSON level is parsed into columns once (``from_json`` against a schema pruned
+to the fact columns wanted, plus a corrupt-record column); the strict check
+of a level tokenises its text again to count values. Works on batch and
+streaming frames alike.
 
 Levels: record ``value`` -> envelope -> ``message`` text -> access-log line
 -> ``args`` -> strip ``params=`` -> URL-decode -> payload (with object ``d``).
@@ -11,6 +13,7 @@ Levels: record ``value`` -> envelope -> ``message`` text -> access-log line
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from driftlog import schemas as S
 from driftlog.functions.json import object_check, parse_object
@@ -43,9 +46,28 @@ def decode_args(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.withColumn(PTEXT, _decode_args_col(F.col(LINE)["args"], strict))
 
 
-def decode_payload(df: DataFrame) -> DataFrame:
-    """Payload text -> payload struct with nested ``d``."""
-    return df.withColumn(PAYLOAD, parse_object(F.col(PTEXT), S.PAYLOAD_READ))
+def decode_payload(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Payload text -> payload struct with nested ``d``, pruned to the fact ``columns`` wanted.
+
+    ``d`` may be an object or the text of one. A payload whose ``d`` is text
+    does not parse with ``d`` as an object; only such rows are parsed again
+    with ``d`` as text, whose object is then parsed by itself. Text that is
+    not one object leaves the payload malformed.
+    """
+    schema = S.payload_read(columns)
+    first, again = "_payload_1", "_payload_2"
+    out = df.withColumn(first, parse_object(F.col(PTEXT), schema))
+    out = out.withColumn(again, F.when(F.col(first)[S.CORRUPT].isNotNull(),
+                                       parse_object(F.col(PTEXT), S.payload_read(columns, T.StringType()))))
+    out = out.withColumn("_d", F.when(F.col(again).isNotNull(), parse_object(F.col(again)["d"], S.payload_d(columns))))
+    alt = F.col(again)
+    bad = alt[S.CORRUPT].isNotNull() | ~object_check(alt["d"], F.col("_d"))
+    rebuilt = F.struct(*[alt[f.name].alias(f.name) for f in schema.fields[:-1]],
+                       F.struct(*[F.col("_d")[f.name].alias(f.name) for f in schema["d"].dataType.fields]).alias("d")
+                       if len(schema["d"].dataType.fields) else F.lit(None).cast(schema["d"].dataType).alias("d"),
+                       F.lit(None).cast("string").alias(S.CORRUPT))
+    payload = F.when(alt.isNull() | bad, F.col(first)).otherwise(rebuilt)
+    return out.withColumn(PAYLOAD, payload).drop(first, again, "_d")
 
 
 def reason_expr(value_col: str = "value") -> Column:
@@ -60,9 +82,13 @@ def reason_expr(value_col: str = "value") -> Column:
     )
 
 
-def decode_records(df: DataFrame, value_col: str = "value", mode: str = "permissive") -> DataFrame:
+def decode_records(df: DataFrame, value_col: str = "value", mode: str = "permissive",
+                   columns: list[str] | None = None) -> DataFrame:
     """All decode levels plus a ``reason`` column (null when the record is good).
 
+    ``columns``: the fact columns that will be projected (default: all); the
+    payload is parsed for these only.
+
     ``permissive``: bad records stay, tagged with the first failing check
     (``bad_envelope``, ``bad_message``, ``missing_args``, ``bad_payload``);
     a payload without ``d`` is good and its ``d`` columns are null.
@@ -74,8 +100,10 @@ def decode_records(df: DataFrame, value_col: str = "value", mode: str = "permiss
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    if mode == "failfast" and columns is not None:
+        columns = [*columns, *S.PAYLOAD_D_FIELDS]   # whether there is a d is looked at
     out = decode_payload(decode_args(access_log_columns(decode_envelope(df, value_col)),
-                                     strict=(mode == "failfast")))
+                                     strict=(mode == "failfast")), columns)
     reason = reason_expr(value_col)
     if mode == "failfast":
         reason = F.when(reason.isNotNull(),
@@ -84,21 +112,29 @@ def decode_records(df: DataFrame, value_col: str = "value", mode: str = "permiss
     return out.withColumn(REASON, reason)
 
 
+def decode_visitors(records: DataFrame, value_col: str = "value") -> DataFrame:
+    """Records whose envelope ``message`` should be a visitor event (as an object
+    or as text), with ``reason``: the first failing check of ``bad_envelope``,
+    ``bad_message``, ``missing_ts`` and ``missing_mid``, or null.
+    """
+    env = parse_object(F.col(value_col), S.ENVELOPE_READ)
+    dec = records.withColumn(ENV, env).withColumn(LINE, parse_object(F.col(ENV)["message"], S.VISITOR_EVENT))
+    event = F.col(LINE)
+    reason = (F.when(~object_check(F.col(value_col), F.col(ENV)), F.lit("bad_envelope"))
+              .when(~object_check(F.col(ENV)["message"], event), F.lit("bad_message"))
+              .when(event["ts"].isNull(), F.lit("missing_ts"))
+              .when(event["common"]["mid"].isNull(), F.lit("missing_mid")))
+    return dec.withColumn(REASON, reason)
+
+
 def decode_visitor_events(records: DataFrame, value_col: str = "value",
                           keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Records whose envelope ``message`` is a visitor event (as an object or
-    as text) -> ``(ts millis, common{mid, uid, ar, ch, vc})`` plus ``keep``.
+    """Good visitor events -> ``(ts millis, common{mid, uid, ar, ch, vc})`` plus ``keep``.
 
-    Records failing the envelope or message check are left out (decode them
-    with ``decode_records`` to see why). Narrow, one parse per level.
+    The others are ``quarantined(decode_visitors(records))``.
     """
-    env = parse_object(F.col(value_col), S.ENVELOPE_READ)
-    dec = records.withColumn(ENV, env).withColumn(LINE, parse_object(F.col(ENV)["message"],
-                                                                      S.VISITOR_EVENT))
-    ok = object_check(F.col(value_col), F.col(ENV)) & object_check(F.col(ENV)["message"],
-                                                                   F.col(LINE))
-    return keep_where(dec, ok, [*keep, F.col(LINE)["ts"].alias("ts"),
-                                F.col(LINE)["common"].alias("common")])
+    return keep_where(decode_visitors(records, value_col), F.col(REASON).isNull(),
+                      [*keep, F.col(LINE)["ts"].alias("ts"), F.col(LINE)["common"].alias("common")])
 
 
 def access_log_fields(decoded: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:

@@ -52,12 +52,12 @@ def daily_first_seen(df: DataFrame, id_col: str, ts_col: str = "ts", tie_col: st
 def latest_documents(docs: DataFrame, id_col: str, order: list[str] | None = None) -> DataFrame:
     """Current state of a keyed document store: the last version per id.
 
-    ``order`` defaults to ``["batch_id", "offset"]`` when present: a later
-    batch replaces an earlier one, and inside a batch the later source
-    offset wins.
+    ``order`` defaults to ``["run", "batch_id", "offset"]``, those present: a
+    later run replaces an earlier one, then a later batch, and inside a batch
+    the later source offset wins.
     """
     if order is None:
-        order = [c for c in ("batch_id", "offset") if c in docs.columns]
+        order = [c for c in ("run", "batch_id", "offset") if c in docs.columns]
         if not order:
             raise ValueError("pass order=, e.g. ['batch_id', <unique column>]")
     return pick_per_key(docs, [id_col], order, last=True)

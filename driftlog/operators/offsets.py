@@ -9,10 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-
-# The saved-offsets side of ``resume_from`` holds one row per topic-partition.
-# Broadcast it only up to this many rows; beyond, use a shuffle join.
-MAX_BROADCAST_OFFSET_ROWS = 100_000
+from driftlog import schemas as S
+from driftlog.sources.tables import read_if_present
 
 
 def offset_ranges(records: DataFrame, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
@@ -27,7 +25,7 @@ def offset_ranges(records: DataFrame, by: list[str] | tuple[str, ...] = ()) -> D
                  F.count(F.lit(1)).alias("records")))
 
 
-def ledger_rows(ranges: DataFrame, group: str, batch_id: int | str | None = None) -> DataFrame:
+def ledger_rows(ranges: DataFrame, group: str, batch_id: int | str | None = None, run: int = 0) -> DataFrame:
     """Offset ranges -> ledger rows. ``batch_id`` is a number or a column name."""
     if isinstance(batch_id, str):
         bid = F.col(batch_id).cast("long")
@@ -35,49 +33,49 @@ def ledger_rows(ranges: DataFrame, group: str, batch_id: int | str | None = None
         bid = F.lit(batch_id).cast("long")
     return ranges.select(
         F.lit(group).alias("group"), "topic", F.col("partition").cast("int").alias("partition"),
-        "from_offset", "until_offset", bid.alias("batch_id"))
-
+        "from_offset", "until_offset", bid.alias("batch_id"), F.lit(run).cast("long").alias("run"))
 
-def latest_offsets(ledger: DataFrame) -> DataFrame:
-    """Next offset per (group, topic, partition): the last batch's ``until_offset``."""
-    return (ledger.groupBy("group", "topic", "partition")
-            .agg(F.max_by("until_offset", "batch_id").alias("until_offset"),
-                 F.max("batch_id").alias("batch_id")))
 
+def latest_offsets(ledger: DataFrame, order: tuple[str, ...] = ("run", "batch_id")) -> DataFrame:
+    """Next offset per (group, topic, partition): the ``until_offset`` of the last entry by ``order``.
 
-def _bounded(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    The default is the last batch of the latest run. With ``("run",
+    "until_offset")`` it is the furthest position of the latest run, for
+    sources at rest whose batches are not in offset order.
+    """
+    ledger = ledger if "run" in ledger.columns else ledger.withColumn("run", F.lit(0).cast("long"))
+    last = F.max(F.struct(*order, F.col("until_offset").alias("_until"), F.col("batch_id").alias("_batch")))
+    return (ledger.groupBy("group", "topic", "partition").agg(last.alias("_last"))
+            .select("group", "topic", "partition", F.col("_last._until").alias("until_offset"),
+                    F.col("_last._batch").alias("batch_id")))
 
 
-def resume_from(records: DataFrame, saved: DataFrame, offset_col: str = "until_offset",
-                max_broadcast_rows: int = MAX_BROADCAST_OFFSET_ROWS) -> DataFrame:
+def resume_from(records: DataFrame, saved: DataFrame, offset_col: str = "until_offset") -> DataFrame:
     """Records at or after the saved next offset of their topic-partition.
 
     A partition with no saved offset is read from its start. ``saved`` has
-    ``topic, partition, <offset_col>`` with one row per topic-partition; it
-    is broadcast after a bounded count proves it small, otherwise joined
-    with a shuffle.
+    ``topic, partition, <offset_col>`` with one row per topic-partition.
+    Nothing runs while the plan is built: adaptive execution picks the join
+    by the measured size of ``saved`` and splits a skewed record side.
     """
     side = saved.select("topic", F.col("partition").cast("int").alias("partition"),
                         F.col(offset_col).alias("_resume_at"))
-    if _bounded(side, max_broadcast_rows):
-        side = F.broadcast(side)
     joined = records.join(side, ["topic", "partition"], "left")
     return (joined.where(F.col("_resume_at").isNull() | (F.col("offset") >= F.col("_resume_at")))
             .select(*records.columns))
 
 
 def starting_offsets_json(saved: DataFrame, offset_col: str = "until_offset",
-                          max_rows: int = MAX_BROADCAST_OFFSET_ROWS) -> str:
+                          max_partitions: int = 100_000) -> str:
     """Kafka ``startingOffsets`` JSON from saved offsets (one row per partition).
 
-    Reads at most ``max_rows`` rows to the driver (a topic's partition
-    count); raises when there are more.
+    Kafka takes the positions as one text, so they are read to the driver;
+    more than ``max_partitions`` of them raise an error.
     """
     import json
 
-    rows = saved.select("topic", "partition", offset_col).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = saved.select("topic", "partition", offset_col).limit(max_partitions + 1).collect()
+    if len(rows) > max_partitions:
         raise ValueError("too many topic-partitions for startingOffsets")
     spec: dict[str, dict[str, int]] = {}
     for topic, partition, off in rows:
@@ -85,19 +83,17 @@ def starting_offsets_json(saved: DataFrame, offset_col: str = "until_offset",
     return json.dumps(spec, sort_keys=True)
 
 
-
-def seed_offsets(spark, ledger_path: str, group: str, topic: str) -> str:
+def seed_offsets(spark, ledger_path: str, group: str, topic: str, max_partitions: int = 100_000) -> str:
     """``startingOffsets`` for a new query: the ledger's next offsets, else ``earliest``.
 
     Only a query without a checkpoint uses this; a restarted query resumes
-    from its checkpoint. Reads one row per partition of ``topic``.
+    from its checkpoint. Reads one row per partition of ``topic``, at most
+    ``max_partitions``. Only a path that does not exist counts as no ledger
+    yet; a path that holds something else raises.
     """
-    from pyspark.errors import AnalysisException
-
-    try:
-        ledger = spark.read.parquet(ledger_path)
-    except AnalysisException:  # no ledger yet
+    ledger = read_if_present(spark, ledger_path, S.LEDGER)
+    if ledger is None:
         return "earliest"
     saved = latest_offsets(ledger.where((F.col("group") == group) & (F.col("topic") == topic)))
-    spec = starting_offsets_json(saved)
+    spec = starting_offsets_json(saved, max_partitions=max_partitions)
     return "earliest" if spec == "{}" else spec

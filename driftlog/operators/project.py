@@ -14,27 +14,35 @@ from driftlog.functions.time import day_text, hour_text, instant_to_wall, millis
 from driftlog.operators.decode import LINE, PAYLOAD, REASON, decode_records, good
 
 
-def fact_columns():
-    """The 19 fact columns as expressions over a decoded frame."""
+def fact_columns(columns: list[str] | None = None):
+    """The fact columns (default: all 19) as expressions over a decoded frame."""
     p = F.col(PAYLOAD)
-    cols = {n: p[n] for n in S.PAYLOAD_TOP_FIELDS}
-    cols.update({n: p["d"][n] for n in S.PAYLOAD_D_FIELDS})
-    cols["timestamp"] = F.col(LINE)["timestamp"]
-    return [cols[n].alias(n) for n in S.FACT_COLUMNS]
 
+    def one(name: str):
+        if name == "timestamp":
+            return F.col(LINE)["timestamp"]
+        return p["d"][name] if name in S.PAYLOAD_D_FIELDS else p[name]
 
-def project_fact(decoded: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Good decoded records -> the 19-column fact record (plus ``keep`` columns).
+    return [one(n).alias(n) for n in (S.FACT_COLUMNS if columns is None else columns)]
+
+
+def project_fact(decoded: DataFrame, keep: list[str] | tuple[str, ...] = (),
+                 columns: list[str] | None = None) -> DataFrame:
+    """Good decoded records -> the fact record (all 19 columns, or ``columns``) plus ``keep`` columns.
 
     Missing keys are null, never ``""``.
     """
-    return good(decoded, [*keep, *fact_columns()])
+    return good(decoded, [*keep, *fact_columns(columns)])
 
 
 def decode_fact(records: DataFrame, keep: list[str] | tuple[str, ...] = (),
-                mode: str = "permissive") -> DataFrame:
-    """Records -> fact rows in one narrow stage; bad records are left out."""
-    return project_fact(decode_records(records, mode=mode), keep)
+                mode: str = "permissive", columns: list[str] | None = None) -> DataFrame:
+    """Records -> fact rows in one narrow stage; bad records are left out.
+
+    Name the fact ``columns`` you need: later projections cannot prune the
+    parse, as good rows are emitted through an array (``keep_where``).
+    """
+    return project_fact(decode_records(records, mode=mode, columns=columns), keep, columns)
 
 
 def project_doc(fact: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:

@@ -8,6 +8,8 @@ score is produced: results are ordered by an explicit field.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,10 +41,9 @@ def search(df: DataFrame, text_col: str, query: str, filters: dict[str, Any] | N
     ``highlight_col`` (default ``<text_col>_highlight``).
     """
     toks = query_tokens(query)
-    cond = matches_any(F.col(text_col), toks)
-    for field, value in (filters or {}).items():
-        cond = cond & term_filter(df, field, value)
-    hits = df.where(cond)
+    # the cheap term filters first: conditions run in the order they are given
+    conds = [term_filter(df, field, value) for field, value in (filters or {}).items()]
+    hits = df.where(reduce(and_, [*conds, matches_any(F.col(text_col), toks)]))
     order: list[Column] = []
     if sort:
         order.append(F.col(sort).desc_nulls_last() if descending else F.col(sort).asc_nulls_last())

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from driftlog import schemas as S
-from driftlog.functions.json import is_json_object, object_check, parse_object
+from driftlog.functions.json import object_check, parse_object
 from driftlog.functions.time import day_number, instant_to_wall
 from driftlog.functions.url import decode_args, query_string
-from driftlog.operators.decode import REASON, decode_records
+from driftlog.operators.decode import REASON, access_log_fields, decode_records, split_valid
 from driftlog.operators.dedup import daily_first_seen, latest_documents
 from driftlog.operators.parallel import spread
 from driftlog.operators.offsets import latest_offsets, ledger_rows, offset_ranges, resume_from
@@ -26,11 +26,10 @@ from driftlog.operators.project import (decode_fact, project_doc, project_visito
                                         with_doc_id, with_event_day)
 from driftlog.operators.search import search
 from driftlog.session import scratch_path
-from driftlog.streaming.sinks import read_store, with_write_metrics
-from driftlog.sources.records import (file_records, records_from_events, table_stream,
+from driftlog.streaming.sinks import read_store, upsert_documents, with_write_metrics
+from driftlog.sources.records import (DEFAULT_PARTITIONS, DEFAULT_TOPIC, file_records, records_from_events,
                                       visitor_events)
 from driftlog.streaming.jobs import daily_visitors, flatten_append, flatten_upsert, read_visitors
-from driftlog.streaming.snapshots import compact, current_view
 from driftlog.sources.tables import read_table
 
 GROUP = "tracking-etl"
@@ -61,10 +60,15 @@ def q_decode_fact(spark, sf_dir):
 
 
 def q_doc_projection(spark, sf_dir):
-    fact = decode_fact(_records(spark, sf_dir), keep=("topic", "partition", "offset"))
+    fact = decode_fact(_records(spark, sf_dir), keep=("topic", "partition", "offset"), columns=S.DOC6_COLUMNS)
     return project_doc(with_doc_id(fact), keep=("doc_id",))
 
 
+def q_access_log_fields(spark, sf_dir):
+    decoded = decode_records(_records(spark, sf_dir), columns=[])
+    return access_log_fields(decoded, keep=("partition", "offset"))
+
+
 def q_json_props(spark, sf_dir):
     schema = T.StructType([T.StructField("k", T.StringType())])
     ev = (_events(spark, sf_dir).select("event_id", "props")
@@ -83,14 +87,14 @@ def _texts(spark, sf_dir) -> DataFrame:
     """Every text column of the given tables as ``(source, id, text)``."""
     parts = [
         _events(spark, sf_dir).select(F.lit("events").alias("source"),
-                                      F.col("event_id").alias("id"), F.col("props").alias("text")),
+                                      F.col("event_id").cast("string").alias("id"), F.col("props").alias("text")),
         _documents(spark, sf_dir).select(F.lit("documents").alias("source"),
-                                         F.col("doc_id").alias("id"), "text"),
+                                         F.col("doc_id").cast("string").alias("id"), "text"),
         read_table(spark, sf_dir, "conversations").select(
             F.lit("conversations").alias("source"),
-            (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text"),
+            F.concat_ws("-", "conv_id", "turn").alias("id"), "text"),
         read_table(spark, sf_dir, "pages").select(F.lit("pages").alias("source"),
-                                                  F.col("page_id").alias("id"),
+                                                  F.col("page_id").cast("string").alias("id"),
                                                   F.col("html").alias("text")),
     ]
     out = parts[0]
@@ -100,8 +104,9 @@ def _texts(spark, sf_dir) -> DataFrame:
 
 
 def q_valid_split(spark, sf_dir):
-    return _texts(spark, sf_dir).select("source", "id",
-                                        is_json_object(F.col("text")).alias("is_object"))
+    valid, bad = split_valid(_texts(spark, sf_dir), "text")
+    return (valid.select("source", "id", F.lit(True).alias("is_object"))
+            .unionAll(bad.select("source", "id", F.lit(False))))
 
 
 def _mixed_records(spark, sf_dir) -> DataFrame:
@@ -180,7 +185,8 @@ UPSERT_ORDER = ["batch_id", "event_time", "partition", "offset"]
 
 def _keyed_docs(spark, sf_dir) -> DataFrame:
     """Documents keyed by ``uid``, one upsert batch per event day."""
-    fact = decode_fact(_records(spark, sf_dir), keep=("partition", "offset"))
+    fact = decode_fact(_records(spark, sf_dir), keep=("partition", "offset"),
+                       columns=["uid", "timestamp", *S.DOC6_COLUMNS])
     return (fact.withColumn("event_time", F.to_timestamp("timestamp"))
             .withColumn("batch_id", _batch_of("event_time")))
 
@@ -193,16 +199,19 @@ def q_upsert_latest(spark, sf_dir):
 
 
 def q_upsert_snapshot(spark, sf_dir):
-    """The keyed store as the upsert job lays it out (one ``batch_id`` folder per
-    batch, written here in one distributed write), compacted up to the cutoff
-    day, read as snapshot + later batches. Equals ``upsert_latest``."""
-    base = _stream_dir(spark, "upsert-snapshot")
-    store, snap = f"{base}/store", f"{base}/snap"
-    _keyed_docs(spark, sf_dir).write.partitionBy("batch_id").parquet(store)
-    cutoff = int(RESUME_AFTER_DAY.replace("-", ""))
-    compact(spark, store, snap, ["uid"], UPSERT_ORDER, upto=cutoff)
-    view = current_view(spark, store, snap, ["uid"], UPSERT_ORDER, columns=S.DOC6_COLUMNS)
-    return view.select("uid", "batch_id", *S.DOC6_COLUMNS)
+    """The view of a keyed store that two runs wrote: the days up to the cutoff
+    in the first, the later ones in a second, whose batch ids start again at 0.
+    Equals ``upsert_latest``."""
+    store = f"{_stream_dir(spark, 'upsert-snapshot')}/store"
+    docs = _keyed_docs(spark, sf_dir).withColumnRenamed("batch_id", "day") \
+        .select("uid", "day", "event_time", "partition", "offset", *S.DOC6_COLUMNS)
+    before = F.col("day") <= int(RESUME_AFTER_DAY.replace("-", ""))
+    upsert_documents(docs.where(before), 0, store, "uid", run=1)
+    upsert_documents(docs.where(~before), 0, store, "uid", run=2)
+    stored = read_store(spark, store, schema=T.StructType([
+        *docs.schema.fields, T.StructField("run", T.LongType()), T.StructField("batch_id", T.LongType())]))
+    latest = latest_documents(stored, "uid", order=["run", "batch_id", "day", "event_time", "partition", "offset"])
+    return latest.select("uid", F.col("day").alias("batch_id"), *S.DOC6_COLUMNS)
 
 
 def q_rows_to_json(spark, sf_dir):
@@ -251,11 +260,13 @@ def q_search_links(spark, sf_dir):
 
 
 def q_write_metrics(spark, sf_dir):
-    """Documents written per bulk (one bulk per topic-partition), plus the running
-    ``written`` metric observed on the way (read it from the Observation)."""
-    fact = decode_fact(_records(spark, sf_dir), keep=("topic", "partition"))
-    fact, _obs = with_write_metrics(fact)
-    return fact.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("written"))
+    """Documents written, by topic-partition: one write, its counts observed on the way."""
+    fact = decode_fact(_records(spark, sf_dir), keep=("partition",), columns=[])
+    by = {f"p{p}": F.sum((F.col("partition") == p).cast("int")) for p in range(DEFAULT_PARTITIONS)}
+    fact, seen = with_write_metrics(fact, more=by)
+    fact.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(DEFAULT_TOPIC, p, seen.get[f"p{p}"]) for p in range(DEFAULT_PARTITIONS)],
+                                 "topic string, partition int, written long")
 
 
 # --- streaming forms: run to completion with availableNow, read the store back ---
@@ -266,25 +277,25 @@ def _stream_dir(spark, name: str) -> str:
 
 def q_daily_first_seen_stream(spark, sf_dir):
     base = _stream_dir(spark, "daily-visitors")
-    stream = visitor_events(table_stream(spark, sf_dir, "events"))
+    # the month in three parts, written one after the other: a batch each
+    events = visitor_events(_events(spark, sf_dir))
+    for low, high in ((0, 11), (11, 21), (21, 99)):
+        day = F.dayofmonth(F.timestamp_millis("ts"))
+        events.where((day >= low) & (day < high)).coalesce(2).write.mode("append").parquet(f"{base}/src")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "2").parquet(f"{base}/src")
     daily_visitors(stream, f"{base}/out", f"{base}/ckpt", tie_col="event_id",
                    available_now=True,
                    state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return read_visitors(spark, f"{base}/out")
 
 
-def _records_at_rest(spark, sf_dir, base: str, file_per_partition: bool = False) -> str:
-    """Write the derived records as files: the offline stand-in for a topic.
-
-    ``file_per_partition`` puts each topic-partition in one file, so that
-    micro-batches of one file each see every partition's offsets in order
-    (as a topic delivers them); otherwise files are written as the data lies.
-    """
+def _records_at_rest(spark, sf_dir, base: str, files: int | None = None, where=None) -> str:
+    """Write the derived records as files (as the data lies, or dealt into
+    ``files``): the offline stand-in for a topic."""
     path = f"{base}/records"
     recs = _records(spark, sf_dir)
-    if file_per_partition:
-        recs = recs.repartition("partition")
-    recs.write.parquet(path)
+    recs = recs if where is None else recs.where(where)
+    (recs.repartition(files) if files else recs).write.mode("append").parquet(path)
     return path
 
 
@@ -293,32 +304,54 @@ def q_flatten_append_stream(spark, sf_dir):
     src = file_records(spark, _records_at_rest(spark, sf_dir, base), stream=True)
     flatten_append(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
                    quarantine_path=f"{base}/bad", available_now=True).awaitTermination()
-    return read_store(spark, f"{base}/docs").select(*S.DOC6_COLUMNS)
+    return read_store(spark, f"{base}/docs", schema=_doc6_store()).select(*S.DOC6_COLUMNS)
+
+
+def _doc6_store() -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*S.DOC6_COLUMNS, "dt"]]
+                        + [T.StructField(n, T.LongType()) for n in ("run", "batch_id")])
+
+
+def q_resume_stream(spark, sf_dir):
+    """One store and ledger over two checkpoints: part 1 of the records with
+    the first, part 2 with a fresh one; the store holds all of them."""
+    base = _stream_dir(spark, "resume")
+    cut = F.col("offset") % 5 < 2
+    for n, part in enumerate((cut, ~cut)):
+        src = file_records(spark, _records_at_rest(spark, sf_dir, f"{base}/{n}", where=part), stream=True)
+        flatten_append(src, f"{base}/docs", f"{base}/ckpt{n}", ledger_path=f"{base}/ledger",
+                       available_now=True).awaitTermination()
+    return read_store(spark, f"{base}/docs", schema=_doc6_store()).select(*S.DOC6_COLUMNS)
 
 
 def q_flatten_upsert_stream(spark, sf_dir):
     base = _stream_dir(spark, "flatten-upsert")
     src = file_records(spark, _records_at_rest(spark, sf_dir, base), stream=True)
-    flatten_upsert(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
+    flatten_upsert(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger", key="uid",
                    available_now=True).awaitTermination()
     out = ["doc_id", "uid", "oid", "et", "timestamp"]
-    store = read_store(spark, f"{base}/docs").select(*out, "batch_id", "offset")
-    return latest_documents(store, "doc_id").select(*out)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in out]
+                          + [T.StructField("partition", T.IntegerType())]
+                          + [T.StructField(n, T.LongType()) for n in ("offset", "run", "batch_id")])
+    store = read_store(spark, f"{base}/docs", schema=schema)
+    return latest_documents(store, "doc_id", ["run", "batch_id", "offset", "partition"]).select(*out)
 
 
 def q_ledger_stream(spark, sf_dir):
     base = _stream_dir(spark, "ledger")
-    src = file_records(spark, _records_at_rest(spark, sf_dir, base, file_per_partition=True),
-                       stream=True, max_files_per_trigger=1)
+    src = file_records(spark, _records_at_rest(spark, sf_dir, base, files=6), stream=True, max_files_per_trigger=2)
     flatten_append(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
                    available_now=True).awaitTermination()
-    latest = latest_offsets(read_store(spark, f"{base}/ledger"))
+    # files at rest are not in offset order: the furthest position counts
+    ledger = read_store(spark, f"{base}/ledger", schema=S.LEDGER)
+    latest = latest_offsets(ledger, order=("run", "until_offset"))
     return latest.select("group", "topic", "partition", "until_offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_fact": q_decode_fact,
     "doc_projection": q_doc_projection,
+    "access_log_fields": q_access_log_fields,
     "json_props": q_json_props,
     "url_args": q_url_args,
     "valid_split": q_valid_split,
@@ -340,4 +373,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_append_stream": q_flatten_append_stream,
     "flatten_upsert_stream": q_flatten_upsert_stream,
     "ledger_stream": q_ledger_stream,
+    "resume_stream": q_resume_stream,
 }

@@ -15,8 +15,6 @@ from driftlog.plans.catalog import (GROUP, LINK_QUERY, LINK_TERM, RESUME_AFTER_D
                                     SEARCH_QUERY)
 from driftlog.functions.text import query_tokens
 
-_V = "CAST(NULL AS VARCHAR)"
-
 # Record position and time of an ``events`` row, as records_from_events sets them.
 _RECORDS = """
   SELECT 'tracking' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition",
@@ -27,14 +25,17 @@ _RECORDS = """
 """
 
 _FACT = f"""
-  SELECT 'shop' AS b, 'h5' AS s, event_type AS en, event_type AS et,
-         'https://shop.example.com/e/' || CAST(event_id AS VARCHAR) AS cu, {_V} AS pu,
+  SELECT 'shop' || user_id % 3 AS b, 'h' || event_id % 2 AS s, event_type AS en, event_type AS et,
+         'https://shop.example.com/e/' || CAST(event_id AS VARCHAR) AS cu,
+         'https://shop.example.com/u/' || user_id AS pu,
          CAST(user_id AS VARCHAR) AS uid,
          CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d') AS sid,
-         {_V} AS ref, {_V} AS land, props AS gs, CAST(event_id AS VARCHAR) AS oid,
-         CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS st, {_V} AS lvst,
+         'https://ref.example.com/' || event_id % 97 AS ref, 'https://land.example.com/' || event_id % 89 AS land,
+         props AS gs, CAST(event_id AS VARCHAR) AS oid,
+         CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS st, 'lv' || event_id % 7 AS lvst,
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
-         'web' AS chl, {_V} AS poid, 'c' || event_type AS "catId", {_V} AS "shopId",
+         'web' || event_id % 5 AS chl, 'po' || event_id AS poid, 'c' || event_type AS "catId",
+         'sh' || user_id % 11 AS "shopId",
          event_id, ts
   FROM events
 """
@@ -75,10 +76,10 @@ def _decode_args(args: str) -> str:
 
 
 _TEXTS = """
-  SELECT 'events' AS source, event_id AS id, props AS text FROM events
-  UNION ALL SELECT 'documents', doc_id, text FROM documents
-  UNION ALL SELECT 'conversations', conv_id * 1000 + turn, text FROM conversations
-  UNION ALL SELECT 'pages', page_id, html FROM pages
+  SELECT 'events' AS source, CAST(event_id AS VARCHAR) AS id, props AS text FROM events
+  UNION ALL SELECT 'documents', CAST(doc_id AS VARCHAR), text FROM documents
+  UNION ALL SELECT 'conversations', conv_id || '-' || turn, text FROM conversations
+  UNION ALL SELECT 'pages', CAST(page_id AS VARCHAR), html FROM pages
 """
 
 # Reason of a record value ``v``, same checks and order as decode_records.
@@ -103,6 +104,22 @@ SELECT 'tracking-' || CAST(event_id % 4 AS VARCHAR) || '-' || CAST(event_id // 4
 FROM ({_FACT})
 """
 
+SQL["access_log_fields"] = """
+SELECT CAST(event_id % 4 AS INTEGER) AS "partition", CAST(event_id // 4 AS BIGINT) AS "offset",
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
+       '192.0.2.' || (user_id % 250 + 1) AS client_ip, 'track.example.com' AS domain,
+       'params=' || replace(replace(url_encode(CAST(to_json({
+         'b': 'shop' || user_id % 3, 's': 'h' || event_id % 2, 'en': event_type, 'et': event_type,
+         'cu': 'https://shop.example.com/e/' || event_id, 'pu': 'https://shop.example.com/u/' || user_id,
+         'uid': CAST(user_id AS VARCHAR), 'sid': user_id || '-' || strftime(ts, '%Y-%m-%d'),
+         'ref': 'https://ref.example.com/' || event_id % 97, 'land': 'https://land.example.com/' || event_id % 89,
+         'd': {'gs': props, 'oid': CAST(event_id AS VARCHAR), 'st': CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR),
+               'lvst': 'lv' || event_id % 7, 'chl': 'web' || event_id % 5, 'poid': 'po' || event_id,
+               'catId': 'c' || event_type, 'shopId': 'sh' || user_id % 11, 'sq': '1',
+               'amt': CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)}}) AS VARCHAR)), '%20', '+'), '%2A', '*') AS args
+FROM events
+"""
+
 SQL["json_props"] = f"""
 SELECT event_id, json_extract_string(props, '$.k') AS k, {_is_obj('props')} AS is_object
 FROM events
@@ -156,7 +173,7 @@ SELECT dt, mid, hr, ts_ms AS ts, event_id, event_type AS ch FROM ({_FIRST_SEEN})
 """
 
 SQL["visitor_record"] = f"""
-SELECT mid, mid AS uid, {_V} AS ar, event_type AS ch, '1.0' AS vc, dt, hr, '00' AS mi, ts_ms AS ts
+SELECT mid, mid AS uid, 'ar' || CAST(mid AS BIGINT) % 13 AS ar, event_type AS ch, '1.0' AS vc, dt, hr, '00' AS mi, ts_ms AS ts
 FROM ({_FIRST_SEEN})
 """
 
@@ -239,10 +256,12 @@ SQL["flatten_append_stream"] = f"""
 SELECT oid, b, "catId", chl, cu, en FROM ({_FACT})
 """
 
+SQL["resume_stream"] = SQL["flatten_append_stream"]
+
 SQL["flatten_upsert_stream"] = f"""
-SELECT 'tracking-' || CAST(event_id % 4 AS VARCHAR) || '-' || CAST(event_id // 4 AS VARCHAR) AS doc_id,
-       uid, oid, et, "timestamp"
-FROM ({_FACT})
+SELECT uid AS doc_id, uid, oid, et, "timestamp" FROM (
+  SELECT f.*, row_number() OVER (PARTITION BY uid ORDER BY event_id // 4 DESC, event_id % 4 DESC) AS rn
+  FROM ({_FACT}) f) WHERE rn = 1
 """
 
 SQL["ledger_stream"] = f"""

@@ -15,17 +15,13 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 
 # Access-log line carried as text in the envelope's ``message`` field.
-LINE_FIELDS = ["timestamp", "client_ip", "method", "status", "domain",
-               "http_referer", "request_id", "agent", "uri", "args"]
-# Of those, the ones the decode reads.
+# (it has more; these are the fields the decode reads).
 LINE_READ_FIELDS = ["timestamp", "client_ip", "domain", "args"]
 
 # Top-level payload fields kept in the fact record.
 PAYLOAD_TOP_FIELDS = ["b", "s", "en", "et", "cu", "pu", "uid", "sid", "ref", "land"]
 # Fields of the nested payload object ``d`` kept in the fact record.
 PAYLOAD_D_FIELDS = ["gs", "oid", "st", "lvst", "chl", "poid", "catId", "shopId"]
-# Fields of ``d`` that the tracking format sends but the fact record drops.
-PAYLOAD_D_DROPPED = ["ob", "sq", "lvo", "pr", "pt", "so", "amt", "sum"]
 
 # The 19-column fact record, in this order.
 FACT_COLUMNS = ["b", "s", "en", "et", "cu", "pu", "uid", "sid", "ref", "land",
@@ -67,29 +63,28 @@ RECORD = T.StructType([
 # Outer envelope as read: only ``message`` is used.
 ENVELOPE_READ = _strings(["message"])
 
-LINE = _strings(LINE_FIELDS)
 LINE_READ = _strings(LINE_READ_FIELDS)
 
-PAYLOAD_D = _strings(PAYLOAD_D_FIELDS)
-PAYLOAD_READ = T.StructType(
-    [T.StructField(n, T.StringType(), True) for n in PAYLOAD_TOP_FIELDS]
-    + [T.StructField("d", PAYLOAD_D, True)]
-)
 
-FACT = _strings(FACT_COLUMNS)
-DOC6 = _strings(DOC6_COLUMNS)
+def payload_d(columns: list[str] | None = None) -> T.StructType:
+    """The nested object ``d``, pruned to the fact ``columns`` wanted (default: all)."""
+    return _strings([n for n in PAYLOAD_D_FIELDS if columns is None or n in columns])
+
+
+def payload_read(columns: list[str] | None = None, d: T.DataType | None = None) -> T.StructType:
+    """The payload, pruned to the fact ``columns`` wanted; ``d`` as an object unless typed otherwise."""
+    top = _strings([n for n in PAYLOAD_TOP_FIELDS if columns is None or n in columns])
+    return T.StructType([*top.fields, T.StructField("d", d or payload_d(columns), True)])
+
 
 VISITOR_COMMON = _strings(VISITOR_COMMON_FIELDS)
 VISITOR_EVENT = T.StructType([
     T.StructField("ts", T.LongType(), True),
     T.StructField("common", VISITOR_COMMON, True),
 ])
-VISITOR = T.StructType(
-    [T.StructField(n, T.StringType(), True) for n in VISITOR_COLUMNS[:-1]]
-    + [T.StructField("ts", T.LongType(), True)]
-)
 
-# Offset ledger: one row per (batch, topic, partition).
+# Offset ledger: one row per (group, topic, run, batch, partition). A run is one
+# streaming checkpoint; batch ids start again at 0 with every run.
 LEDGER = T.StructType([
     T.StructField("group", T.StringType(), True),
     T.StructField("topic", T.StringType(), True),
@@ -97,19 +92,9 @@ LEDGER = T.StructType([
     T.StructField("from_offset", T.LongType(), True),
     T.StructField("until_offset", T.LongType(), True),
     T.StructField("batch_id", T.LongType(), True),
+    T.StructField("run", T.LongType(), True),
 ])
 
-# Searchable document shape used by the search operator's tests.
-SEARCH_DOC = T.StructType([
-    T.StructField("id", T.StringType(), True),
-    T.StructField("name", T.StringType(), True),
-    T.StructField("actorList", T.ArrayType(_strings(["name"])), True),
-    T.StructField("doubanScore", T.DoubleType(), True),
-])
-
-# Quarantine reasons, in the order the decode checks them.
-REASONS = ["bad_envelope", "bad_message", "missing_args", "bad_payload"]
-
 
 def with_corrupt(schema: T.StructType) -> T.StructType:
     """``schema`` plus the corrupt-record column a permissive parse fills."""

@@ -8,6 +8,10 @@ table and needs no shuffle. The field mapping:
 
     user_id -> uid, mid      event_type -> et, en      event_id -> d.oid
     props -> d.gs (text)     ts -> line timestamp      value -> d.st, d.amt
+
+The other fields are filled from these too, each with values of its own, so
+that every decoded column can be told from the others.
+
     partition = event_id mod partitions, offset = event_id div partitions
 """
 
@@ -27,6 +31,10 @@ def _money(c: Column) -> Column:
     return c.cast("decimal(18,2)").cast("string")
 
 
+def _tagged(tag: str, c: Column) -> Column:
+    return F.concat(F.lit(tag), c.cast("string"))
+
+
 def payload_struct() -> Column:
     """Tracking payload for an ``events`` row (before URL encoding)."""
     uid = F.col("user_id").cast("string")
@@ -34,20 +42,26 @@ def payload_struct() -> Column:
         F.col("props").alias("gs"),
         F.col("event_id").cast("string").alias("oid"),
         _money(F.col("value")).alias("st"),
-        F.lit("web").alias("chl"),
+        _tagged("lv", F.col("event_id") % 7).alias("lvst"),
+        _tagged("web", F.col("event_id") % 5).alias("chl"),
+        _tagged("po", F.col("event_id")).alias("poid"),
         F.concat(F.lit("c"), F.col("event_type")).alias("catId"),
+        _tagged("sh", F.col("user_id") % 11).alias("shopId"),
         # sent by the tracker, dropped by the fact projection
         F.lit("1").alias("sq"),
         _money(F.col("value")).alias("amt"),
     )
     return F.struct(
-        F.lit("shop").alias("b"),
-        F.lit("h5").alias("s"),
+        _tagged("shop", F.col("user_id") % 3).alias("b"),
+        _tagged("h", F.col("event_id") % 2).alias("s"),
         F.col("event_type").alias("en"),
         F.col("event_type").alias("et"),
         F.concat(F.lit("https://shop.example.com/e/"), F.col("event_id").cast("string")).alias("cu"),
+        _tagged("https://shop.example.com/u/", F.col("user_id")).alias("pu"),
         uid.alias("uid"),
         F.concat_ws("-", uid, day_text(F.col("ts"))).alias("sid"),
+        _tagged("https://ref.example.com/", F.col("event_id") % 97).alias("ref"),
+        _tagged("https://land.example.com/", F.col("event_id") % 89).alias("land"),
         d.alias("d"),
     )
 
@@ -73,14 +87,14 @@ def envelope_json(line: Column, topic: str) -> Column:
     """Shipper envelope with the line as text in ``message``."""
     return F.to_json(F.struct(
         iso_text(F.col("ts"), "Z").alias("@timestamp"),
-        F.struct(F.lit("filebeat").alias("beat"), F.lit("_doc").alias("type"),
-                 F.lit("7.8.0").alias("version"), F.lit(topic).alias("topic")).alias("@metadata"),
-        F.struct(F.lit("edge-01").alias("hostname"), F.lit("filebeat").alias("type")).alias("agent"),
+        F.struct(F.lit("shipper").alias("beat"), F.lit("line").alias("type"),
+                 F.lit("1.0").alias("version"), F.lit(topic).alias("topic")).alias("@metadata"),
+        F.struct(F.lit("node-a").alias("hostname"), F.lit("shipper").alias("type")).alias("agent"),
         F.struct(F.col("event_id").alias("offset"),
-                 F.struct(F.lit("/var/log/nginx/access.log").alias("path")).alias("file")).alias("log"),
+                 F.struct(F.lit("/logs/hits.log").alias("path")).alias("file")).alias("log"),
         F.to_json(line).alias("message"),
         F.struct(F.lit("log").alias("type")).alias("input"),
-        F.struct(F.lit("edge-01").alias("name")).alias("host"),
+        F.struct(F.lit("node-a").alias("name")).alias("host"),
     ))
 
 
@@ -102,7 +116,7 @@ def visitor_events(events: DataFrame) -> DataFrame:
     uid = F.col("user_id").cast("string")
     return events.select(
         wall_to_millis(F.col("ts")).alias("ts"),
-        F.struct(uid.alias("mid"), uid.alias("uid"), F.lit(None).cast("string").alias("ar"),
+        F.struct(uid.alias("mid"), uid.alias("uid"), _tagged("ar", F.col("user_id") % 13).alias("ar"),
                  F.col("event_type").alias("ch"), F.lit("1.0").alias("vc")).alias("common"),
         F.col("event_id"),
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -13,5 +15,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table_schema(spark: SparkSession, sf_dir: str, name: str):
-    return read_table(spark, sf_dir, name).schema
+def read_if_present(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None when there is no such path; any other failure raises."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

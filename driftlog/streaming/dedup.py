@@ -10,12 +10,15 @@ The struct also carries the micro-batch time (``current_timestamp()`` is
 fixed per micro-batch and replayed with it), so each batch emits only the
 keys whose earliest event was set in that batch: new visitors, or a
 visitor whose late-arriving event is earlier than the one already stored.
-Stores read the current view with ``current_first_seen`` (latest batch per
-key), which then equals the batch operator ``daily_first_seen`` exactly.
-
-State is keyed by the day; the watermark is on the day's start instant, so
-a day's keys are evicted once the watermark passes ``lateness`` beyond it.
-Events older than the watermark are dropped, not counted as new visitors.
+Stores read the current view with ``current_first_seen`` (earliest event per
+key over all batches and runs), which then equals the batch operator
+``daily_first_seen`` exactly.
+
+State is keyed by the day. The watermark is on the day's start, held back by
+``lateness`` and the longest day (25 hours), so an event is kept at least as
+long as it is no later than ``lateness`` behind the newest one, also when a
+newer event has already begun the next day. Days wholly older are evicted,
+and their events dropped, not counted as new visitors.
 """
 
 from __future__ import annotations
@@ -29,6 +32,9 @@ from driftlog.operators.project import with_event_day
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT_MODE = "update"
 
+# the event time rides on the day's start, which lies up to this much before it
+LONGEST_DAY = "25 hours"
+
 _DAY, _PICK, _SEEN, _ROW = "_day", "_pick", "_seen_at", "_row"
 
 
@@ -70,7 +76,7 @@ def daily_first_seen_stream(df: DataFrame, id_col: str, ts_col: str = "ts",
                       F.col(_SEEN), F.struct(*rest).alias(_ROW))
     agg = (dated.withColumn(_DAY, day_start(F.col("dt"), tz))
            .withColumn(_SEEN, F.current_timestamp())  # the micro-batch time
-           .withWatermark(_DAY, lateness)
+           .withWatermark(_DAY, f"{lateness} {LONGEST_DAY}")
            .groupBy(_DAY, "dt", id_col)
            .agg(F.min(packed).alias(_PICK)))
     changed = agg.where(F.col(f"{_PICK}.{_SEEN}") == F.current_timestamp())
@@ -79,6 +85,12 @@ def daily_first_seen_stream(df: DataFrame, id_col: str, ts_col: str = "ts",
     return changed.select(*[by_name[c] for c in out_cols])
 
 
-def current_first_seen(store: DataFrame, id_col: str) -> DataFrame:
-    """Current first-seen view of a store written batch by batch (latest batch per key)."""
-    return pick_per_key(store, ["dt", id_col], ["batch_id"], last=True)
+def current_first_seen(store: DataFrame, id_col: str, ts_col: str = "ts") -> DataFrame:
+    """Current first-seen view of a store written batch by batch.
+
+    The earliest event per key; of equal times the latest correction of the
+    latest run.
+    """
+    run = F.col("run") if "run" in store.columns else F.lit(0)
+    newest = store.withColumns({"_r": -run, "_b": -F.col("batch_id")})
+    return pick_per_key(newest, ["dt", id_col], [ts_col, "_r", "_b"]).drop("_r", "_b")

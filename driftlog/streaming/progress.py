@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
+
+from driftlog.streaming.sinks import append_offsets
 
 
 def progress_offsets(progress: dict | None) -> list[dict]:
@@ -31,5 +34,32 @@ def progress_offsets(progress: dict | None) -> list[dict]:
     return out
 
 
-def last_batch_offsets(query: StreamingQuery) -> list[dict]:
-    return progress_offsets(query.lastProgress)
+class OffsetLedger(StreamingQueryListener):
+    """Writes the positions of a named query's batches to the ledger, from its progress reports.
+
+    For a stateful query, whose batches no longer hold source positions. A
+    report comes after its batch is committed, and a repeated one rewrites
+    the same ledger rows.
+    """
+
+    def __init__(self, name: str, path: str, group: str, run: int):
+        self.name, self.path, self.group, self.run = name, path, group, run
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name != self.name:
+            return
+        found = [o for o in progress_offsets(json.loads(event.progress.json)) if o["topic"] is not None]
+        if found:
+            ranges = SparkSession.active().createDataFrame(
+                [(o["topic"], o["partition"], o["start"], o["end"]) for o in found],
+                "topic string, partition int, from_offset long, until_offset long")
+            append_offsets(ranges, event.progress.batchId, self.path, self.group, self.run)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

@@ -1,39 +1,49 @@
 """Sinks. Document writes are idempotent per micro-batch.
 
-Each micro-batch writes into its own ``batch_id`` partition with dynamic
-partition overwrite, so a batch replayed after a failure (same id, same
-offsets, by the checkpoint's contract) replaces exactly what its first
-attempt wrote: the store never holds a batch twice. Upserts are a read-time
-view (``latest_documents``): the highest ``batch_id`` per id wins, then the
-highest source offset.
+Each micro-batch writes into its own ``(run, batch_id)`` partition with
+dynamic partition overwrite, so a batch replayed after a failure (same id,
+same offsets, by the checkpoint's contract) replaces exactly what its first
+attempt wrote, and a query on a new checkpoint (a new run, see
+``streaming.runs``) never touches what an earlier one wrote. Upserts are a
+read-time view (``latest_documents``): the latest run per id wins, then the
+highest ``batch_id``, then the highest source offset.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from driftlog.operators.offsets import ledger_rows
 from driftlog.sources.kafka import kafka_frame, kafka_sink_options
 
 
-def _write_batch(df: DataFrame, batch_id: int, path: str, partition_by=(), fmt: str = "parquet"):
-    (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-       .write.mode("overwrite")
+def _write_batch(df: DataFrame, batch_id: int, path: str, partition_by=(), fmt: str = "parquet", run: int = 0,
+                 files: int | None = None):
+    out = df.withColumn("run", F.lit(run).cast("long")).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    if files:
+        out = out.coalesce(files)
+    (out.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by, "batch_id")
+       .partitionBy(*partition_by, "run", "batch_id")
        .format(fmt)
        .save(path))
 
 
 def append_documents(df: DataFrame, batch_id: int, path: str, partition_by=(),
-                     fmt: str = "parquet") -> None:
-    """Write one micro-batch of documents under ``batch_id`` (replay-safe)."""
-    _write_batch(df, batch_id, path, partition_by, fmt)
+                     fmt: str = "parquet", run: int = 0, files: int | None = None) -> None:
+    """Write one micro-batch of documents under ``(run, batch_id)`` (replay-safe).
+
+    ``files`` merges the batch's tasks without a shuffle, so that it leaves
+    at most that many files in a partition folder.
+    """
+    _write_batch(df, batch_id, path, partition_by, fmt, run, files)
 
 
 def upsert_documents(df: DataFrame, batch_id: int, path: str, id_col: str = "doc_id",
-                     partition_by=(), fmt: str = "parquet") -> None:
+                     partition_by=(), fmt: str = "parquet", run: int = 0, files: int | None = None) -> None:
     """Write a batch of keyed documents; read the current state with ``latest_documents``.
 
     Keep an ``offset`` column (or another unique order) in ``df`` so ties
@@ -41,27 +51,31 @@ def upsert_documents(df: DataFrame, batch_id: int, path: str, id_col: str = "doc
     """
     if id_col not in df.columns:
         raise ValueError(f"upsert needs the id column {id_col!r}")
-    _write_batch(df, batch_id, path, partition_by, fmt)
+    _write_batch(df, batch_id, path, partition_by, fmt, run, files)
 
 
-def append_offsets(ranges: DataFrame, batch_id: int, path: str, group: str) -> None:
-    """Ledger rows of one batch (after its data is written); replay-safe."""
-    ledger = ledger_rows(ranges, group, batch_id).drop("batch_id")
-    _write_batch(ledger, batch_id, path)
+def append_offsets(ranges: DataFrame, batch_id: int, path: str, group: str, run: int = 0) -> None:
+    """Ledger rows of one batch (after its data is written); replay-safe.
+
+    A partition folder per group, topic, run and batch: groups and topics may share a ledger.
+    """
+    ledger = ledger_rows(ranges, group, batch_id).drop("batch_id", "run")
+    _write_batch(ledger, batch_id, path, ("group", "topic"), run=run)
 
 
-def with_write_metrics(df: DataFrame, name: str = "written") -> tuple[DataFrame, Observation | str]:
-    """Count rows as they pass, without a second job.
+def with_write_metrics(df: DataFrame, name: str = "written",
+                       more: dict[str, Column] | None = None) -> tuple[DataFrame, Observation | str]:
+    """Count rows as they pass, without a second job; ``more`` names further aggregates.
 
     Batch: returns ``(df, Observation)``; read ``obs.get["rows"]`` after the
     write. Stream: returns ``(df, name)``; the count appears in the
     query progress ``observedMetrics[name]``.
     """
-    metric = F.count(F.lit(1)).alias("rows")
+    metrics = [F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in (more or {}).items()]]
     if df.isStreaming:
-        return df.observe(name, metric), name
-    obs = Observation(name)
-    return df.observe(obs, metric), obs
+        return df.observe(name, *metrics), name
+    obs = Observation(f"{name}-{uuid.uuid4().hex}")
+    return df.observe(obs, *metrics), obs
 
 
 def console_sink(df: DataFrame, n: int = 20) -> DataStreamWriter | None:
@@ -92,16 +106,18 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, key_col: str | None = No
 
 
 # Partition columns the sinks write, with the type they had before writing.
-STORE_PARTITION_TYPES = {"dt": "string", "batch_id": "long"}
+STORE_PARTITION_TYPES = {"dt": "string", "group": "string", "topic": "string", "run": "long", "batch_id": "long"}
 
 
-def read_store(spark, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a store written by these sinks.
+def read_store(spark, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """Read a store written by these sinks, with a declared ``schema`` where the caller has one.
 
-    Partition discovery would turn a ``dt`` folder value into a date; cast
+    Without one, partition discovery would turn a ``dt`` folder value into a date; cast
     the sinks' partition columns back to their written types. Filters on
     them still prune folders.
     """
+    if schema is not None:
+        return spark.read.schema(schema).format(fmt).load(path)
     df = spark.read.format(fmt).load(path)
     for c, t in STORE_PARTITION_TYPES.items():
         if c in df.columns:
@@ -123,7 +139,7 @@ def search_index_options(nodes: str, index: str, id_col: str | None = None,
             "es.index.auto.create": str(auto_create).lower()}
     if id_col:
         opts["es.mapping.id"] = id_col
-        opts["es.write.operation"] = "upsert"
+        opts["es.write.operation"] = "index"  # the same id replaces the whole document
     return opts
 
 

@@ -49,7 +49,7 @@ def test_kafka_frame_key_value(spark):
 def test_search_index_options():
     from driftlog.streaming.sinks import search_index_options
     o = search_index_options("es1.example.com:9200", "docs", id_col="doc_id")
-    assert o["es.mapping.id"] == "doc_id" and o["es.write.operation"] == "upsert"
+    assert o["es.mapping.id"] == "doc_id" and o["es.write.operation"] == "index"
     assert o["es.batch.size.entries"] == "5000" and o["es.batch.size.bytes"] == "2.5mb"
     assert "es.mapping.id" not in search_index_options("n:9200", "docs")
 

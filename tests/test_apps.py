@@ -29,7 +29,7 @@ def test_append_with_ledger_and_quarantine(spark, tmp_dir):
     q.awaitTermination()
     docs = read_store(spark, f"{tmp_dir}/docs")
     assert docs.count() == decode_fact(recs).count() == recs.count()
-    assert set(docs.columns) == set(S.DOC6_COLUMNS) | {"batch_id"}
+    assert set(docs.columns) == set(S.DOC6_COLUMNS) | {"dt", "run", "batch_id"}
     got = {r.partition: r.until_offset for r in
            latest_offsets(read_store(spark, f"{tmp_dir}/ledger")).collect()}
     want = {r.partition: r.m + 1 for r in recs.groupBy("partition").agg(F.max("offset").alias("m"))
@@ -63,16 +63,64 @@ def test_visitors_from_records_with_object_message(spark, tmp_dir):
     assert got == {(r.dt, r.mid) for r in batch.collect()}
 
 
-def test_compact_command(spark, tmp_dir):
-    from driftlog.streaming.sinks import upsert_documents
+def test_index_sink_and_cadence_arguments(spark, tmp_dir, monkeypatch):
+    """``--index`` sends each batch to the index writer, keyed by position; no server here."""
+    from driftlog.apps import trigger_seconds
+    from driftlog.streaming import jobs
 
-    df = spark.createDataFrame([("a", 0, "x"), ("b", 1, "y")], "doc_id string, offset long, v string")
-    upsert_documents(df, 0, f"{tmp_dir}/kv")
-    upsert_documents(df.where("doc_id = 'a'").withColumn("v", F.lit("z")), 1, f"{tmp_dir}/kv")
-    assert run(["compact", "--store", f"{tmp_dir}/kv", "--snapshot", f"{tmp_dir}/snap",
-                "--keys", "doc_id", "--upto", "1"]) == 1
-    snap = {r.doc_id: r.v for r in spark.read.parquet(f"{tmp_dir}/snap/upto=1").collect()}
-    assert snap == {"a": "z", "b": "y"}
+    sent = []
+    monkeypatch.setattr(jobs, "write_search_index",
+                        lambda df, nodes, index, id_col=None: sent.append((nodes, index, id_col, df.columns, df.count())))
+    recs = _records(spark, f"{tmp_dir}/src")
+    for job in ("append", "upsert"):
+        run([job, "--files", f"{tmp_dir}/src", "--index-nodes", "n:9200", "--index", "docs",
+             "--checkpoint", f"{tmp_dir}/ck-{job}", "--available-now"]).awaitTermination()
+    assert [s[:3] + s[4:] for s in sent] == [("n:9200", "docs", "doc_id", recs.count())] * 2
+    assert sent[0][3] == ["doc_id", *S.DOC6_COLUMNS] and sent[1][3] == ["doc_id", *S.FACT_COLUMNS]
+    assert trigger_seconds("append", False) == 3.0 and trigger_seconds("append", True) == 1.0
+    assert trigger_seconds("upsert", True) == 3.0
+    with pytest.raises(SystemExit):
+        run(["append", "--files", tmp_dir, "--index", "docs"])
+
+
+def test_jobs_seed_a_new_query_from_the_ledger(spark, tmp_dir, monkeypatch):
+    """All three jobs start a new query at the ledger's positions (the source itself needs a broker)."""
+    from driftlog import apps
+    from driftlog.operators.offsets import offset_ranges
+    from driftlog.streaming.sinks import append_offsets
+
+    led = f"{tmp_dir}/led"
+    append_offsets(offset_ranges(_records(spark, f"{tmp_dir}/src").withColumn("topic", F.lit("logs"))), 0, led, "g")
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def stop(spark, a, starting=None):
+        seen.append((a.job, starting))
+        raise Stop
+
+    monkeypatch.setattr(apps, "_records", stop)
+    for job in ("append", "upsert", "visitors"):
+        with pytest.raises(Stop):
+            run([job, "--servers", "b:9092", "--topic", "logs", "--group", "g", "--ledger", led, "--out", f"{tmp_dir}/o"])
+    assert [j for j, _ in seen] == ["append", "upsert", "visitors"]
+    assert all('"logs"' in s for _, s in seen)
+
+
+def test_visitors_quarantine(spark, tmp_dir):
+    import json
+
+    good = {"ts": 1704100000000, "common": {"mid": "m", "uid": "u", "ar": "a", "ch": "c", "vc": "1"}}
+    values = [json.dumps({"message": m}) for m in
+              (good, {"common": good["common"]}, {"ts": 1}, {"ts": 1, "common": {"uid": "u"}}, "no")] + ["junk"]
+    spark.createDataFrame([("visits", 0, i, None, None, v) for i, v in enumerate(values)], S.RECORD) \
+        .write.parquet(f"{tmp_dir}/src")
+    run(["visitors", "--files", f"{tmp_dir}/src", "--out", f"{tmp_dir}/vis", "--quarantine", f"{tmp_dir}/bad",
+         "--checkpoint", f"{tmp_dir}/ck", "--state-partitions", "2", "--available-now"]).awaitTermination()
+    assert [r.mid for r in read_visitors(spark, f"{tmp_dir}/vis").collect()] == ["m"]
+    bad = {r.offset: r.reason for r in read_store(spark, f"{tmp_dir}/bad").collect()}
+    assert bad == {1: "missing_ts", 2: "missing_mid", 3: "missing_mid", 4: "bad_message", 5: "bad_envelope"}
 
 
 def test_source_is_required(spark, tmp_dir):

@@ -152,8 +152,8 @@ def test_decode_is_one_stage_without_shuffle(spark):
     df = decode_fact(records_df(spark, [envelope(line(args_of(PAYLOAD)))]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    # each JSON level parsed once: three from_json in the whole plan
-    assert plan.count("from_json(") == 3
+    # each JSON level parsed once; a payload whose d is text (only such a row) twice, and its d
+    assert plan.count("from_json(") == 5
 
 
 def test_decode_prunes_envelope_schema(spark):
@@ -173,3 +173,37 @@ def test_visitor_events_from_object_or_text_message(spark):
     out = decode_visitor_events(records_df(spark, values), keep=["offset"]).collect()
     assert [r.offset for r in out] == [0, 1]
     assert all(r.ts == 1595037510000 and r.common.mid == "m1" and r.common.vc == "1.0" for r in out)
+
+
+def test_only_wanted_fields_are_parsed(spark):
+    """A projection names its fact columns; the payload parse holds these alone."""
+    recs = records_df(spark, [envelope(line(args_of(PAYLOAD)))])
+    df = decode_fact(recs, columns=["oid", "b"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructField(oid" in plan and "StructField(cu" not in plan and "StructField(chl" not in plan
+    [row] = df.collect()
+    [whole] = decode_fact(recs).collect()
+    assert row.asDict() == {"oid": whole.oid, "b": whole.b}
+    assert decode_fact(recs, keep=["offset"], columns=[]).count() == 1
+
+
+def test_nested_object_as_text_decodes_like_an_object(spark):
+    """``d`` may come as the text of an object; other text leaves the payload malformed."""
+    as_text = dict(PAYLOAD, d=json.dumps(PAYLOAD["d"]))
+    a, b = (_fact(spark, [envelope(line(args_of(p)))])[0] for p in (PAYLOAD, as_text))
+    assert a == b
+    bad = [envelope(line(args_of(dict(PAYLOAD, d=d)))) for d in ("no object", "[1]", "{broken", '{"oid": 1} x')]
+    assert _reasons(spark, bad) == ["bad_payload"] * 4
+    none = _fact(spark, [envelope(line(args_of(dict(PAYLOAD, d=None))))])[0]
+    assert none["oid"] is None and none["b"] == a["b"]
+
+
+def test_visitor_reasons(spark):
+    from driftlog.operators.decode import decode_visitor_events, decode_visitors
+
+    common = {"mid": "m", "uid": "u"}
+    messages = [{"ts": 1, "common": common}, {"common": common}, {"ts": 1}, {"ts": 1, "common": {"uid": "u"}}]
+    recs = records_df(spark, [json.dumps({"message": m}) for m in messages] + [None])
+    got = [r.reason for r in decode_visitors(recs).orderBy("offset").collect()]
+    assert got == [None, "missing_ts", "missing_mid", "missing_mid", "bad_envelope"]
+    assert decode_visitor_events(recs).count() == 1

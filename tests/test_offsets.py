@@ -19,8 +19,8 @@ def test_offset_ranges(spark):
 
 def test_latest_offsets_last_batch_wins(spark):
     ledger = spark.createDataFrame(
-        [("g", "t", 0, 0, 10, 1), ("g", "t", 0, 10, 25, 2), ("g", "t", 1, 0, 7, 1),
-         ("h", "t", 0, 0, 3, 1)], S.LEDGER)
+        [("g", "t", 0, 0, 10, 1, 0), ("g", "t", 0, 10, 25, 2, 0), ("g", "t", 1, 0, 7, 1, 0),
+         ("h", "t", 0, 0, 3, 1, 0)], S.LEDGER)
     got = {(r.group, r.partition, r.until_offset) for r in latest_offsets(ledger).collect()}
     assert got == {("g", 0, 25), ("g", 1, 7), ("h", 0, 3)}
 
@@ -42,19 +42,43 @@ def test_resume_skips_saved_and_reads_unsaved_partition_from_start(spark):
     assert out.columns == recs.columns
 
 
-def test_resume_broadcasts_only_a_bounded_side(spark):
+def test_resume_runs_no_job_while_it_is_built(spark):
     recs = _records(spark, {0: range(10)})
     saved = spark.createDataFrame([("t", 0, 7)], "topic string, partition int, until_offset long")
-    small = resume_from(recs, saved)._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in small
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-resume", "none expected")
     try:
-        big = resume_from(recs, saved, max_broadcast_rows=0)
-        plan = big._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan
-        assert sorted(r.offset for r in big.collect()) == [7, 8, 9]
+        out = resume_from(recs, saved)
+        assert list(tracker.getJobIdsForGroup("build-resume")) == []
+        plan = out._jdf.queryExecution().analyzed().toString()
+        assert "ResolvedHint" not in plan
+        assert sorted(r.offset for r in out.collect()) == [7, 8, 9]
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_latest_offsets_of_a_replacing_run(spark):
+    """A query on a new checkpoint counts its batches from 0 again; its positions are the later ones."""
+    ledger = spark.createDataFrame(
+        [("g", "t", 0, 0, 60, 0, 1), ("g", "t", 0, 60, 100, 1, 1), ("g", "t", 0, 100, 250, 0, 2)], S.LEDGER)
+    [r] = latest_offsets(ledger).collect()
+    assert (r.until_offset, r.batch_id) == (250, 0)
+    out_of_order = spark.createDataFrame([("g", "t", 0, 50, 90, 0, 2), ("g", "t", 0, 0, 50, 1, 2)], S.LEDGER)
+    [r] = latest_offsets(out_of_order, order=("run", "until_offset")).collect()
+    assert r.until_offset == 90
+
+
+def test_seed_offsets_needs_a_ledger_or_nothing(spark, tmp_dir):
+    """Only a missing path means "no ledger yet"; something else there is an error."""
+    import pytest
+
+    from driftlog.operators.offsets import seed_offsets
+
+    assert seed_offsets(spark, f"{tmp_dir}/none", "g", "t") == "earliest"
+    with open(f"{tmp_dir}/notes.txt", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception, match="not a Parquet file|FAILED_READ_FILE"):
+        seed_offsets(spark, f"{tmp_dir}/notes.txt", "g", "t")
 
 
 def test_starting_offsets_json(spark):

@@ -77,17 +77,13 @@ def test_daily_visitors_stream_equals_batch_across_restart(spark, tmp_dir):
     visitor_events(ev.where("ts >= '2024-01-10'")).write.parquet(f"{src}/part2")
     run()
     got = {tuple(r) for r in read_visitors(spark, out).collect()}
-    from driftlog.streaming.snapshots import compact
-    compact(spark, out, f"{tmp_dir}/snap", ["dt", "mid"], ["batch_id"], upto=0,
-            partition_by=("dt",))
-    assert {tuple(r) for r in read_visitors(spark, out, f"{tmp_dir}/snap").collect()} == got
     batch = daily_first_seen(visitor_events(ev).withColumn("mid", F.col("common.mid")),
                              "mid", "ts", tie_col="event_id")
     want = {tuple(r) for r in project_visitor(batch).collect()}
     assert got == want
     stored = read_store(spark, out)
     assert stored.count() == len(want)  # in-order data: one record per (day, visitor)
-    assert set(stored.columns) == set(S.VISITOR_COLUMNS) | {"batch_id"}
+    assert set(stored.columns) == set(S.VISITOR_COLUMNS) | {"run", "batch_id"}
 
 
 def test_late_event_beyond_watermark_is_dropped(spark, tmp_dir):
@@ -179,3 +175,116 @@ def test_state_partitions_set_for_the_query_only(spark, tmp_dir):
     ops = [p["stateOperators"] for p in q.recentProgress if p["stateOperators"]]
     assert ops and all(o[0]["numShufflePartitions"] == 3 for o in ops)
     assert read_visitors(spark, out).count() > 0
+
+
+def test_a_new_checkpoint_adds_to_the_store_and_the_ledger(spark, tmp_dir):
+    """Batch ids start at 0 again with a new checkpoint; nothing written before is touched."""
+    out, led = f"{tmp_dir}/out", f"{tmp_dir}/ledger"
+    for n, where in enumerate(("event_id < 400", "event_id >= 400")):
+        _write_records(spark, f"{tmp_dir}/src{n}", where)
+        flatten_append(file_records(spark, f"{tmp_dir}/src{n}", stream=True), out, f"{tmp_dir}/ck{n}",
+                       ledger_path=led, available_now=True).awaitTermination()
+    total = spark.read.parquet(EVENTS).count()
+    docs = read_store(spark, out)
+    assert docs.count() == total and docs.select("oid").distinct().count() == total
+    assert docs.select("run").distinct().count() == 2
+    latest = {r.partition: r.until_offset for r in latest_offsets(read_store(spark, led, schema=S.LEDGER)).collect()}
+    expect = {r.partition: r.m + 1 for r in records_from_events(spark.read.parquet(EVENTS))
+              .groupBy("partition").agg(F.max("offset").alias("m")).collect()}
+    assert latest == expect
+
+
+def test_groups_share_a_ledger(spark, tmp_dir):
+    from driftlog.operators.offsets import offset_ranges
+    from driftlog.streaming.sinks import append_offsets
+
+    recs = spark.createDataFrame([("t", 0, o, None, None, "v") for o in range(5)], S.RECORD)
+    for group in ("a", "b", "7"):
+        for _ in range(2):      # each written twice: a replay
+            append_offsets(offset_ranges(recs), 0, f"{tmp_dir}/l", group)
+    append_offsets(offset_ranges(recs.withColumn("topic", F.lit("u"))), 0, f"{tmp_dir}/l", "a")
+    got = read_store(spark, f"{tmp_dir}/l", schema=S.LEDGER)
+    assert sorted((r.group, r.topic) for r in got.collect()) == [("7", "t"), ("a", "t"), ("a", "u"), ("b", "t")]
+
+
+def test_upsert_replaced_after_a_restart_on_a_new_checkpoint(spark, tmp_dir):
+    out = f"{tmp_dir}/kv"
+    for n, where in enumerate(("event_id < 500", "event_id >= 500")):
+        _write_records(spark, f"{tmp_dir}/s{n}", where)
+        flatten_upsert(file_records(spark, f"{tmp_dir}/s{n}", stream=True), out, f"{tmp_dir}/c{n}", key="uid",
+                       available_now=True).awaitTermination()
+    got = {r.doc_id: int(r.oid) for r in
+           latest_documents(read_store(spark, out), "doc_id", ["run", "batch_id", "offset", "partition"]).collect()}
+    ev = spark.read.parquet(EVENTS).collect()
+    want = {}
+    for e in sorted(ev, key=lambda e: (e.event_id >= 500, e.event_id // 4, e.event_id % 4)):
+        want[str(e.user_id)] = e.event_id
+    assert got == want
+
+
+def test_an_event_minutes_late_over_midnight_is_kept(spark, tmp_dir):
+    """The next day has begun, yet the event is within the lateness; one beyond it is dropped."""
+    src, out, ck = (f"{tmp_dir}/{n}" for n in ("src", "out", "ck"))
+    day, minute = 1704067200000, 60_000
+    batches = [[(day + 24 * 60 * minute + minute, "next")], [(day + 24 * 60 * minute - minute, "late")],
+               [(day + 4 * 24 * 60 * minute, "far")], [(day + minute, "too-late")]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame([(ts, (m, m, None, "c", "1")) for ts, m in rows], S.VISITOR_EVENT).write.parquet(f"{src}/p{i}")
+        stream = spark.readStream.schema(S.VISITOR_EVENT).option("recursiveFileLookup", "true").parquet(src)
+        daily_visitors(stream, out, ck, available_now=True).awaitTermination()
+    got = sorted((r.dt, r.mid) for r in read_visitors(spark, out).collect())
+    assert got == [("2024-01-01", "late"), ("2024-01-02", "next"), ("2024-01-05", "far")]
+
+
+def test_empty_batches_write_nothing(spark, tmp_dir):
+    """FLT-2."""
+    from driftlog.streaming.jobs import _process
+
+    none = spark.createDataFrame([], S.RECORD)
+    _process(none, 0, "permissive", lambda *_: 1 / 0, f"{tmp_dir}/bad", f"{tmp_dir}/led", "g")
+    assert not os.path.exists(f"{tmp_dir}/bad") and not os.path.exists(f"{tmp_dir}/led")
+
+
+def test_written_documents_are_counted_and_files_bounded(spark, tmp_dir):
+    src = f"{tmp_dir}/src"
+    _write_records(spark, src, "true")
+    spark.createDataFrame([("tracking", 9, 0, None, None, "junk")], S.RECORD).write.mode("append").parquet(src)
+    counts = []
+    flatten_append(file_records(spark, src, stream=True), f"{tmp_dir}/out", f"{tmp_dir}/ck", partition_by=(),
+                   files_per_batch=1, on_written=lambda b, n: counts.append((b, n)), available_now=True).awaitTermination()
+    assert counts == [(0, spark.read.parquet(EVENTS).count())]
+    assert len(read_store(spark, f"{tmp_dir}/out").inputFiles()) == 1
+
+
+def test_records_are_not_shuffled_on_their_way_to_the_documents(spark):
+    from driftlog.streaming.jobs import _decoded_batch
+
+    one = records_from_events(spark.read.parquet(EVENTS)).coalesce(1)
+    plan = _decoded_batch(one, "permissive", S.DOC6_COLUMNS)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_ledger_from_progress_reports(spark, tmp_dir):
+    import types
+
+    from driftlog.streaming.progress import OffsetLedger
+
+    report = ('{"sources": [{"description": "k", "startOffset": {"logs": {"0": 10}}, "endOffset": {"logs": {"0": 25, "1": 4}}}]}')
+    event = types.SimpleNamespace(progress=types.SimpleNamespace(name="q", batchId=3, json=report))
+    listener = OffsetLedger("q", f"{tmp_dir}/l", "g", 9)
+    for _ in range(2):
+        listener.onQueryProgress(event)
+    event.progress.name = "another"
+    listener.onQueryProgress(event)
+    got = read_store(spark, f"{tmp_dir}/l", schema=S.LEDGER).collect()
+    assert sorted((r.partition, r.from_offset, r.until_offset, r.batch_id, r.run) for r in got) == [(0, 10, 25, 3, 9), (1, None, 4, 3, 9)]
+
+
+def test_ledger_stream_takes_several_batches(spark, monkeypatch):
+    from driftlog.plans import catalog
+
+    ledgers = []
+    read = catalog.read_store
+    monkeypatch.setattr(catalog, "read_store", lambda spark, path, schema=None: ledgers.append(read(spark, path, schema=schema)) or ledgers[-1])
+    catalog.q_ledger_stream(spark, SF_SMALL).collect()
+    assert ledgers[-1].select("batch_id").distinct().count() >= 3
