@@ -1,0 +1,49 @@
+import duckdb
+import pytest
+
+from driftlog.llm.licences import CRITICAL, RULES, SENTENCES, licence_scan, licence_sql
+
+from .conftest import EDGE, SF
+
+TEXTS = {
+    "Some words.\nReleased under the MIT License.": "MIT",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the \"Software\"), to deal in the Software without restriction. The above copyright notice and "
+    "this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS "
+    "PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.": "MIT",
+    "Licensed under the Apache License, Version 2.0.\nLicensed under CC BY-NC 4.0.": "Apache-2.0 CC-BY-NC-4.0",
+    "Licensed under CC BY-NC 4.0. Licensed under the Apache License, Version 2.0.": "CC-BY-NC-4.0 Apache-2.0",
+    "We need a fishing licence.": "",
+    "no such words": "",
+}
+
+
+def test_rules_and_order(spark):
+    rows = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licence_scan(rows).collect()}
+    assert [got[i].licences for i in range(len(TEXTS))] == list(TEXTS.values())
+    assert got[4].n_unmatched == 1 and got[4].sentences == "unknown"
+    assert got[1].n_unmatched == 0 and got[1].n_sentences == 3
+
+
+def test_tables_agree():
+    assert all(any(c in s for c in CRITICAL) for s in SENTENCES)
+    assert {x for _, rule in RULES for x in rule} <= set(SENTENCES.values())
+
+
+def test_equals_sql(spark, documents):
+    duckdb.sql(f"create or replace temp view documents as select * from '{SF}/documents.parquet'")
+    want = sorted(duckdb.sql(licence_sql()).fetchall())
+    assert sorted(tuple(r) for r in licence_scan(documents).collect()) == want
+
+
+def test_no_python_in_the_plan(spark, documents):
+    plan = licence_scan(documents)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Exchange"))
+
+
+@pytest.mark.parametrize("column", ["text"])
+def test_edge_rows(spark, edge, none, column):
+    got = licence_scan(edge).collect()
+    assert len(got) == len(EDGE) and all(r.licences == "" and r.n_sentences == 0 for r in got)
+    assert licence_scan(none).collect() == []
