@@ -20,7 +20,7 @@ task on a documented sample: at most ``MAX_POSITIVE`` positives and
 their id. Scoring covers every row, in an Arrow function over whole texts.
 
 Null and empty texts have no words and score the bias alone. Without a
-positive in the training rows every score is 0. Repeated rows score alike.
+positive in the training rows every score is next to 0. Repeated rows score alike.
 Labels, ids and other columns are never inputs of a score.
 """
 

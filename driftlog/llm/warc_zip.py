@@ -18,7 +18,8 @@ Of records with equal payloads of at least ``min_revisit`` bytes, the one with
 the largest id is a response and the others revisit it; the revisit keeps the
 payload's digest and length and no payload. Rows that repeat both id and
 payload of the response are responses too. A null payload is empty, a null id
-or URL is left out of the headers and read back as null. Empty tables make no
+or URL is left out of the headers and read back as null; characters that no
+URI may hold are percent-encoded in it. Empty tables make no
 package and no record.
 """
 
@@ -32,7 +33,8 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import quote, unquote
+from itertools import chain
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -44,6 +46,7 @@ from driftlog.llm.scratch import shared_folder, written
 # Fixed values of the ZIP and WARC formats.
 END_RECORD, END64_RECORD, END64_LOCATOR = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
 CENTRAL_ENTRY, LOCAL_ENTRY, ZIP64_EXTRA = b"PK\x01\x02", b"PK\x03\x04", 1
+URI_CHARACTERS = "!#$%&'()*+,/:;=?@[]~"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -66,7 +69,7 @@ def _record(record_id, uri, payload: bytes, digest: str, refers_to) -> bytes:
     kind = "response" if refers_to is None else "revisit"
     head = [("WARC-Type", kind), ("WARC-Date", "2024-01-01T00:00:00Z")]
     head += [("WARC-Record-ID", f"<urn:record:{record_id}>")] if record_id is not None else []
-    head += [("WARC-Target-URI", quote(uri, safe="!#$%&'()*+,/:;=?@[]~"))] if uri is not None else []
+    head += [("WARC-Target-URI", quote(uri, safe=URI_CHARACTERS))] if uri is not None else []
     head += [("WARC-Payload-Digest", f"sha1:{digest}")]
     if refers_to is not None:
         head += [("WARC-Refers-To", f"<urn:record:{refers_to}>"), ("WARC-Profile", REVISIT_PROFILE)]
@@ -121,17 +124,12 @@ def write_packages(pages: DataFrame, folder: str, id_column: str = "page_id", ur
         records = each()
         while (first := next(records, None)) is not None:
             path = f"{folder}/{uuid.uuid4().hex}.wacz"
-            n = _write_package(path, _chain(first, records), package_bytes)
+            n = _write_package(path, chain([first], records), package_bytes)
             yield pa.RecordBatch.from_pydict({"path": [path], "n_records": [n]})
 
     return written(records.mapInArrow(write, PACKAGES), "warc-packages")
 
 
-def _chain(first, rest):
-    yield first
-    yield from rest
-
-
 # -- reading ---------------------------------------------------------------
 
 @dataclass
@@ -239,7 +237,7 @@ def parse_record(data: bytes) -> dict:
     kind = fields["WARC-Type"]
     digest = fields.get("WARC-Payload-Digest", "").removeprefix("sha1:")
     return {
-        "record_id": _bare(fields.get("WARC-Record-ID")), "uri": _unquoted(fields.get("WARC-Target-URI")),
+        "record_id": _bare(fields.get("WARC-Record-ID")), "uri": fields.get("WARC-Target-URI"),
         "record_type": kind, "payload_digest": digest if kind == "revisit" else hashlib.sha1(payload).hexdigest(),
         "payload_bytes": int(lengths[0]) if kind == "revisit" and lengths else len(payload),
         "refers_to": _bare(fields.get("WARC-Refers-To")), "payload": payload if kind != "revisit" else None}
@@ -249,10 +247,6 @@ def _bare(urn: str | None) -> str | None:
     return urn.removeprefix("<urn:record:").removesuffix(">") if urn else None
 
 
-def _unquoted(uri: str | None) -> str | None:
-    return unquote(uri) if uri is not None else None
-
-
 def read_records(packages: DataFrame, with_payload: bool = False, tasks: int | None = None) -> DataFrame:
     """Every record of the packages: ``RECORDS`` and, if asked for, ``payload``."""
     names = [x.split()[0] for x in RECORDS.split(", ")] + ["payload"] * with_payload

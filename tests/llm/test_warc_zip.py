@@ -2,6 +2,7 @@ import hashlib
 import io
 import zipfile
 from collections import Counter, defaultdict
+from urllib.parse import quote
 
 import pyarrow as pa
 import pytest
@@ -23,7 +24,8 @@ def expected(rows):
         data = (h or "").encode()
         top = max((x for x in ids[h or ""] if x is not None), default=None)
         again = len(data) >= 1000 and len(ids[h or ""]) > 1 and i != top
-        out.append((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", top if again else None, u))
+        out.append((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", top if again else None,
+                    None if u is None else quote(u, safe=Z.URI_CHARACTERS)))
     return out
 
 
