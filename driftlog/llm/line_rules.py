@@ -161,7 +161,10 @@ def _judge(column: pa.Array, min_words: int, symbols_per_word: float, most_remov
                     parts.append(piece.data[at:start[j]].tobytes())
                     at = min(end[j] + 1, b)   # the line and its break
                 parts.append(piece.data[at:b].tobytes())
-                texts.append(b"".join(parts).decode())
+                text = b"".join(parts)
+                if bad_at[i] < bad_at[i + 1] and end[bad[bad_at[i + 1] - 1]] == b:
+                    text = text.removesuffix(b"\n")      # the last line went: so does the break before it
+                texts.append(text.decode())
     arrays = [pa.array(np.concatenate(c)) if c else pa.array([], pa.int64() if i < 8 else pa.bool_())
               for i, c in enumerate(columns)]
     return arrays, texts

@@ -74,6 +74,8 @@ def _fit(x: np.ndarray, y: np.ndarray, prior: float, epochs: int = 30, batch: in
     pos, unl = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     theta = np.zeros(x.shape[1] + 1)
     theta[-1] = np.log(prior / (1 - prior)) if 0 < prior < 1 else 0.0
+    if not len(pos) or not len(unl):
+        return theta[:-1], float(theta[-1])
     m, v, t = np.zeros_like(theta), np.zeros_like(theta), 0
     steps = max(1, -(-len(unl) // batch))
     per_pos = max(1, min(len(pos), batch))

@@ -60,7 +60,7 @@ def test_documents_that_lose_too_much_go(spark):
     rows = spark.createDataFrame([(1, good), (2, good + "\n" + junk)], "doc_id bigint, text string")
     got = {r.doc_id: r for r in judge_lines(rows, with_text=True).collect()}
     assert got[1].kept and got[1].clean_text == good
-    assert not got[2].base_failed and not got[2].kept and got[2].clean_text == good + "\n"
+    assert not got[2].base_failed and not got[2].kept and got[2].clean_text == good
 
 
 def test_clean_documents_stay_and_junk_goes(spark):

@@ -84,7 +84,7 @@ def test_run_equals_the_stages(spark, stages):
 
 
 def test_edge_rows(spark, edge, none):
-    columns = edge.withColumn("n_chars", edge.n.cast("bigint")).withColumn("source", edge.lang)
+    columns = edge.selectExpr("*", "0L n_chars", "lang source")
     for name, stage in P.STAGES:
         empty = none.selectExpr("*", "text lang", "text source", "doc_id n_chars")
         assert stage(spark, empty, "/root/testdata/sf0.001").count() == 0
