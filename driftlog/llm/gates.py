@@ -13,6 +13,8 @@ passes everything and the join does all the work.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -21,6 +23,20 @@ from pyspark.sql import functions as F
 GATE_BITS = 26
 
 
+class Gate:
+    """The bitmap; it travels compressed, so few keys make a small file."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def __reduce__(self):
+        return _unpacked, (zlib.compress(self.bits.tobytes(), 1),)
+
+
+def _unpacked(data: bytes) -> Gate:
+    return Gate(np.frombuffer(zlib.decompress(data), dtype=np.uint64))
+
+
 def build_gate(keys: DataFrame, column: str) -> Broadcast:
     """Broadcast bitmap of the bigint ``column``; at most 2**20 rows reach the driver."""
     shift = 64 - GATE_BITS
@@ -30,11 +46,12 @@ def build_gate(keys: DataFrame, column: str) -> Broadcast:
     bits = np.zeros(1 << (GATE_BITS - 6), dtype=np.uint64)
     if words.num_rows:
         bits[words.column("w").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
-    return keys.sparkSession.sparkContext.broadcast(bits)
+    return keys.sparkSession.sparkContext.broadcast(Gate(bits))
 
 
-def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def passes(gate: Gate, keys: np.ndarray) -> np.ndarray:
     """Which of the uint64 ``keys`` may be in the gate."""
+    bits = gate.bits
     at = keys >> np.uint64(64 - GATE_BITS)
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
@@ -43,12 +60,16 @@ class Table:
     """Sorted uint64 keys with a value each; keys are hashes, so their first bits spread evenly."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int = 19):
+        self.bits = bits
         order = np.argsort(keys)
         self.keys, self.values, self.shift = keys[order], values[order], np.uint64(64 - bits)
         edges = np.arange((1 << bits) + 1, dtype=np.float64) * 2.0 ** (64 - bits)
         edges[-1] = 0
         self.first = np.append(np.searchsorted(self.keys, edges[:-1].astype(np.uint64)), len(keys)).astype(np.int32)
 
+    def __reduce__(self):
+        return Table, (self.keys, self.values, self.bits)
+
     def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(found, value or 0) of each key."""
         found, value = np.zeros(len(keys), dtype=bool), np.zeros(len(keys))
