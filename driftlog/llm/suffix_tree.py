@@ -44,7 +44,7 @@ MIN_COUNT = 5
 MIN_PROBABILITY = 1e-7
 MIN_GAIN = 12.0
 DISCOUNT = 0.75
-HOT = (1 << 19, 1 << 20)   # words, context values
+HOT = (1 << 17, 1 << 20)   # words, context values
 
 _U = np.uint64
 #: keys of contexts and of pairs of a context and its next symbol, apart from each other and from words
