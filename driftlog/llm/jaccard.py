@@ -12,17 +12,19 @@ shingles; equal sets are one node. Two nodes link when their similarity is
    every link lies within some region. Unrelated texts share no such part;
    in the plain Jaccard space they all lie at distance 1 of any pivot, and no
    pivot would part them.
-2. **Pivots.** The smallest node of a region is its pivot. A node's distance
-   to it is first bounded from below by the L1 distance of their sketches
-   (shingles counted over ``SKETCH`` cells: a contraction of the symmetric
-   difference), and then computed exactly.
-3. **Triangle windows and recursion.** Nodes linked to the pivot are in one
-   component with it; pairs of them need no look. A node outside can link to
-   one inside only if their distances to the pivot differ by the radius at
-   most: the nodes outside, with the inside nodes of that window, are the next
-   smaller region, which gets a pivot of its own. After ``PIVOT_ROUNDS``
-   rounds, what remains of a region is joined by sketches, and its close
-   pairs exactly.
+2. **Pivots.** Each round picks pivots in every region (``PIVOTS`` of them on
+   average, one at least). A node's distance to a pivot is first bounded from
+   below by the L1 distance of their sketches (shingles counted over
+   ``SKETCH`` cells: a contraction of the symmetric difference), and then
+   computed exactly. Linked nodes join components; pairs within a component
+   need no look from then on.
+3. **Triangle windows and recursion.** A node outside the first pivot's
+   component can link to one inside only if their distances to the pivot
+   differ by the radius at most: the nodes outside, with the inside nodes of
+   that window, are the next smaller region, which gets pivots of its own. A
+   region whose nodes are all in one component is done. After the last round
+   what remains of a region is compared by sizes and sketches, and the close
+   pairs of different components exactly.
 
 All steps are exact (64-bit hashes stand for shingles), and none forms all
 pairs of a group of copies: each costs a row a region and round. A bitmap of
@@ -47,7 +49,8 @@ from driftlog.llm.scratch import written
 from driftlog.llm.words import mix, ngram_places, ngrams, signed, word_slices
 
 SKETCH = 64
-PIVOT_ROUNDS = 3
+PIVOTS = (1, 8)       # by round
+LEAST_PART = 8        # parts of fewer shingles are left out where enough larger ones remain
 SPREAD = 1.4          # parts as a multiple of the differences that links allow, plus one
 _U = np.uint64
 _SHORT = 0x5B5B5B5B5B5B5B5B
@@ -122,7 +125,7 @@ def _parts(bands: Bands, band: np.ndarray, at: np.ndarray, row: np.ndarray, key:
         name = mix(content ^ mix(part_no * _U(0xD6E8FEB86659FD93) + band[part_row].astype(_U) + _U(3)))
     need = bands.most[np.minimum(band, len(bands.most) - 1)] + 1
     least = np.zeros(len(size), dtype=np.int64)                     # smallest part a row offers
-    for m in (1, 2, 3):
+    for m in range(1, LEAST_PART + 1):
         enough = np.bincount(part_row[held >= m], minlength=len(size)) >= need
         least[enough] = m
     offered = held >= least[part_row]
@@ -237,18 +240,18 @@ def _measured(pairs: DataFrame, described: DataFrame, texts: DataFrame, k: int,
 
 
 def _rest_pairs(rest: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of what is left of each region that their sizes and sketches allow; ``out`` in one of them at least."""
+    """Pairs of what is left of each region that their sizes and sketches allow, of different components."""
     import pandas as pd
 
     def close(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("n", kind="stable")
-        n, node, out = frame["n"].to_numpy(), frame["node"].to_numpy(), frame["out"].to_numpy()
+        n, node, part = frame["n"].to_numpy(), frame["node"].to_numpy(), frame["part"].to_numpy()
         s = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(-1, SKETCH).astype(np.int16)
         a, b = [], []
         for i in range(len(n) - 1):
             stop = int(np.searchsorted(n, n[i] * den // num, side="right"))
             j = np.arange(i + 1, max(i + 1, stop))
-            j = j[out[j] | out[i]]
+            j = j[part[j] != part[i]]
             l1 = np.abs(s[j] - s[i]).sum(axis=1, dtype=np.int64)
             j = j[l1 * (den + num) <= (den - num) * (n[i] + n[j])]
             a.append(np.full(len(j), node[i]))
@@ -257,10 +260,54 @@ def _rest_pairs(rest: DataFrame, described: DataFrame, num: int, den: int) -> Da
                              "b": np.concatenate(b) if b else np.zeros(0, np.int64)})
 
     rows = rest.join(described.select("node", "n", "sketch"), "node")
-    return rows.select("region", "node", "n", "sketch", "out").groupBy("region") \
+    return rows.select("region", "node", "n", "sketch", "part").groupBy("region") \
         .applyInPandas(close, "a bigint, b bigint").distinct()
 
 
+def _labelled(rest: DataFrame, roots: DataFrame) -> DataFrame:
+    """Region rows with the component (``part``) that each node is in now."""
+    return rest.join(roots, "node", "left").select("region", "node", F.coalesce("root", "node").alias("part"))
+
+
+def _unsettled(rest: DataFrame) -> DataFrame:
+    """The rows of regions that still hold nodes of two components or more."""
+    rest = written(rest, "regions")
+    open_ = rest.groupBy("region").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("region")
+    return written(rest.join(open_, "region", "left_semi"), "unsettled")
+
+
+def _pivot_round(rest: DataFrame, turn: int, pivots: int, described: DataFrame, texts: DataFrame, k: int, num: int,
+                 den: int, links: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links to pivots, rows of the regions that are left, components so far) of one round."""
+    radius = 1 - num / den
+    order = F.xxhash64("node", F.lit(turn))
+    first = rest.groupBy("region").agg(F.count("*").alias("size"), F.min(F.struct(order.alias("o"), "node", "part")).alias("p")) \
+        .select("region", "size", F.col("p.node").alias("first"), F.col("p.part").alias("first_part"))
+    marked = rest.join(first, "region").withColumn(
+        "is_pivot", (F.col("node") == F.col("first")) | (F.pmod(F.xxhash64("node", F.lit(turn + 100)), F.col("size")) < pivots - 1))
+    marked = written(marked, "marked")
+    chosen = marked.where("is_pivot").select("region", F.col("node").alias("pivot"), F.col("part").alias("pivot_part"))
+    pairs = (marked.select("region", "node", "part").join(chosen, "region").where("part <> pivot_part")
+             .select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct())
+    measured = _measured(pairs, described, texts, k, num, den)
+    found = measured.where("linked").select("a", "b")
+    roots = components(found if links is None else links.unionAll(found))
+    to_first = measured.select(F.col("a").alias("x"), F.col("b").alias("y"), "distance", "far")
+    placed = (marked.withColumns({"x": F.greatest("node", "first"), "y": F.least("node", "first")})
+              .join(to_first, ["x", "y"], "left")
+              .join(roots, "node", "left").withColumn("now", F.coalesce("root", "node")).drop("root")
+              .join(roots.select(F.col("node").alias("first"), F.col("root").alias("first_root")), "first", "left")
+              .withColumn("inside", F.col("now") == F.coalesce("first_root", "first")))
+    placed = written(placed.select("region", "node", "is_pivot", "distance", "far", "inside"), "placed")
+    edge = placed.where("not inside").groupBy("region").agg(F.min("distance").alias("nearest"))
+    # an inside node whose distance is not known, or only from below, stays too
+    known = F.col("inside") & F.coalesce(~F.col("far"), F.lit(False))
+    window = ~known | (F.col("distance") >= F.col("nearest") - radius - 1e-9)
+    # every pivot has been held against all nodes of other components
+    left = placed.where("not is_pivot").join(edge, "region").where(window).select("region", "node", F.col("node").alias("part"))
+    return found, left, roots
+
+
 def similar_groups(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_column: str = "doc_id",
                    text: str = "text") -> DataFrame:
     """``id, n_shingles, component_id`` of every row; ``component_id`` is the smallest id reachable by links."""
@@ -269,33 +316,19 @@ def similar_groups(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, i
     described = rows.where("n > 0").dropDuplicates(["node"])
     largest = rows.agg(F.max("n")).first()[0] or 1
     bands = Bands(num, den, largest)
-    radius = 1 - num / den
-
-    rest = written(_region_rows(texts, k, bands).withColumn("out", F.lit(True)), "regions")
-    links = None
-    for _ in range(PIVOT_ROUNDS):
-        pivots = (rest.groupBy("region").agg(F.min(F.struct(~F.col("out"), "node")).alias("p"), F.count("*").alias("n"))
-                  .where("n > 1").select("region", F.col("p.node").alias("pivot")))
-        around = rest.join(pivots, "region").where("node <> pivot")
-        around = written(around, "around")
-        measured = _measured(around.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(),
-                             described, texts, k, num, den)
-        found = measured.where("linked").select("a", "b")
+    rest = _unsettled(_region_rows(texts, k, bands).withColumn("part", F.col("node")))
+    links, roots = None, None
+    for turn, pivots in enumerate(PIVOTS):
+        found, rest, roots = _pivot_round(rest, turn, pivots, described, texts, k, num, den, links)
         links = found if links is None else links.unionAll(found)
-        placed = around.join(measured.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "linked", "distance"),
-                             ["node", "pivot"]).withColumn("out", F.col("out") & ~F.col("linked"))
-        edge = (placed.where("out").groupBy("region")
-                .agg(F.min("distance").alias("nearest"), F.count("*").alias("n_out")))
-        window = F.col("out") | (F.col("distance") >= F.col("nearest") - radius - 1e-9)
-        rest = placed.join(edge, "region").where(window).select("region", "node", "out")
-        sizes = rest.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region")
-        rest = written(rest.join(sizes, "region", "left_semi"), "regions")
+        rest = _unsettled(_labelled(rest.drop("part"), roots))
         if rest.isEmpty():
             break
     else:
-        pairs = _rest_pairs(rest, described, num, den)
-        links = links.unionAll(_measured(pairs, described, texts, k, num, den).where("linked").select("a", "b"))
-    roots = components(links)
+        pairs = written(_rest_pairs(rest, described, num, den), "pairs")
+        if not pairs.isEmpty():
+            links = links.unionAll(_measured(pairs, described, texts, k, num, den).where("linked").select("a", "b"))
+            roots = components(links)
     named = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
     labels = (named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     least = labels.groupBy("root").agg(F.min("least").alias("component_id"))
