@@ -49,7 +49,7 @@ from driftlog.llm.scratch import written
 from driftlog.llm.words import mix, ngram_places, ngrams, signed, word_slices
 
 SKETCH = 64
-PIVOTS = (1, 8)       # by round
+PIVOTS = (1, 4)       # by round
 LEAST_PART = 8        # parts of fewer shingles are left out where enough larger ones remain
 SPREAD = 1.4          # parts as a multiple of the differences that links allow, plus one
 _U = np.uint64
