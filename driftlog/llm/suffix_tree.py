@@ -6,8 +6,8 @@ A context ``s`` of up to ``depth`` words predicts
 
     P(x | s) = max(n(sx) - D, 0) / n(s) + g(s) * P(x | s without its first word)
 
-over the next symbols ``x`` with an empirical probability of ``sx`` of at
-least ``min_probability`` (and ``min_count`` occurrences), with ``g(s)`` the mass that discounting and rarer next symbols leave, so every
+over the next symbols ``x`` seen at least ``min_count`` times after it (the same
+count at every size), with ``g(s)`` the mass that discounting and rarer next symbols leave, so every
 distribution sums to 1. A context is kept when its divergence from its
 parent, ``n(s) * KL`` in nats over the training data (rarer next symbols taken
 together, which can only lower it), reaches ``min_gain``, or when it is the
@@ -41,7 +41,6 @@ from driftlog.llm.words import END, Slice, mix, ngram_places, signed, unsigned,
 
 DEPTH = 2
 MIN_COUNT = 5
-MIN_PROBABILITY = 1e-7
 MIN_GAIN = 12.0
 DISCOUNT = 0.75
 HOT = (1 << 17, 1 << 20)   # words, context values
@@ -132,8 +131,7 @@ def _gram_counts(texts: DataFrame, order: int, shorter, min_count: int) -> DataF
     return written(named.join(counted, "key").select("key", "prefix", "suffix", "n"), f"parts-{order}")
 
 
-def grow(texts: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN,
-         min_probability: float = MIN_PROBABILITY) -> dict:
+def grow(texts: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_gain: float = MIN_GAIN) -> dict:
     """The model of (text, training) rows: ``values`` (key, kind, v, n), and the totals.
 
     ``kind`` 0 is a word (v: log10 of 2c + 1, over an unknown word's value),
@@ -142,7 +140,6 @@ def grow(texts: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_g
     words = written(_word_counts(texts), "words")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     z = total + 0.5 * (distinct + 1)
-    min_count = max(min_count, math.ceil(min_probability * total))
     gate = build_gate(words.where(F.col("n") >= min_count), "key")
     shorter = words.select("key", "n", ((F.col("n") + 0.5) / F.lit(z)).alias("p"))
     levels = []

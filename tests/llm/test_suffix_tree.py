@@ -85,6 +85,15 @@ def test_contexts_help_held_out_texts(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_the_count_threshold_does_not_rise_with_the_corpus(spark):
+    common = spark.range(51, numPartitions=51).select(F.expr("repeat('a ', 1000000)").alias("text"))    # 51 million words
+    rare = spark.range(5).select(F.lit("qx qy").alias("text"))
+    model = grow(common.unionAll(rare).withColumn("training", F.lit(True)))
+    one = spark.createDataFrame([("qx qy", 1, 1)], "text string, row bigint, id bigint")
+    got = score_texts(one, model).first()
+    assert model["total"] > 50_000_000 and got.score > got.base_score + 5
+
+
 def test_edge_rows(spark, edge):
     got = score_documents(edge, F.lit(True), min_count=2, min_gain=1.0).collect()
     expected = brute([t for _, t in EDGE], [True] * len(EDGE), 2, 2, 1.0)
