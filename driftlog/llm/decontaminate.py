@@ -1,14 +1,22 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
-
-Each test item is cut into ``SEED``-word n-grams (a shorter item is one
-n-gram). Their document frequencies are counted over the whole corpus, and
-the rarest ``RARE_SHARE`` of each item's n-grams (at least ``MIN_SEEDS``)
-become its seeds; rarity is relative within the item, so an item that leaked
-everywhere keeps its seeds. A text that holds a seed is a candidate at that
-diagonal, and the words around it are aligned with the whole item by
-Smith-Waterman (match 1, mismatch and gap ``PENALTY``). The score is the best
-local alignment divided by the item's words: 1 for an exact copy, lower for
-edited or paraphrased ones. Pairs of ``threshold`` or more are returned.
+"""Benchmark decontamination: word and word-pair seeds, then local alignment.
+
+The score of a text and a test item is their best Smith-Waterman alignment
+(match 1, mismatch and gap ``PENALTY``) divided by the item's ``L`` words: 1
+for an exact copy, lower for edited or paraphrased ones. Pairs of
+``threshold`` or more are returned, all of them:
+
+* An alignment with ``m`` matches, ``b`` of them right after another match in
+  both texts, has ``m - b`` runs with a penalty between any two, so it scores
+  ``m - (m - b - 1) / 2`` at most. Where that is ``threshold * L`` or more, at
+  least ``2 * threshold * L - 1`` of the item's ``L`` words and ``L - 1`` pairs
+  of neighbours stand in the text, within ``(3 - 2 * threshold) * L`` words.
+* The most frequent words and pairs of each item (text frequencies over the
+  whole corpus) are left out, ``1 - 1 / HITS`` of that number; the others are its
+  seeds, of which every such alignment still holds a number (``least``).
+* Where a text holds that many within that stretch, the words around them are
+  aligned with the whole item.
+
+An item of fewer than ``SHORT`` words has to occur whole: it is one seed.
 
 Test items are the query set: they are handed to every task in blocks of at
 most ``BLOCK_WORDS`` words (a bounded broadcast), and with more items the
@@ -32,10 +40,9 @@ from pyspark.sql import functions as F
 
 from driftlog.llm.words import ngram_places, ngrams, word_slices
 
-SEED = 3
-RARE_SHARE = 0.67
-MIN_SEEDS = 8
-PENALTY = 0.5
+SHORT = 3
+HITS = 4          # share of the words and pairs of an alignment that must be seeds, 1 / HITS
+PENALTY = 0.5     # the bounds above hold for one half
 THRESHOLD = 0.5
 BLOCK_WORDS = 2_000_000
 ALIGN_CELLS = 1 << 20   # cells of the alignment rows worked on at once
@@ -51,31 +58,36 @@ class Items:
     at: np.ndarray         # item boundaries in words
     keys: np.ndarray       # seed hashes, sorted
     item: np.ndarray       # by seed: item index
-    place: np.ndarray      # by seed: word place in the item
+    times: np.ndarray      # by seed: places in the item
     size: np.ndarray       # by seed: words of the n-gram
+    least: np.ndarray      # by item: seeds that an alignment holds
+    span: np.ndarray       # by item: words of a text that an alignment takes at most
 
 
-def _items(ids: list, texts: list) -> Items:
-    """All n-grams of the items, as seeds."""
+def _items(ids: list, texts: list, threshold: float = THRESHOLD) -> Items:
+    """All words and pairs of the items, as seeds."""
     pieces = list(word_slices(pc.utf8_lower(pa.array(texts, pa.string())), points=POINTS))
     words = np.concatenate([p.hashes for p in pieces]) if pieces else np.zeros(0, np.uint64)
     at = np.append(0, np.cumsum(np.concatenate([np.diff(p.word_at) for p in pieces]) if pieces else np.zeros(0, np.int64)))
-    keys, item, place, size = [], [], [], []
+    length = np.diff(at)
+    least = np.maximum(1, np.ceil(2 * threshold * length - 1 - 1e-9)).astype(np.int64)
+    least[length < SHORT] = 1
+    span = np.maximum(length, np.ceil((3 - 2 * threshold) * length - 1e-9)).astype(np.int64)
+    keys, item, times, size = [], [], [], []
     for i in range(len(ids)):
         w = words[at[i]:at[i + 1]]
-        k = min(SEED, len(w))
-        if k:
-            g = ngrams(w, k)
+        for k in (1, 2) if len(w) >= SHORT else (len(w),) if len(w) else ():
+            g, n = np.unique(ngrams(w, k), return_counts=True)
             keys.append(g)
             item.append(np.full(len(g), i))
-            place.append(np.arange(len(g)))
+            times.append(n)
             size.append(np.full(len(g), k))
     if not keys:
         none = np.zeros(0, np.int64)
-        return Items(np.array(ids, dtype=object), words, at, np.zeros(0, np.uint64), none, none, none)
-    keys, item, place, size = (np.concatenate(x) for x in (keys, item, place, size))
+        return Items(np.array(ids, dtype=object), words, at, np.zeros(0, np.uint64), none, none, none, least, span)
+    keys, item, times, size = (np.concatenate(x) for x in (keys, item, times, size))
     order = np.argsort(keys, kind="stable")
-    return Items(np.array(ids, dtype=object), words, at, keys[order], item[order], place[order], size[order])
+    return Items(np.array(ids, dtype=object), words, at, keys[order], item[order], times[order], size[order], least, span)
 
 
 def _found(items: Items, piece) -> tuple[np.ndarray, np.ndarray]:
@@ -93,13 +105,16 @@ def _found(items: Items, piece) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _rarest(items: Items, df: np.ndarray) -> Items:
-    """The items with only their rarest n-grams as seeds; ``df`` is by seed."""
-    order = np.lexsort((items.place, df, items.item))
-    counts = np.bincount(items.item, minlength=len(items.ids))
-    rank = np.arange(len(order)) - np.append(0, np.cumsum(counts))[items.item[order]]
-    most = np.maximum(MIN_SEEDS, np.ceil(RARE_SHARE * counts))[items.item[order]]
-    keep = np.sort(order[rank < most])
-    return Items(items.ids, items.words, items.at, items.keys[keep], items.item[keep], items.place[keep], items.size[keep])
+    """The items without their most frequent seeds; ``df`` is by seed."""
+    least = (items.least - 1) // HITS + 1
+    order = np.lexsort((items.keys, -df, items.item))
+    item = items.item[order]
+    total = np.append(0, np.cumsum(items.times[order]))
+    first = np.searchsorted(item, item)
+    out = total[1:] - total[first] <= (items.least - least)[item]     # no alignment holds more of these than that
+    keep = np.sort(order[~out])
+    return Items(items.ids, items.words, items.at, items.keys[keep], items.item[keep], items.times[keep], items.size[keep],
+                 least, items.span)
 
 
 def _align(items: Items, item: np.ndarray, words: np.ndarray, start: np.ndarray, stop: np.ndarray):
@@ -143,26 +158,33 @@ def matches(items: Items, column: pa.Array, threshold: float = THRESHOLD):
         places, seeds = _found(items, piece) if len(items.keys) else (np.zeros(0, np.int64),) * 2
         if not len(places):
             continue
-        # a seed may stand in several items, or several times in one: one hit each
+        # a seed may stand in several items: one hit each
         stop = np.searchsorted(items.keys, items.keys[seeds], side="right")
         many = stop - seeds
         entry = np.repeat(seeds, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         place = np.repeat(places, many)
         row = np.searchsorted(piece.word_at, place, side="right") - 1
         item = items.item[entry]
-        diagonal = place - items.place[entry]
-        order = np.lexsort((diagonal, item, row))
-        row, item, diagonal = row[order], item[order], diagonal[order]
-        length = items.at[item + 1] - items.at[item]
-        slack = np.maximum(4, length // 4)
+        order = np.lexsort((place, item, row))
+        row, item, place, times = row[order], item[order], place[order], items.times[entry[order]]
+        new = np.ones(len(row), dtype=bool)
+        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1])
+        pair, span = np.cumsum(new), items.span[item]
+        # the first hit of an alignment has enough others within the span from it
+        at = pair * (len(piece.hashes) + int(items.span.max()) + 1) + place
+        total = np.append(0, np.cumsum(times))
+        some = np.flatnonzero(total[np.searchsorted(at, at + span)] - total[:-1] >= items.least[item])
+        if not len(some):
+            continue
+        row, item, place, pair, span = row[some], item[some], place[some], pair[some], span[some]
+        start = np.maximum(place - span + 1, piece.word_at[row])
+        stop = np.minimum(place + span, piece.word_at[row + 1])
         new = np.ones(len(row), dtype=bool)
-        new[1:] = ((row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > slack[1:])
-                   | (diagonal[1:] // length[1:] != diagonal[:-1] // length[1:]))
+        new[1:] = (pair[1:] != pair[:-1]) | (start[1:] > stop[:-1])
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(row)) - 1
-        row, item, slack, length = row[first], item[first], slack[first], length[first]
-        start = np.maximum(diagonal[first] - slack, piece.word_at[row])
-        stop = np.minimum(diagonal[last] + length + slack, piece.word_at[row + 1])
+        row, item, start, stop = row[first], item[first], start[first], stop[last]
+        length = items.at[item + 1] - items.at[item]
         score, end = _align(items, item, piece.hashes, start, stop)
         score = score / length
         good = score >= threshold
@@ -178,15 +200,15 @@ def matches(items: Items, column: pa.Array, threshold: float = THRESHOLD):
 
 
 def indexed_blocks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_column: str = "item_id",
-                   block_words: int = BLOCK_WORDS) -> list[Items]:
-    """The test items in blocks, each with its rarest seeds by their frequency in ``docs``."""
+                   block_words: int = BLOCK_WORDS, threshold: float = THRESHOLD) -> list[Items]:
+    """The test items in blocks, each with its rarest seeds by their frequency in ``docs``, for scores from ``threshold``."""
     items = benchmark.select(F.col(item_column).alias("item"), F.col("text").alias("text")).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // (2 * block_words)))     # a word and its separator take two bytes at least
     blocks = []
     for b in range(n_blocks):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b).orderBy("item", "text").toArrow()
-        block = _items(part.column("item").to_pylist(), part.column("text").to_pylist())
+        block = _items(part.column("item").to_pylist(), part.column("text").to_pylist(), threshold)
         blocks.append(_rarest(block, _frequencies(docs, text, block)) if len(block.keys) else block)
     return blocks
 
@@ -219,7 +241,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_column: str = "
     pairs = None
     kind = docs.schema[id_column].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
-    for block in indexed_blocks(docs, benchmark, text, block_words=block_words):
+    for block in indexed_blocks(docs, benchmark, text, block_words=block_words, threshold=threshold):
         shared = docs.sparkSession.sparkContext.broadcast(block)
         types = (docs.schema[id_column].dataType, benchmark.schema["item_id"].dataType)
 
@@ -239,7 +261,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_column: str = "
 
 
 def contaminated(docs: DataFrame, blocks: list[Items], threshold: float = THRESHOLD):
-    """Arrow function text -> whether the text aligns with any item of the blocks."""
+    """Arrow function text -> whether the text aligns with any item of the blocks (indexed for ``threshold`` or less)."""
     shared = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks]
 
     @F.arrow_udf("boolean")

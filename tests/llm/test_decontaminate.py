@@ -54,6 +54,29 @@ def test_edited_copies_are_found_with_the_score_of_brute_force(spark):
     assert all(abs(got[p] - s) < 1e-9 for p, s in full.items() if p in got and s > 0.7)
 
 
+def test_every_pair_that_brute_force_scores_half_or_more_is_found(spark):
+    rng = random.Random(5)
+    common = lambda: f"w{int(rng.paretovariate(0.7)) % 3000}"
+    items = [(i, " ".join(common() if rng.random() < 0.4 else f"i{i}x{j}" for j in range(n)))
+             for i, n in enumerate([36, 36, 20, 59, 41, 9, 4, 30, 25, 33])]
+    edits = [lambda j, w: [w] if j % 4 else [f"n{j}"],                # every fourth word replaced
+             lambda j, w: [w] if j % 3 != 2 else [f"n{j}"],           # every third
+             lambda j, w: [w, f"n{j}"] if j % 2 else [w],             # a word put in after every second
+             lambda j, w: [w, f"n{j}"],                               # after every one
+             lambda j, w: [w] if j % 5 else [],                       # every fifth left out
+             lambda j, w: [w]]
+    docs = []
+    for _, t in items:
+        for edit in edits:
+            noise = [[common() for _ in range(rng.randrange(60))] for _ in range(2)]
+            docs.append((len(docs), " ".join(noise[0] + [x for j, w in enumerate(t.split()) for x in edit(j, w)] + noise[1])))
+    got = {(r.doc_id, r.item_id): r.score for r in contaminated_pairs(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    full = {(d, i): smith_waterman(clean(t), clean(x)) for d, x in docs for i, t in items}
+    want = {p: s for p, s in full.items() if s >= 0.5}
+    assert len(want) >= 50 and set(got) == set(want) and all(abs(got[p] - s) < 1e-9 for p, s in want.items())
+
+
 def test_blocks_change_nothing(spark):
     docs, items, _ = made(spark, seed=4)
     docs, items = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
