@@ -10,14 +10,15 @@ minibatch falls below zero, the step goes against it instead (the
 non-negative estimator), so that a flexible scorer can't fit noise. The prior
 is the share of toxic rows among the labelled training rows.
 
-Features are words, lower-cased (A-Z) and cut at ASCII punctuation too. The vocabulary is the ``N_WORDS`` words whose document
-frequency is most significantly higher (by ``MIN_Z`` deviations at least)
-among positives than among unlabelled texts, counted by Spark over the fit sample; a text's features are the
+Features are words, lower-cased (A-Z) and cut at ASCII punctuation too. The vocabulary is every word whose document
+frequency is significantly higher (by ``MIN_Z`` deviations at least)
+among positives than among unlabelled texts, counted by Spark over all training texts; a text's features are the
 presence and the smoothed rate of each. The scorer is linear, so its score is
 the logistic function of a sum, from 0 to 1. It is fitted by numpy in one
 task on a documented sample: at most ``MAX_POSITIVE`` positives and
 ``MAX_UNLABELLED`` unlabelled training texts, those with the smallest hash of
-their id. Scoring covers every row, in an Arrow function over whole texts.
+their id, drawn from all positives and from all other training texts. A word
+of the vocabulary that none of them holds has no weight. Scoring covers every row, in an Arrow function over whole texts.
 
 Null and empty texts have no words and score the bias alone. Without a
 positive in the training rows every score is next to 0. Repeated rows score alike.
@@ -32,12 +33,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftlog.llm.gates import build_gate, passes
 from driftlog.llm.scratch import written
 from driftlog.llm.words import signed, unsigned, word_slices
 
 MAX_POSITIVE = 10_000
 MAX_UNLABELLED = 30_000
-N_WORDS = 1_024
 MIN_POSITIVES = 3
 MIN_Z = 2.2
 POINTS = rb"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""   # fixed: ASCII punctuation
@@ -63,11 +64,60 @@ def _word_rows(docs: DataFrame) -> DataFrame:
     return docs.select("id", "y", "text").mapInArrow(local, "id bigint, y int, w bigint, n bigint, total bigint")
 
 
+def _document_counts(texts: DataFrame) -> DataFrame:
+    """(w, n): texts that hold each word."""
+    def local(batches):
+        for batch in batches:
+            for piece in word_slices(batch.column(0), points=POINTS):
+                row = piece.word_row()
+                order = np.lexsort((row, piece.hashes))
+                h, r = piece.hashes[order], row[order]
+                new = np.ones(len(h), dtype=bool)
+                new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
+                key, n = np.unique(h[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([signed(key), pa.array(n)], ["w", "n"])
+
+    return texts.select("text").mapInArrow(local, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
+
+
+def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of some ids; few others are shuffled."""
+    gate = build_gate(ids.select(F.xxhash64("id").alias("key")), "key")
+
+    def local(batches):
+        bits = gate.value
+        for batch in batches:
+            yield batch.select(["id", "text"]).filter(pa.array(passes(bits, unsigned(batch.column(0).to_numpy()))))
+
+    return texts.select(F.xxhash64("id").alias("key"), "id", "text").mapInArrow(local, "id bigint, text string").join(ids, "id")
+
+
 def _smallest(ids: DataFrame, most: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("id"), "id").limit(most)
 
 
-def _fit(x: np.ndarray, y: np.ndarray, prior: float, epochs: int = 30, batch: int = 1024, rate: float = 0.05,
+class _Rows:
+    """Sparse matrix, ``value`` at (``row``, ``col``), as far as the fit needs one."""
+
+    def __init__(self, row: np.ndarray, col: np.ndarray, value: np.ndarray, shape: tuple[int, int]):
+        order = np.argsort(row, kind="stable")
+        self.row, self.col, self.value, self.shape = row[order], col[order], value[order], shape
+        self.at = np.append(0, np.cumsum(np.bincount(row, minlength=shape[0])))
+
+    @property
+    def T(self) -> "_Rows":  # noqa: N802
+        return _Rows(self.col, self.row, self.value, self.shape[::-1])
+
+    def __getitem__(self, some: np.ndarray) -> "_Rows":
+        n = np.diff(self.at)[some]
+        held = np.repeat(self.at[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return _Rows(np.repeat(np.arange(len(some)), n), self.col[held], self.value[held], (len(some), self.shape[1]))
+
+    def __matmul__(self, by_col: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * by_col[self.col], self.shape[0])
+
+
+def _fit(x: np.ndarray | _Rows, y: np.ndarray, prior: float, epochs: int = 30, batch: int = 1024, rate: float = 0.05,
          decay: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear scorer, by Adam on the non-negative risk."""
     rng = np.random.default_rng(11)
@@ -88,7 +138,7 @@ def _fit(x: np.ndarray, y: np.ndarray, prior: float, epochs: int = 30, batch: in
             uu = 1 / (1 + np.exp(-(u @ theta[:-1] + theta[-1])))
             negative = -np.log1p(-np.minimum(uu, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(up, 1 - 1e-12)).mean()
 
-            def grad(rows: np.ndarray, w: np.ndarray) -> np.ndarray:
+            def grad(rows: np.ndarray | _Rows, w: np.ndarray) -> np.ndarray:
                 return np.append(rows.T @ w, w.sum()) / len(w)
 
             corrected = grad(u, uu) - prior * grad(p, up)
@@ -120,20 +170,21 @@ def train(docs: DataFrame, toxic: DataFrame, id_column: str = "doc_id", text: st
     if not counts["p"]:
         return np.zeros(0, np.uint64), np.zeros(0), -np.inf
     prior = min(0.9, counts["p"] / counts["n"])
-    positives = written(_smallest(labels.where("l = 1").select("id"), max_positive), "toxic-positives")
-    unlabelled = _smallest(texts.select("id").join(F.broadcast(positives), "id", "left_anti"), max_unlabelled)
-    chosen = positives.withColumn("y", F.lit(1)).unionAll(unlabelled.withColumn("y", F.lit(0)))
+    positives = written(labels.where("l = 1").select("id"), "toxic-positives")
+    unlabelled = _smallest(texts.select("id").join(positives, "id", "left_anti"), max_unlabelled)
+    chosen = _smallest(positives, max_positive).withColumn("y", F.lit(1)).unionAll(unlabelled.withColumn("y", F.lit(0)))
     chosen = written(chosen, "toxic-sample")
     sample = texts.join(F.broadcast(chosen), "id").select("id", "y", "text")
     words = written(_word_rows(sample), "toxic-words")
 
-    sizes = {r["y"]: r["count"] for r in chosen.groupBy("y").count().collect()}
-    n_pos, n_unl = sizes.get(1, 0), max(1, sizes.get(0, 0))
-    df = words.groupBy("w").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("u")).where(F.col("p") >= MIN_POSITIVES)
+    n_pos = max(1, texts.select("id").join(positives, "id").count())
+    n_unl = max(1, texts.count() - n_pos)
+    df = (_document_counts(_texts_of(texts, positives)).withColumnRenamed("n", "p").where(F.col("p") >= MIN_POSITIVES)
+          .join(_document_counts(texts), "w").withColumn("u", F.col("n") - F.col("p")))
     a, b = F.col("p") / F.lit(n_pos), F.col("u") / F.lit(n_unl)
     z = (a - b) / F.sqrt((a * (1 - a) + F.lit(1.0 / n_pos)) / F.lit(n_pos) + (b * (1 - b) + F.lit(1.0 / n_unl)) / F.lit(n_unl))
-    vocabulary = df.where((a > 2 * b) & (z >= MIN_Z)).orderBy(z.desc(), "w").limit(N_WORDS).select("w")
-    kept = words.join(F.broadcast(vocabulary), "w")
+    vocabulary = df.where((a > 2 * b) & (z >= MIN_Z)).select("w")
+    kept = words.join(vocabulary, "w")
     points = chosen.join(kept.groupBy("id").agg(F.collect_list(F.struct("w", "n", "total")).alias("f")), "id", "left")
 
     def fit(batches):
@@ -150,8 +201,7 @@ def train(docs: DataFrame, toxic: DataFrame, id_column: str = "doc_id", text: st
         if not rows:
             return
         vocab, col = np.unique(unsigned(np.concatenate(word)), return_inverse=True)
-        x = np.zeros((rows, max(1, len(vocab))), dtype=np.float32)
-        x[np.concatenate(row), col] = _features(np.concatenate(n), np.concatenate(total))
+        x = _Rows(np.concatenate(row), col, _features(np.concatenate(n), np.concatenate(total)), (rows, max(1, len(vocab))))
         y = np.concatenate(y)
         weights, bias = _fit(x, y, prior)
         yield pa.RecordBatch.from_pydict({"w": signed(vocab), "v": weights[:len(vocab)], "bias": np.full(len(vocab), bias)})

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from driftlog.llm.toxicity import _fit, score_documents
+from driftlog.llm.toxicity import _fit, score_documents, train
 
 from .conftest import EDGE
 
@@ -35,6 +35,23 @@ def test_labels_of_the_other_fold_change_nothing(spark, documents):
     assert a == b
 
 
+def test_words_are_counted_over_all_training_texts(spark):
+    # 40 words, each in 50 of 2,000 positives: 1.25 of 50 sampled ones hold one
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2000, F.concat(F.lit("plain rude"), F.col("id") % 40))
+                                    .otherwise(F.lit("plain other")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") < 2000).cast("int").alias("toxic"))
+    words, weights, _ = train(docs, labels, max_positive=50, max_unlabelled=200)
+    assert len(words) >= 20 and (weights > 0).all()
+
+
+def test_positives_beyond_the_sample_are_not_unlabelled(spark):
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 600, F.lit("plain rude"))
+                                    .otherwise(F.lit("plain other")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") < 600).cast("int").alias("toxic"))
+    score = {r.doc_id: r.score for r in score_documents(docs, labels, max_positive=20, max_unlabelled=100).collect()}
+    assert min(score[i] for i in range(600)) > max(score[i] for i in range(600, 1000)) + 0.1    # "rude" is in the vocabulary
+
+
 def test_risk_stays_non_negative_and_finds_the_direction():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, 5))
