@@ -30,6 +30,9 @@ All steps are exact (64-bit hashes stand for shingles), and none forms all
 pairs of a group of copies: each costs a row a region and round. A bitmap of
 fixed size keeps parts held by one node only from being shuffled twice.
 
+Only components are produced. Pairs within a component are not compared, so
+links are not enumerated and a row's number of links is not known.
+
 Null and empty texts, and texts without a word, have the empty set and link
 to nothing. A text with fewer than ``k`` words has one shingle, all its words.
 Equal texts link to each other. Rows repeat as given; a row without an id
