@@ -16,6 +16,7 @@ from driftlog.llm import (
     kd_shards,
     licences,
     line_rules,
+    periodic_runs,
     sample_pieces,
     suffix_tree,
     token_counts,
@@ -93,10 +94,43 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _planted_runs(docs: DataFrame) -> Column:
+    """The text, for a tenth of the ids with a period planted: from word ``a`` on, the words repeat ``p`` of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def plant(words: Column) -> Column:
+        n = F.size(words).cast("bigint")
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        cycle = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        whole = F.concat(F.slice(words, F.lit(1), a), F.slice(cycle, F.lit(1), (n - a).cast("int")))
+        return F.when(n > 0, F.array_join(whole, " ")).otherwise("")
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    planted = F.transform(F.array(words), plant)[0]      # the words are split once and named
+    return F.when(h % 10 == 0, planted).otherwise(F.col("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs.periodic_runs(docs, text=_planted_runs(docs))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"),
+                                                              (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.start")).alias("start"), "best.length",
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).cast("binary"), 256)
+        .alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_tree, op2_licence_rules, op3_toxicity, op4_similar_groups, op5_kd_shards, op6_line_rules,
-        op7_sample_pieces, op8_warc_zip, op9_token_counts, op10_decontaminate)}
+        op7_sample_pieces, op8_warc_zip, op9_token_counts, op10_decontaminate, op11_periodic_runs)}
 
 SQL: dict[str, str] = {
     "op2_licence_rules": licences.licence_sql(),
