@@ -37,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlog.llm.words import Slice, mix, word_slices
+from driftlog.llm.kept_words import covered, joined_words
+from driftlog.llm.words import mix, word_slices
 
 #: shortest run, in words
 LEAST = 12
@@ -239,28 +240,6 @@ def find_runs(hashes: np.ndarray, word_at: np.ndarray, lags: int = LAGS, least:
     return known
 
 
-def _collapsed(piece: Slice, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and row ends of the texts without the words that repeat a run's first period, joined by one space."""
-    edge = np.zeros(len(piece.starts) + 1, dtype=np.int64)
-    first = piece.word_at[runs[:, 0]]
-    np.add.at(edge, first + runs[:, 1] + runs[:, 3], 1)
-    np.add.at(edge, first + runs[:, 2], -1)
-    kept = np.flatnonzero(np.cumsum(edge[:-1]) == 0)
-    row = np.searchsorted(piece.word_at, kept, side="right") - 1
-    start, end = piece.starts[kept], piece.ends[kept]
-    data = piece.data.copy()
-    mark = np.zeros(len(data) + 1, dtype=np.int8)
-    mark[start] += 1
-    mark[end] -= 1
-    mask = np.cumsum(mark[:-1], dtype=np.int8) > 0
-    joined = end[:-1][row[1:] == row[:-1]] if len(kept) else end
-    data[joined] = 0x20
-    mask[joined] = True
-    ends = np.zeros(len(data) + 1, dtype=np.int64)
-    np.cumsum(mask, out=ends[1:])
-    return data[mask], ends[piece.text_at]
-
-
 def _judged(column: pa.Array, lags: int, least: int) -> pa.Array:
     n_words, offsets, runs_of, texts = [], [np.zeros(1, np.int64)], [], []
     for piece in word_slices(column, lower=False):
@@ -268,9 +247,8 @@ def _judged(column: pa.Array, lags: int, least: int) -> pa.Array:
         n_words.append(np.diff(piece.word_at))
         offsets.append(np.searchsorted(runs[:, 0], np.arange(1, piece.rows + 1)) + offsets[-1][-1])
         runs_of.append(runs)
-        data, ends = _collapsed(piece, runs)
-        texts.append(pa.Array.from_buffers(pa.large_string(), piece.rows, [None, pa.py_buffer(ends), pa.py_buffer(data)])
-                     .cast(pa.string()))
+        again = covered(piece, runs[:, 0], runs[:, 1] + runs[:, 3], runs[:, 2])
+        texts.append(joined_words(piece, ~again))
     runs = np.concatenate([np.zeros((0, 4), np.int64), *runs_of])
     entries = pa.StructArray.from_arrays([pa.array(runs[:, 1]), pa.array(runs[:, 2] - runs[:, 1]), pa.array(runs[:, 3])],
                                          ["start", "length", "period"])

@@ -19,6 +19,7 @@ from driftlog.llm import (
     periodic_runs,
     sample_pieces,
     suffix_tree,
+    super_kmers,
     token_counts,
     toxicity,
     warc_zip,
@@ -127,10 +128,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words")
 
 
+def op12_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = super_kmers.without_repeats(table(spark, sf_dir, "documents"), size=20)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_tree, op2_licence_rules, op3_toxicity, op4_similar_groups, op5_kd_shards, op6_line_rules,
-        op7_sample_pieces, op8_warc_zip, op9_token_counts, op10_decontaminate, op11_periodic_runs)}
+        op7_sample_pieces, op8_warc_zip, op9_token_counts, op10_decontaminate, op11_periodic_runs,
+        op12_super_kmers)}
 
 SQL: dict[str, str] = {
     "op2_licence_rules": licences.licence_sql(),
