@@ -18,17 +18,17 @@ smaller id, or earlier in the same one. Windows are judged on the input.
   first of equal ones are repeats. Hashes have 64 bits besides the bucket's 64.
 * A bucket met more than ``HOT`` times (a passage that very many documents
   share) would be a hot group. Its windows do not travel as strings to one
-  place but each under its own hash: the first place is a grouped minimum,
-  combined in the tasks, and the repeats are found by a join on the hash,
-  whose skewed sides Spark splits.
-* The spans found come back to their documents by one join.
+  place but each under its own hash, and only their first places are sought: a
+  grouped minimum, combined in the tasks. Every such window but the first is a
+  repeat, so its document needs no answer for it: it finds its windows of hot
+  buckets again and is told which of them are first.
+* Spans and first places come back to their documents by one join.
 
 Defined results: null and empty texts and those with fewer words than a
-window lose nothing. A null id counts as one after all others. Rows that
-share an id are parts of one document: of equal windows, those that start at
-the least word number of the least id are the first, in every row that has
-them there, so repeated rows lose the same words. Other columns of the input
-are not read.
+window lose nothing. Null ids come after all others. Rows that share an id
+(or have none) but not the text are documents of their own, in the order of
+their texts' hashes; rows with equal id and text lose the same words. Other
+columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -181,6 +181,13 @@ def _strings(size: int, shared: Broadcast, hot: Broadcast):
     return run
 
 
+def _hot_places(piece: Slice, size: int, hot: Broadcast) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and place of the windows of buckets met too often."""
+    bucket, first, n = super_kmers(piece, size)
+    go = hot.value.passes(bucket)
+    return np.repeat(bucket[go], n[go]), _spread(first[go], n[go])
+
+
 def _hot_windows(size: int, hot: Broadcast):
     """The single windows of the buckets met too often."""
 
@@ -188,13 +195,11 @@ def _hot_windows(size: int, hot: Broadcast):
         for batch in batches:
             doc, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for piece in word_slices(batch.column(2), lower=False):
-                bucket, first, n = super_kmers(piece, size)
-                go = hot.value.passes(bucket)
-                if not go.any():
+                bucket, at = _hot_places(piece, size, hot)
+                if not len(at):
                     continue
-                at, of = _spread(first[go], n[go]), np.repeat(bucket[go], n[go])
                 row = np.searchsorted(piece.word_at, at, side="right") - 1
-                yield pa.record_batch([signed(of), signed(window_hashes(piece.hashes, size)[at]),
+                yield pa.record_batch([signed(bucket), signed(window_hashes(piece.hashes, size)[at]),
                                        pa.array(doc[piece.row + row]), pa.array(part[piece.row + row]),
                                        pa.array(at - piece.word_at[row])], ["bucket", "hash", "doc", "part", "start"])
 
@@ -203,7 +208,7 @@ def _hot_windows(size: int, hot: Broadcast):
 
 def _repeats(table: pa.Table, size: int) -> pa.RecordBatch:
     """Spans of words of the windows of whole buckets that are not the first of their kind."""
-    bucket, doc, start = (table.column(x).to_numpy() for x in ("bucket", "doc", "start"))
+    bucket, doc, part, start = (table.column(x).to_numpy() for x in ("bucket", "doc", "part", "start"))
     rows, offsets, hashes = [], [], []
     for piece in word_slices(table.column("words"), lower=False, most=1 << 22):
         at = np.flatnonzero(ngram_places(piece.word_at, size))
@@ -213,18 +218,18 @@ def _repeats(table: pa.Table, size: int) -> pa.RecordBatch:
         hashes.append(window_hashes(piece.hashes, size)[at])
     row, offset, value = (np.concatenate(x) for x in (rows, offsets, hashes))
     place = start[row] + offset
-    order = np.lexsort((place, doc[row], value, bucket[row]))
-    of, val, d, p = bucket[row][order], value[order], doc[row][order], place[order]
+    order = np.lexsort((place, part[row], doc[row], value, bucket[row]))
+    of, val, d, t, p = bucket[row][order], value[order], doc[row][order], part[row][order], place[order]
     first = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (val[1:] != val[:-1])))
     kind = np.repeat(first, np.diff(np.append(first, len(order))))
     again = np.zeros(len(order), dtype=bool)
-    again[order] = (d != d[kind]) | (p != p[kind])
+    again[order] = (d != d[kind]) | (t != t[kind]) | (p != p[kind])
     row, place = row[again], place[again]
     new = np.append(True, (row[1:] != row[:-1]) | (np.diff(place) != 1)) if len(row) else np.zeros(0, dtype=bool)
     head = np.flatnonzero(new)
     last = np.append(head[1:], len(row)) - 1
-    return pa.record_batch([pa.array(doc[row[head]]), pa.array(table.column("part").to_numpy()[row[head]]),
-                            pa.array(place[head]), pa.array(place[last] + size)], ["doc", "part", "start", "end"])
+    return pa.record_batch([pa.array(doc[row[head]]), pa.array(part[row[head]]), pa.array(place[head]),
+                            pa.array(place[last] + size)], ["doc", "part", "start", "end"])
 
 
 def _sorted_buckets(size: int):
@@ -248,7 +253,10 @@ def _sorted_buckets(size: int):
     return run
 
 
-def _without(size: int):
+def _without(size: int, hot: Broadcast | None):
+    """Arrow function (text, list of spans) -> ``RESULT``; a span that ends at 0 is the place of a window of a hot
+    bucket that is the first of its kind."""
+
     @F.arrow_udf(RESULT)
     def without(text: pa.Array, spans: pa.Array) -> pa.Array:
         if isinstance(spans, pa.ChunkedArray):
@@ -260,7 +268,14 @@ def _without(size: int):
         for piece in word_slices(text, lower=False):
             a, b = at[piece.row], at[piece.row + piece.rows]
             row = np.repeat(np.arange(piece.rows), np.diff(at[piece.row:piece.row + piece.rows + 1]))
-            gone = covered(piece, row, start[a:b], end[a:b])
+            span, first, last = end[a:b] > 0, start[a:b], end[a:b]
+            gone = covered(piece, row[span], first[span], last[span])
+            if hot is not None:
+                at_hot = _hot_places(piece, size, hot)[1]
+                again = at_hot[~np.isin(at_hot, piece.word_at[row[~span]] + first[~span])]
+                of = np.searchsorted(piece.word_at, again, side="right") - 1
+                again -= piece.word_at[of]
+                gone |= covered(piece, of, again, again + size)
             total = np.append(0, np.cumsum(gone))
             words.append(np.diff(piece.word_at))
             removed.append(np.diff(total[piece.word_at]))
@@ -273,8 +288,9 @@ def _without(size: int):
     return without
 
 
-def repeat_spans(named: DataFrame, size: int = SIZE, hot: int = HOT) -> DataFrame:
-    """``doc, part, start, end``: spans of words that windows repeat, of ``named`` rows (doc, part, words of the text)."""
+def repeat_spans(named: DataFrame, size: int = SIZE, hot: int = HOT) -> tuple[DataFrame, Broadcast | None]:
+    """Of rows (doc, part, text): ``doc, part, start, end``, spans of words that windows repeat and, ending at 0, the
+    first places of the windows of hot buckets; and the bitmap of those buckets, if there are any."""
     counts = named.select("text").mapInArrow(_counts(size), "bucket bigint, n bigint") \
         .groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1")
     keys = written(counts, "super-kmer-buckets")
@@ -285,13 +301,10 @@ def repeat_spans(named: DataFrame, size: int = SIZE, hot: int = HOT) -> DataFram
     spans = strings.repartition("bucket").sortWithinPartitions("bucket") \
         .mapInArrow(_sorted_buckets(size), "doc bigint, part bigint, start bigint, end bigint")
     if not n_hot:
-        return spans
+        return spans, None
     windows = named.mapInArrow(_hot_windows(size, often), "bucket bigint, hash bigint, doc bigint, part bigint, start bigint")
-    place = F.col("doc").cast("decimal(38,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("start")
-    windows = windows.withColumn("place", place.cast("decimal(38,0)"))
-    firsts = windows.groupBy("bucket", "hash").agg(F.min("place").alias("first"))
-    again = windows.join(firsts, ["bucket", "hash"]).where("place > first")
-    return spans.unionAll(again.select("doc", "part", "start", (F.col("start") + size).alias("end")))
+    firsts = windows.groupBy("bucket", "hash").agg(F.min(F.struct("doc", "part", "start")).alias("first"))
+    return spans.unionAll(firsts.select("first.*", F.lit(0).cast("bigint").alias("end"))), often
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SIZE,
@@ -301,9 +314,9 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         raise ValueError(f"a window has at least {GRAM} words")
     named = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(id_column), F.lit(_LAST)).cast("bigint").alias("doc"),
                         F.xxhash64(text).alias("part"), F.col(text).alias("text"))
-    spans = repeat_spans(named.select("doc", "part", "text"), size, hot)
+    spans, often = repeat_spans(named.select("doc", "part", "text"), size, hot)
     listed = spans.groupBy("doc", "part").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     back = named.join(listed, ["doc", "part"], "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>"))
-    return back.select(F.col("id").alias(id_column), _without(size)("text", spans).alias("left")) \
+    return back.select(F.col("id").alias(id_column), _without(size, often)("text", spans).alias("left")) \
         .select(id_column, "left.*")

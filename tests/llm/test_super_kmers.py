@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+import xxhash
 
 from driftlog.llm import queries
 from driftlog.llm.super_kmers import without_repeats
@@ -12,16 +13,19 @@ from .conftest import EDGE, SF, WORD
 
 def brute(rows, size=20):
     """Words left of each (id, text), by a table of every window's first place."""
-    last = 1 << 63
-    texts = [(last if i is None else i, WORD.findall(t or "")) for i, t in rows]
+    def part(text):
+        x = xxhash.xxh64_intdigest(text or "", seed=42)
+        return x - (x >> 63 << 64)
+
+    texts = [(1 << 63 if i is None else i, part(t), WORD.findall(t or "")) for i, t in rows]
     first = {}
-    for i, w in texts:
+    for i, t, w in texts:
         for p in range(len(w) - size + 1):
             key = tuple(w[p:p + size])
-            first[key] = min(first.get(key, (i, p)), (i, p))
+            first[key] = min(first.get(key, (i, t, p)), (i, t, p))
     out = []
-    for i, w in texts:
-        gone = {p + j for p in range(len(w) - size + 1) if first[tuple(w[p:p + size])] < (i, p) for j in range(size)}
+    for i, t, w in texts:
+        gone = {p + j for p in range(len(w) - size + 1) if first[tuple(w[p:p + size])] < (i, t, p) for j in range(size)}
         out.append((len(w), len(gone), " ".join(x for p, x in enumerate(w) if p not in gone)))
     return out
 
@@ -62,6 +66,7 @@ def test_repeated_words_and_periods(spark):
 def test_one_group_of_copies_over_the_hot_limit(spark):
     text = " ".join(f"x{i}" for i in range(90))
     check(spark, [(i, f"own{i} " + text + f" tail{i}") for i in range(60)], hot=20)
+    check(spark, [(i % 7 or None, f"own{i % 20} " + text + f" tail{i % 3}") for i in range(60)], hot=20)
 
 
 def test_other_window_sizes(spark):
