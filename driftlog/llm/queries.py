@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from driftlog.llm import (
     decontaminate,
+    hard_negatives,
     jaccard,
     kd_shards,
     licences,
@@ -133,11 +134,16 @@ def op12_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_tree, op2_licence_rules, op3_toxicity, op4_similar_groups, op5_kd_shards, op6_line_rules,
         op7_sample_pieces, op8_warc_zip, op9_token_counts, op10_decontaminate, op11_periodic_runs,
-        op12_super_kmers)}
+        op12_super_kmers, op13_hard_negatives)}
 
 SQL: dict[str, str] = {
     "op2_licence_rules": licences.licence_sql(),
@@ -150,4 +156,20 @@ SQL: dict[str, str] = {
       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
       CASE WHEN again THEN keeper END AS refers_to
     FROM r""",
+    "op13_hard_negatives": """
+    WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+      FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, o.vec_id AS other, a.label = o.label AS same,
+        list_inner_product(a.v, o.v)::BIGINT AS score
+      FROM r a JOIN r o ON a.vec_id % 50 = 0 AND a.vec_id <> o.vec_id),
+    p AS (SELECT * FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+    SELECT p.anchor_id, p.other AS positive_id,
+      row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other)::INTEGER AS rank,
+      n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+      AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+    QUALIFY rank <= 3""",
 }
