@@ -21,12 +21,13 @@ from driftlog.functions.url import decode_args, query_string
 from driftlog.operators.decode import REASON, access_log_fields, decode_records, split_valid
 from driftlog.operators.dedup import daily_first_seen, latest_documents
 from driftlog.operators.parallel import spread
-from driftlog.operators.offsets import latest_offsets, ledger_rows, offset_ranges, resume_from
+from driftlog.operators.offsets import latest_offsets, ledger_rows, offset_ranges, resume_from, seed_offsets
 from driftlog.operators.project import (decode_fact, project_doc, project_visitor, rows_to_json,
                                         with_doc_id, with_event_day)
 from driftlog.operators.search import search
 from driftlog.session import scratch_path
-from driftlog.streaming.sinks import read_store, upsert_documents, with_write_metrics
+from driftlog.sources.archive import archive_records, archive_stream, drain
+from driftlog.streaming.sinks import append_documents, read_store, upsert_documents, with_write_metrics
 from driftlog.sources.records import (DEFAULT_PARTITIONS, DEFAULT_TOPIC, file_records, records_from_events,
                                       visitor_events)
 from driftlog.streaming.jobs import daily_visitors, flatten_append, flatten_upsert, read_visitors
@@ -277,25 +278,23 @@ def _stream_dir(spark, name: str) -> str:
 
 def q_daily_first_seen_stream(spark, sf_dir):
     base = _stream_dir(spark, "daily-visitors")
-    # the month in three parts, written one after the other: a batch each
+    # the month in three parts, written one after the other by as many tasks each: a batch each
     events = visitor_events(_events(spark, sf_dir))
+    tasks = max(events.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
     for low, high in ((0, 11), (11, 21), (21, 99)):
         day = F.dayofmonth(F.timestamp_millis("ts"))
-        events.where((day >= low) & (day < high)).coalesce(2).write.mode("append").parquet(f"{base}/src")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "2").parquet(f"{base}/src")
+        events.where((day >= low) & (day < high)).repartition(tasks).write.mode("append").parquet(f"{base}/src")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", str(tasks)).parquet(f"{base}/src")
     daily_visitors(stream, f"{base}/out", f"{base}/ckpt", tie_col="event_id",
                    available_now=True,
                    state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return read_visitors(spark, f"{base}/out")
 
 
-def _records_at_rest(spark, sf_dir, base: str, files: int | None = None, where=None) -> str:
-    """Write the derived records as files (as the data lies, or dealt into
-    ``files``): the offline stand-in for a topic."""
+def _records_at_rest(spark, sf_dir, base: str) -> str:
+    """Write the derived records as files, as the data lies: the offline stand-in for a topic."""
     path = f"{base}/records"
-    recs = _records(spark, sf_dir)
-    recs = recs if where is None else recs.where(where)
-    (recs.repartition(files) if files else recs).write.mode("append").parquet(path)
+    _records(spark, sf_dir).write.mode("append").parquet(path)
     return path
 
 
@@ -313,17 +312,60 @@ def _doc6_store() -> T.StructType:
 
 
 def q_resume_stream(spark, sf_dir):
-    """One store and ledger over two checkpoints: part 1 of the records with
-    the first, part 2 with a fresh one; the store holds all of them."""
+    """SRC-4 on a stream: one store and ledger over two checkpoints. The first
+    query reads the archive while it ends at a middle offset; the second, with
+    a fresh checkpoint, starts at the offsets the ledger has saved, when the
+    archive holds the rest too. The store has every record once."""
     base = _stream_dir(spark, "resume")
-    cut = F.col("offset") % 5 < 2
-    for n, part in enumerate((cut, ~cut)):
-        src = file_records(spark, _records_at_rest(spark, sf_dir, f"{base}/{n}", where=part), stream=True)
-        flatten_append(src, f"{base}/docs", f"{base}/ckpt{n}", ledger_path=f"{base}/ledger",
+    recs = _records(spark, sf_dir)
+    middle = recs.agg((F.max("offset") / 2).cast("long")).first()[0] or 0
+    for n, part in enumerate((F.col("offset") < middle, F.col("offset") >= middle)):
+        archive_records(recs.where(part), f"{base}/topic")
+        starting = seed_offsets(spark, f"{base}/ledger", GROUP, DEFAULT_TOPIC)
+        src = archive_stream(spark, f"{base}/topic", f"{base}/ckpt{n}", starting)
+        flatten_append(src, f"{base}/docs", f"{base}/ckpt{n}", ledger_path=f"{base}/ledger", group=GROUP,
                        available_now=True).awaitTermination()
     return read_store(spark, f"{base}/docs", schema=_doc6_store()).select(*S.DOC6_COLUMNS)
 
 
+def _landed(batch: DataFrame, batch_id: int, path: str) -> None:
+    append_documents(batch.select("topic", "partition", "offset", "key"), batch_id, path)
+
+
+_LANDED = T.StructType([f for f in S.RECORD.fields if f.name in ("topic", "partition", "offset", "key")]
+                       + [T.StructField(n, T.LongType()) for n in ("run", "batch_id")])
+
+
+def q_resume_archive(spark, sf_dir):
+    """SRC-3 on a stream: what a stream reads that starts at the ledger's saved
+    offsets; equals ``resume_from`` of the same records and ledger at rest."""
+    base = _stream_dir(spark, "resume-archive")
+    recs = _records(spark, sf_dir)
+    archive_records(recs, f"{base}/topic")
+    cutoff = int(RESUME_AFTER_DAY.replace("-", ""))
+    ledger = _ledger(recs).where(F.col("batch_id") <= cutoff)
+    ledger.write.partitionBy("group", "topic", "run", "batch_id").parquet(f"{base}/ledger")
+    starting = seed_offsets(spark, f"{base}/ledger", GROUP, DEFAULT_TOPIC)
+    src = archive_stream(spark, f"{base}/topic", f"{base}/ckpt", starting)
+    (src.writeStream.foreachBatch(lambda batch, n: _landed(batch, n, f"{base}/landed"))
+     .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start().awaitTermination())
+    return read_store(spark, f"{base}/landed", schema=_LANDED).select("topic", "partition", "offset", "key")
+
+
+def q_capped_archive(spark, sf_dir):
+    """SRC-5: an archive drained in offset order under a cap of a fifth of its
+    records a batch; the offset ranges of what arrived, every record once."""
+    base = _stream_dir(spark, "capped")
+    recs = _records(spark, sf_dir)
+    archive_records(recs, f"{base}/topic")
+    cap = -(-recs.count() // 5)
+    src = archive_stream(spark, f"{base}/topic", f"{base}/ckpt", cap=cap)
+    query = (src.writeStream.foreachBatch(lambda batch, n: _landed(batch, n, f"{base}/landed"))
+             .option("checkpointLocation", f"{base}/ckpt").start())
+    drain(query)
+    return offset_ranges(read_store(spark, f"{base}/landed", schema=_LANDED))
+
+
 def q_flatten_upsert_stream(spark, sf_dir):
     base = _stream_dir(spark, "flatten-upsert")
     src = file_records(spark, _records_at_rest(spark, sf_dir, base), stream=True)
@@ -339,7 +381,9 @@ def q_flatten_upsert_stream(spark, sf_dir):
 
 def q_ledger_stream(spark, sf_dir):
     base = _stream_dir(spark, "ledger")
-    src = file_records(spark, _records_at_rest(spark, sf_dir, base, files=6), stream=True, max_files_per_trigger=2)
+    records = _records_at_rest(spark, sf_dir, base)
+    third = max(1, len(spark.read.parquet(records).inputFiles()) // 3)
+    src = file_records(spark, records, stream=True, max_files_per_trigger=third)
     flatten_append(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",
                    available_now=True).awaitTermination()
     # files at rest are not in offset order: the furthest position counts
@@ -374,4 +418,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_upsert_stream": q_flatten_upsert_stream,
     "ledger_stream": q_ledger_stream,
     "resume_stream": q_resume_stream,
+    "resume_archive": q_resume_archive,
+    "capped_archive": q_capped_archive,
 }

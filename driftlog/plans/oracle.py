@@ -258,6 +258,9 @@ SELECT oid, b, "catId", chl, cu, en FROM ({_FACT})
 
 SQL["resume_stream"] = SQL["flatten_append_stream"]
 
+SQL["resume_archive"] = SQL["resume_from"]
+SQL["capped_archive"] = SQL["offset_ranges"]
+
 SQL["flatten_upsert_stream"] = f"""
 SELECT uid AS doc_id, uid, oid, et, "timestamp" FROM (
   SELECT f.*, row_number() OVER (PARTITION BY uid ORDER BY event_id // 4 DESC, event_id % 4 DESC) AS rn

@@ -34,6 +34,7 @@ from driftlog.operators.decode import REASON, decode_records, decode_visitors, q
 from driftlog.operators.dedup import latest_documents
 from driftlog.operators.offsets import offset_ranges
 from driftlog.operators.project import fact_columns, project_visitor, with_doc_id
+from driftlog.streaming.checkpoints import fill_ledger
 from driftlog.streaming.dedup import OUTPUT_MODE as STREAM_DEDUP_MODE
 from driftlog.streaming.dedup import current_first_seen, daily_first_seen_stream, use_rocksdb_state
 from driftlog.streaming.progress import OffsetLedger
@@ -80,10 +81,11 @@ def _decoded_batch(batch: DataFrame, mode: str, columns: list[str]) -> DataFrame
 def _process(batch: DataFrame, batch_id: int, mode: str, write_good, quarantine_path: str | None,
              ledger_path: str | None, group: str, columns: list[str] | None = None, run: int = 0,
              files: int | None = None, on_written: Callable[[int, int], None] | None = None) -> None:
+    if batch.isEmpty():    # looks for one record, undecoded
+        return
+    # decoded once, by the tasks of the first write; the other writes read the result
     dec = _decoded_batch(batch, mode, columns or S.FACT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if not dec.count():    # decodes in all the batch's tasks; the writes read the result
-            return
         good, written = with_write_metrics(dec.where(F.col(REASON).isNull()).drop("value", REASON))
         write_good(good, batch_id)
         n = written.get["rows"]
@@ -122,7 +124,7 @@ def flatten_append(records: DataFrame, out_path: str | None, checkpoint: str,
     _needs_sink(out_path, index)
     cols = columns or S.DOC6_COLUMNS
     need = [*cols, "timestamp"] if "dt" in partition_by and "timestamp" not in cols else list(cols)
-    run = run_number(records.sparkSession, checkpoint)
+    run = run_number(records.sparkSession, checkpoint, out_path, ledger_path, quarantine_path)
 
     def write_good(fact: DataFrame, batch_id: int) -> None:
         dated = fact.withColumn("dt", F.substring("timestamp", 1, 10)) if "dt" in partition_by else fact
@@ -149,7 +151,7 @@ def flatten_upsert(records: DataFrame, out_path: str | None, checkpoint: str,
     """Decode records and upsert the 19-column fact under a deterministic id:
     the record's position, or the fact column ``key`` (later records then replace earlier ones)."""
     _needs_sink(out_path, index)
-    run = run_number(records.sparkSession, checkpoint)
+    run = run_number(records.sparkSession, checkpoint, out_path, ledger_path, quarantine_path)
 
     def write_good(fact: DataFrame, batch_id: int) -> None:
         docs = fact.withColumn(id_col, F.col(key)) if key else with_doc_id(fact, id_col)
@@ -171,7 +173,7 @@ def quarantine_visitors(records: DataFrame, out_path: str, checkpoint: str, trig
                         available_now: bool = False) -> StreamingQuery:
     """Records that are no visitor event, with their reason: a query beside ``daily_visitors``,
     whose own batches hold visitors and no longer records."""
-    run = run_number(records.sparkSession, checkpoint)
+    run = run_number(records.sparkSession, checkpoint, out_path)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         bad = quarantined(decode_visitors(batch), [*SOURCE_COLS, "value", REASON]).persist(StorageLevel.MEMORY_AND_DISK)
@@ -197,7 +199,8 @@ def daily_visitors(events: DataFrame, out_path: str | None, checkpoint: str, tz:
     store with ``read_visitors``. Output is partitioned by ``dt`` (then run
     and batch), so a day's readers prune to that day's files. Index documents
     have day and visitor as their id. The ledger is written from the query's
-    progress reports, after each batch.
+    progress reports, after each batch; what a lost driver did not report is
+    filled in from the checkpoint when the query starts again.
 
     The state holds one row per (day, visitor) for up to ``lateness`` past
     the day, which grows with the audience, so ``rocksdb`` keeps it in
@@ -218,7 +221,7 @@ def daily_visitors(events: DataFrame, out_path: str | None, checkpoint: str, tz:
                                                      lateness=lateness))
 
     _needs_sink(out_path, index)
-    run = run_number(events.sparkSession, checkpoint)
+    run = run_number(events.sparkSession, checkpoint, out_path, ledger_path)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -233,6 +236,7 @@ def daily_visitors(events: DataFrame, out_path: str | None, checkpoint: str, tz:
             b.unpersist()
 
     if ledger_path:
+        fill_ledger(events.sparkSession, checkpoint, ledger_path, group, run)
         query_name = query_name or f"daily_visitors_{run}"
         events.sparkSession.streams.addListener(OffsetLedger(query_name, ledger_path, group, run))
     return _start(firsts, handle, checkpoint, trigger_seconds, available_now, query_name,
