@@ -12,7 +12,9 @@ from driftlog.operators.offsets import (latest_offsets, ledger_rows, offset_rang
 from driftlog.operators.project import (decode_fact, project_doc, project_fact, project_visitor,
                                         rows_to_json, with_doc_id, with_event_day)
 from driftlog.operators.parallel import spread
-from driftlog.operators.search import search, term_filter
+from driftlog.operators.keywords import read_keyword_store, write_keyword_store
+from driftlog.operators.rejects import rejected_documents, split_rejected
+from driftlog.operators.search import page_key, search, term_filter
 
 __all__ = [
     "access_log_columns", "access_log_fields", "decode_args", "decode_envelope", "decode_payload", "decode_records",
@@ -22,5 +24,6 @@ __all__ = [
     "starting_offsets_json",
     "decode_fact", "project_doc", "project_fact", "project_visitor", "rows_to_json",
     "with_doc_id", "with_event_day",
-    "search", "term_filter", "spread",
+    "search", "page_key", "term_filter", "spread",
+    "read_keyword_store", "write_keyword_store", "rejected_documents", "split_rejected",
 ]

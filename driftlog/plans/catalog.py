@@ -24,7 +24,10 @@ from driftlog.operators.parallel import spread
 from driftlog.operators.offsets import latest_offsets, ledger_rows, offset_ranges, resume_from, seed_offsets
 from driftlog.operators.project import (decode_fact, project_doc, project_visitor, rows_to_json,
                                         with_doc_id, with_event_day)
-from driftlog.operators.search import search
+from driftlog.operators.keywords import read_keyword_store, write_keyword_store
+from driftlog.operators.rejects import split_rejected
+from driftlog.operators.search import page_key, search
+from driftlog.sources.kafka import drop_replays, kafka_frame
 from driftlog.session import scratch_path
 from driftlog.sources.archive import archive_records, archive_stream, drain
 from driftlog.streaming.sinks import append_documents, read_store, upsert_documents, with_write_metrics
@@ -199,7 +202,7 @@ def q_upsert_latest(spark, sf_dir):
     return latest.select("uid", "batch_id", *S.DOC6_COLUMNS)
 
 
-def q_upsert_snapshot(spark, sf_dir):
+def q_upsert_runs(spark, sf_dir):
     """The view of a keyed store that two runs wrote: the days up to the cutoff
     in the first, the later ones in a second, whose batch ids start again at 0.
     Equals ``upsert_latest``."""
@@ -260,6 +263,54 @@ def q_search_links(spark, sf_dir):
     return res.select("page_id", "url", "html_len")
 
 
+def q_search_keywords(spark, sf_dir):
+    """FLT-3 with the keywords promoted when the store is written: the pages
+    of ``search_links``, found through the postings of the anchor text."""
+    base = _stream_dir(spark, "keywords")
+    pages = _pages_with_links(spark, sf_dir)
+    write_keyword_store(pages, base, "page_id", ["links.text", "url"])
+    hits = read_keyword_store(spark, base, pages.schema, "page_id", {"links.text": LINK_TERM})
+    res = search(hits, "html", LINK_QUERY, sort="html_len", id_col="page_id", size=10, highlight=False)
+    return res.select("page_id", "url", "html_len")
+
+
+DEEP_PAGE, PAGE_SIZE = 4, 7
+
+
+def q_search_deep_page(spark, sf_dir):
+    """TOP-2 by keyset: each page continues behind the last row of the one before; the fourth."""
+    docs = _documents(spark, sf_dir)
+    after = None
+    for n in range(DEEP_PAGE):
+        page = search(docs, "text", "the", filters={"lang": "en"}, sort="n_chars", id_col="doc_id", size=PAGE_SIZE,
+                      highlight=False, after=after)
+        if n + 1 < DEEP_PAGE:
+            after = page_key(page, "n_chars", "doc_id") or after
+    return page.select("doc_id", "source", "n_chars")
+
+
+def q_index_rejects(spark, sf_dir):
+    """SNK-2: documents whose text an index could not hold as a keyword, by language and reason, and those it takes."""
+    docs = _documents(spark, sf_dir)
+    taken, bad = split_rejected(docs, "doc_id", ["lang", "source", "text"])
+    langs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "lang")
+    reasons = (taken.select("lang", F.lit("taken").alias("reason"), F.lit(None).cast("string").alias("detail"))
+               .unionByName(bad.join(langs, "doc_id").select("lang", "reason", "detail")))
+    return reasons.groupBy("lang", "reason", "detail").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_topic_replays(spark, sf_dir):
+    """SNK-4: records written to a topic by day, the days up to the cutoff twice
+    (a replay after a failure); read once by their headers."""
+    recs = _records(spark, sf_dir).withColumn("day", _batch_of())
+    frame = kafka_frame(recs, ["key", "partition", "offset"], "key", run=1, batch_id=F.col("day"))
+    first = frame.withColumns({"topic": F.lit("facts"), "partition": F.lit(0), "timestamp": F.lit(None).cast("timestamp")})
+    day = F.filter("headers", lambda h: h["key"] == "batch_id")[0]["value"].cast("string").cast("long")
+    again = first.where(day <= int(RESUME_AFTER_DAY.replace("-", ""))).withColumn("partition", F.lit(1))
+    topic = first.unionByName(again).withColumn("offset", F.monotonically_increasing_id())
+    return drop_replays(topic).select("key", F.col("batch_id").alias("day"), "source_partition", "source_offset")
+
+
 def q_write_metrics(spark, sf_dir):
     """Documents written, by topic-partition: one write, its counts observed on the way."""
     fact = decode_fact(_records(spark, sf_dir), keep=("partition",), columns=[])
@@ -362,7 +413,7 @@ def q_capped_archive(spark, sf_dir):
     src = archive_stream(spark, f"{base}/topic", f"{base}/ckpt", cap=cap)
     query = (src.writeStream.foreachBatch(lambda batch, n: _landed(batch, n, f"{base}/landed"))
              .option("checkpointLocation", f"{base}/ckpt").start())
-    drain(query)
+    drain(query, f"{base}/topic", f"{base}/ckpt")
     return offset_ranges(read_store(spark, f"{base}/landed", schema=_LANDED))
 
 
@@ -407,11 +458,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_offsets": q_latest_offsets,
     "resume_from": q_resume_from,
     "upsert_latest": q_upsert_latest,
-    "upsert_snapshot": q_upsert_snapshot,
+    "upsert_runs": q_upsert_runs,
     "rows_to_json": q_rows_to_json,
     "search_topk": q_search_topk,
     "search_page": q_search_page,
     "search_links": q_search_links,
+    "search_keywords": q_search_keywords,
+    "search_deep_page": q_search_deep_page,
+    "index_rejects": q_index_rejects,
+    "topic_replays": q_topic_replays,
     "write_metrics": q_write_metrics,
     "daily_first_seen_stream": q_daily_first_seen_stream,
     "flatten_append_stream": q_flatten_append_stream,

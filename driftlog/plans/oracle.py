@@ -11,7 +11,7 @@ JSON nulls with ``to_json`` of a struct.
 
 from __future__ import annotations
 
-from driftlog.plans.catalog import (GROUP, LINK_QUERY, LINK_TERM, RESUME_AFTER_DAY,
+from driftlog.plans.catalog import (DEEP_PAGE, GROUP, PAGE_SIZE, LINK_QUERY, LINK_TERM, RESUME_AFTER_DAY,
                                     SEARCH_QUERY)
 from driftlog.functions.text import query_tokens
 
@@ -104,11 +104,8 @@ SELECT 'tracking-' || CAST(event_id % 4 AS VARCHAR) || '-' || CAST(event_id // 4
 FROM ({_FACT})
 """
 
-SQL["access_log_fields"] = """
-SELECT CAST(event_id % 4 AS INTEGER) AS "partition", CAST(event_id // 4 AS BIGINT) AS "offset",
-       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
-       '192.0.2.' || (user_id % 250 + 1) AS client_ip, 'track.example.com' AS domain,
-       'params=' || replace(replace(url_encode(CAST(to_json({
+# The line's ``args`` of an ``events`` row, as records_from_events encodes it.
+_EVENT_ARGS = """'params=' || replace(replace(url_encode(CAST(to_json({
          'b': 'shop' || user_id % 3, 's': 'h' || event_id % 2, 'en': event_type, 'et': event_type,
          'cu': 'https://shop.example.com/e/' || event_id, 'pu': 'https://shop.example.com/u/' || user_id,
          'uid': CAST(user_id AS VARCHAR), 'sid': user_id || '-' || strftime(ts, '%Y-%m-%d'),
@@ -116,7 +113,13 @@ SELECT CAST(event_id % 4 AS INTEGER) AS "partition", CAST(event_id // 4 AS BIGIN
          'd': {'gs': props, 'oid': CAST(event_id AS VARCHAR), 'st': CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR),
                'lvst': 'lv' || event_id % 7, 'chl': 'web' || event_id % 5, 'poid': 'po' || event_id,
                'catId': 'c' || event_type, 'shopId': 'sh' || user_id % 11, 'sq': '1',
-               'amt': CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)}}) AS VARCHAR)), '%20', '+'), '%2A', '*') AS args
+               'amt': CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)}}) AS VARCHAR)), '%20', '+'), '%2A', '*')"""
+
+SQL["access_log_fields"] = f"""
+SELECT CAST(event_id % 4 AS INTEGER) AS "partition", CAST(event_id // 4 AS BIGINT) AS "offset",
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
+       '192.0.2.' || (user_id % 250 + 1) AS client_ip, 'track.example.com' AS domain,
+       {_EVENT_ARGS} AS args
 FROM events
 """
 
@@ -135,23 +138,24 @@ SELECT source, id, {_is_obj('text')} AS is_object FROM ({_TEXTS})
 """
 
 SQL["quarantine_reasons"] = f"""
-WITH recs AS (
-  SELECT 'events' AS source, TRUE AS ov, TRUE AS om, 'x' AS args, TRUE AS op FROM events
-  UNION ALL
-  SELECT 'documents', ov, {_is_obj('msg')}, args, {_is_obj(_decode_args('args'))}
-  FROM (SELECT ov, msg,
-               CASE WHEN json_valid(msg) THEN json_extract_string(msg, '$.args') END AS args
-        FROM (SELECT {_is_obj('text')} AS ov,
-                     CASE WHEN json_valid(text) THEN json_extract_string(text, '$.message') END AS msg
-              FROM documents))
-  UNION ALL
-  SELECT 'conversations', TRUE, FALSE, NULL, NULL FROM conversations
-  UNION ALL
-  SELECT 'pages', TRUE, TRUE, {_query_of('url')},
-         {_is_obj(_decode_args(_query_of('url')))} FROM pages
+WITH recs AS (      -- the value of each record, as text
+  SELECT 'events' AS source, to_json({{'message': to_json({{'args': {_EVENT_ARGS}}})::VARCHAR}})::VARCHAR AS v FROM events
+  UNION ALL SELECT 'documents', text FROM documents
+  UNION ALL SELECT 'conversations', to_json({{'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}})::VARCHAR
+    FROM conversations
+  UNION ALL SELECT 'pages', to_json({{'message': CASE WHEN args IS NULL THEN to_json({{'uri': url}})
+      ELSE to_json({{'uri': url, 'args': args}}) END::VARCHAR}})::VARCHAR
+    FROM (SELECT url, {_query_of('url')} AS args FROM pages)
+),
+messages AS (
+  SELECT source, {_is_obj('v')} AS ov, CASE WHEN json_valid(v) THEN json_extract_string(v, '$.message') END AS msg FROM recs
+),
+lines AS (
+  SELECT source, ov, {_is_obj('msg')} AS om, CASE WHEN json_valid(msg) THEN json_extract_string(msg, '$.args') END AS args
+  FROM messages
 )
-SELECT source, {_REASON.format(ov='ov', om='om', op='op')} AS reason, COUNT(*) AS n
-FROM recs GROUP BY ALL
+SELECT source, {_REASON.format(ov='ov', om='om', op=_is_obj(_decode_args('args')))} AS reason, COUNT(*) AS n
+FROM lines GROUP BY ALL
 """
 
 SQL["event_day"] = """
@@ -245,12 +249,32 @@ ORDER BY html_len DESC NULLS LAST, page_id
 LIMIT 10
 """
 
+SQL["search_keywords"] = SQL["search_links"]
+
+SQL["search_deep_page"] = f"""
+SELECT doc_id, source, n_chars FROM documents
+WHERE lang = 'en' AND {_match('text', query_tokens('the'))}
+ORDER BY n_chars DESC NULLS LAST, doc_id
+LIMIT {PAGE_SIZE} OFFSET {(DEEP_PAGE - 1) * PAGE_SIZE}
+"""
+
+SQL["index_rejects"] = """
+SELECT lang, CASE WHEN long THEN 'keyword_too_long' ELSE 'taken' END AS reason,
+       CASE WHEN long THEN 'text' END AS detail, COUNT(*) AS n
+FROM (SELECT lang, COALESCE(octet_length(encode(text)) > 32766, FALSE) AS long FROM documents)
+GROUP BY ALL
+"""
+
+SQL["topic_replays"] = f"""
+SELECT "key", batch_id AS day, "partition" AS source_partition, "offset" AS source_offset FROM ({_RECORDS})
+"""
+
 SQL["write_metrics"] = f"""
 SELECT topic, "partition", COUNT(*) AS written FROM ({_RECORDS}) GROUP BY ALL
 """
 
 SQL["daily_first_seen_stream"] = SQL["visitor_record"]
-SQL["upsert_snapshot"] = SQL["upsert_latest"]
+SQL["upsert_runs"] = SQL["upsert_latest"]
 
 SQL["flatten_append_stream"] = f"""
 SELECT oid, b, "catId", chl, cu, en FROM ({_FACT})

@@ -252,12 +252,24 @@ def archive_stream(spark: SparkSession, path: str, checkpoint: str, starting: st
     return spark.readStream.format("topic_archive").options(**options).load()
 
 
-def drain(query: StreamingQuery, poll_seconds: float = 0.1) -> None:
-    """Wait until a query has read all that its source holds, in as many batches as its cap makes of it, and stop it.
+def drained(path: str, checkpoint: str) -> bool:
+    """Whether the query of this checkpoint has committed all that the archive's index holds."""
+    reader = _ArchiveReader({"path": path, "checkpoint": checkpoint})
+    reader._look()
+    logs, commits = ([int(f.base_name) for f in _listed(f"{checkpoint}/{kind}") if f.base_name.isdigit()]
+                     for kind in ("offsets", "commits"))
+    at = logged_offsets(checkpoint) or {}
+    return max(logs, default=-1) == max(commits, default=-1) and all(
+        at.get(topic, {}).get(p, -1) >= until
+        for topic, ends in reader._edges(lambda files: max(f[1] for f in files)).items() for p, until in ends.items())
+
+
+def drain(query: StreamingQuery, path: str, checkpoint: str, poll_seconds: float = 0.2) -> None:
+    """Wait until a query has read all that its archive holds, in as many batches as its cap makes of it, and stop it.
 
     (``availableNow`` asks a Python source once where to end: one batch of a capped source.)
     """
-    while query.isActive and query.status["message"] != "Waiting for data to arrive":
+    while query.isActive and not drained(path, checkpoint):
         query.awaitTermination(poll_seconds)
     query.stop()
     if query.exception():

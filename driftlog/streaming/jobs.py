@@ -17,7 +17,8 @@ exchange on ``(dt, id)``.
 
 Documents go to a store (``out_path``), a search index (``index``: nodes and
 index name) or both. ``on_written`` is called with the batch id and the
-number of documents written.
+number of documents written. ``rejects_path`` takes the documents that an
+index would refuse (``operators.rejects``), which else fail the batch.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from driftlog import schemas as S
 from driftlog.operators.decode import REASON, decode_records, decode_visitors, quarantined
 from driftlog.operators.dedup import latest_documents
 from driftlog.operators.offsets import offset_ranges
+from driftlog.functions.time import day_text, instant_to_wall
+from driftlog.operators.rejects import split_rejected
 from driftlog.operators.project import fact_columns, project_visitor, with_doc_id
 from driftlog.streaming.checkpoints import fill_ledger
 from driftlog.streaming.dedup import OUTPUT_MODE as STREAM_DEDUP_MODE
@@ -46,6 +49,7 @@ log = logging.getLogger(__name__)
 
 DEFAULT_GROUP = "tracking-etl"
 SOURCE_COLS = ["topic", "partition", "offset"]
+INGEST_DAY = "ingest_dt"
 
 
 def _start(df: DataFrame, handle, checkpoint: str, trigger_seconds: float,
@@ -75,7 +79,22 @@ def _decoded_batch(batch: DataFrame, mode: str, columns: list[str]) -> DataFrame
     the raw value: what the batch's writes need, computed once."""
     dec = decode_records(batch, mode=mode, columns=columns)
     raw = F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value")
-    return dec.select(*SOURCE_COLS, raw, REASON, *fact_columns(columns))
+    kept = [c for c in (*SOURCE_COLS, INGEST_DAY) if c in batch.columns]
+    return dec.select(*kept, raw, REASON, *fact_columns(columns))
+
+
+def _with_ingest_day(records: DataFrame, tz: str) -> DataFrame:
+    """Adds the processing day. It is the micro-batch's time, which the offset log keeps: a replay has the same."""
+    return records.withColumn(INGEST_DAY, day_text(instant_to_wall(F.current_timestamp(), tz)))
+
+
+def _write_index(docs: DataFrame, batch_id: int, index: tuple[str, str], id_col: str, rejects_path: str | None, run: int,
+                 keywords: tuple[str, ...]) -> None:
+    """Write to the index what it will take; the rest goes to ``rejects_path``, where there is one."""
+    if rejects_path:
+        docs, bad = split_rejected(docs, id_col, [k for k in keywords if k in docs.columns])
+        append_documents(bad, batch_id, rejects_path, run=run)
+    write_search_index(docs, *index, id_col=id_col)
 
 
 def _process(batch: DataFrame, batch_id: int, mode: str, write_good, quarantine_path: str | None,
@@ -113,15 +132,20 @@ def flatten_append(records: DataFrame, out_path: str | None, checkpoint: str,
                    trigger_seconds: float = 1.0, available_now: bool = False,
                    query_name: str | None = None, index: tuple[str, str] | None = None,
                    files_per_batch: int | None = None,
-                   on_written: Callable[[int, int], None] | None = None) -> StreamingQuery:
+                   on_written: Callable[[int, int], None] | None = None, tz: str = "UTC",
+                   rejects_path: str | None = None, keywords: tuple[str, ...] = ()) -> StreamingQuery:
     """Decode records and append documents (default: the six-field document).
 
     The store has a folder per day (``dt``, the day of the line's time) unless
-    ``partition_by`` says otherwise. Index documents have the record's
+    ``partition_by`` says otherwise; ``ingest_dt`` there is the day of
+    processing, in ``tz``. Index documents have the record's
     position as their id, so a replayed batch replaces what it wrote.
-    ``files_per_batch`` bounds the files of a batch in a folder.
+    ``files_per_batch`` bounds the files of a batch in a folder. ``keywords``:
+    columns that the index holds as keywords, checked with ``rejects_path``.
     """
     _needs_sink(out_path, index)
+    if INGEST_DAY in partition_by:
+        records = _with_ingest_day(records, tz)
     cols = columns or S.DOC6_COLUMNS
     need = [*cols, "timestamp"] if "dt" in partition_by and "timestamp" not in cols else list(cols)
     run = run_number(records.sparkSession, checkpoint, out_path, ledger_path, quarantine_path)
@@ -132,7 +156,7 @@ def flatten_append(records: DataFrame, out_path: str | None, checkpoint: str,
             append_documents(dated.select(*partition_by, *cols), batch_id, out_path, partition_by, run=run,
                              files=files_per_batch)
         if index:
-            write_search_index(with_doc_id(dated).select("doc_id", *cols), *index, id_col="doc_id")
+            _write_index(with_doc_id(dated).select("doc_id", *cols), batch_id, index, "doc_id", rejects_path, run, keywords)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         _process(batch, batch_id, mode, write_good, quarantine_path, ledger_path, group, need, run,
@@ -147,7 +171,8 @@ def flatten_upsert(records: DataFrame, out_path: str | None, checkpoint: str,
                    trigger_seconds: float = 3.0, available_now: bool = False,
                    query_name: str | None = None, index: tuple[str, str] | None = None,
                    key: str | None = None, files_per_batch: int | None = None,
-                   on_written: Callable[[int, int], None] | None = None) -> StreamingQuery:
+                   on_written: Callable[[int, int], None] | None = None,
+                   rejects_path: str | None = None, keywords: tuple[str, ...] = ()) -> StreamingQuery:
     """Decode records and upsert the 19-column fact under a deterministic id:
     the record's position, or the fact column ``key`` (later records then replace earlier ones)."""
     _needs_sink(out_path, index)
@@ -160,7 +185,7 @@ def flatten_upsert(records: DataFrame, out_path: str | None, checkpoint: str,
             upsert_documents(docs, batch_id, out_path, id_col, run=run, files=files_per_batch)
         if index:
             last = latest_documents(docs, id_col, ["offset", "partition"]) if key else docs
-            write_search_index(last.drop("partition", "offset"), *index, id_col=id_col)
+            _write_index(last.drop("partition", "offset"), batch_id, index, id_col, rejects_path, run, keywords)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         _process(batch, batch_id, mode, write_good, quarantine_path, ledger_path, group, S.FACT_COLUMNS, run,

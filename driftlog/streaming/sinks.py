@@ -105,8 +105,21 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, key_col: str | None = No
     return None
 
 
+def publish_batch(df: DataFrame, batch_id: int, servers: str, topic: str, run: int, key_col: str | None = None,
+                  value_cols: list[str] | None = None, fmt: str = "kafka") -> None:
+    """Write a micro-batch to a topic, each record with the run, batch and source position it comes from.
+
+    A topic cannot be overwritten, so a replayed batch is there twice; readers
+    drop the repetition by these headers (``sources.kafka.drop_replays``). ``df``
+    keeps its ``topic``, ``partition`` and ``offset``.
+    """
+    values = value_cols or [c for c in df.columns if c not in ("topic", "partition", "offset")]
+    frame = kafka_frame(df, values, key_col, run, batch_id)
+    frame.write.format(fmt).options(**kafka_sink_options(servers, topic)).mode("append").save()
+
+
 # Partition columns the sinks write, with the type they had before writing.
-STORE_PARTITION_TYPES = {"dt": "string", "group": "string", "topic": "string", "run": "long", "batch_id": "long"}
+STORE_PARTITION_TYPES = {"dt": "string", "ingest_dt": "string", "group": "string", "topic": "string", "run": "long", "batch_id": "long"}
 
 
 def read_store(spark, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
@@ -127,11 +140,15 @@ def read_store(spark, path: str, fmt: str = "parquet", schema=None) -> DataFrame
 
 def search_index_options(nodes: str, index: str, id_col: str | None = None,
                          batch_entries: int = 5000, batch_bytes: str = "2.5mb",
-                         refresh: bool = False, auto_create: bool = True) -> dict[str, str]:
+                         refresh: bool = False, auto_create: bool = True,
+                         rejects: str | None = None, label: str | None = None) -> dict[str, str]:
     """Options for the Elasticsearch Spark SQL connector (``org.elasticsearch.spark.sql``).
 
     ``id_col`` maps a column to the document id, so a replayed write
-    replaces instead of duplicating. The connector jar is not bundled.
+    replaces instead of duplicating. ``rejects`` names an index that takes the
+    documents which the server refuses (with ``label`` as their label) in place
+    of failing the batch; ``operators.rejects.rejected_documents`` reads it. The
+    connector jar is not bundled.
     """
     opts = {"es.nodes": nodes, "es.resource": index,
             "es.batch.size.entries": str(batch_entries), "es.batch.size.bytes": batch_bytes,
@@ -140,6 +157,13 @@ def search_index_options(nodes: str, index: str, id_col: str | None = None,
     if id_col:
         opts["es.mapping.id"] = id_col
         opts["es.write.operation"] = "index"  # the same id replaces the whole document
+    if rejects:
+        handler = "es.write.rest.error.handler.es"
+        opts.update({"es.write.rest.error.handlers": "es", f"{handler}.client.nodes": nodes,
+                     f"{handler}.client.resource": rejects, f"{handler}.return.default": "HANDLED",
+                     f"{handler}.return.error": "ABORT"})    # a refusal that can't be kept fails the batch
+        if label:
+            opts[f"{handler}.label.job"] = label
     return opts
 
 

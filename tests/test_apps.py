@@ -128,3 +128,23 @@ def test_source_is_required(spark, tmp_dir):
         run(["append", "--out", f"{tmp_dir}/x"])
     with pytest.raises(SystemExit):
         run(["append", "--servers", "b:9092", "--files", tmp_dir, "--topic", "t", "--out", tmp_dir])
+
+
+def test_archive_with_ledger_cap_and_backpressure(spark, tmp_dir):
+    """An archived topic, capped and regulated; then a fresh checkpoint goes on at the ledger's offsets."""
+    from driftlog.sources.archive import archive_records, drain
+
+    recs = records_from_events(spark.read.parquet(EVENTS))
+    archive_records(recs.where("offset < 100"), f"{tmp_dir}/topic")
+    common = ["append", "--archive", f"{tmp_dir}/topic", "--topic", "tracking", "--out", f"{tmp_dir}/docs",
+              "--ledger", f"{tmp_dir}/ledger", "--trigger", "0.2"]
+    query = run([*common, "--checkpoint", f"{tmp_dir}/ck0", "--cap", "150", "--backpressure"])
+    drain(query, f"{tmp_dir}/topic", f"{tmp_dir}/ck0")
+    assert read_store(spark, f"{tmp_dir}/docs").count() == 400
+    archive_records(recs.where("offset >= 100"), f"{tmp_dir}/topic")
+    run([*common, "--checkpoint", f"{tmp_dir}/ck1", "--available-now"]).awaitTermination()
+    docs = read_store(spark, f"{tmp_dir}/docs", schema="oid string, run long")
+    assert docs.count() == recs.count() and docs.select("oid").distinct().count() == recs.count()
+    for wrong in (["--files", "x"], ["--backpressure"]):
+        with pytest.raises(SystemExit):
+            run([*common, *wrong])
