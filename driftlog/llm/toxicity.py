@@ -1,14 +1,17 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positives; every other training text, labelled
-or not, is unlabelled. With the class prior ``pi`` the risk of a scorer is
+Confirmed toxic texts are the positives; the unlabelled rows are the training
+texts that are no confirmed positives, whatever their label; labelled
+negatives serve the priors alone. The class prior ``pi`` is the share of toxic
+rows among the labelled training rows. Taking the confirmed positives out of
+the unlabelled rows leaves fewer toxic ones there: the share ``rho`` is
+``pi * (texts - labelled) / (texts - positives)``. The risk of a scorer is
 
-    pi * E_P[l(f, +1)] + max(0, E_U[l(f, -1)] - pi * E_P[l(f, -1)])
+    pi * E_P[l(f, +1)] + (1 - pi) / (1 - rho) * max(0, E_U[l(f, -1)] - rho * E_P[l(f, -1)])
 
 with the logistic loss ``l``. When the corrected negative part of a
 minibatch falls below zero, the step goes against it instead (the
-non-negative estimator), so that a flexible scorer can't fit noise. The prior
-is the share of toxic rows among the labelled training rows.
+non-negative estimator), so that a flexible scorer can't fit noise.
 
 Features are words, lower-cased (A-Z) and cut at ASCII punctuation too. The vocabulary is every word whose document
 frequency is significantly higher (by ``MIN_Z`` deviations at least)
@@ -17,7 +20,7 @@ presence and the smoothed rate of each. The scorer is linear, so its score is
 the logistic function of a sum, from 0 to 1. It is fitted by numpy in one
 task on a documented sample: at most ``MAX_POSITIVE`` positives and
 ``MAX_UNLABELLED`` unlabelled training texts, those with the smallest hash of
-their id, drawn from all positives and from all other training texts. A word
+their id, drawn from all positives and from all other training texts. Texts that share an id are one sample row. A word
 of the vocabulary that none of them holds has no weight. Scoring covers every row, in an Arrow function over whole texts.
 
 Null and empty texts have no words and score the bias alone. Without a
@@ -45,11 +48,11 @@ POINTS = rb"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""   # fixed: ASCII punctuation
 
 
 def _word_rows(docs: DataFrame) -> DataFrame:
-    """(id, y, w, n, total): every distinct word of every text and the text's word count."""
+    """(id, w, n, total): every distinct word of every text and the text's word count."""
     def local(batches):
         for batch in batches:
-            ids, y = batch.column(0), batch.column(1)
-            for piece in word_slices(batch.column(2), points=POINTS):
+            ids = batch.column(0)
+            for piece in word_slices(batch.column(1), points=POINTS):
                 row = piece.word_row()
                 order = np.lexsort((piece.hashes, row))
                 h, r = piece.hashes[order], row[order]
@@ -58,10 +61,10 @@ def _word_rows(docs: DataFrame) -> DataFrame:
                 at = np.flatnonzero(new)
                 take = pa.array(r[at] + piece.row)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(take), y.take(take), signed(h[at]), pa.array(np.diff(np.append(at, len(h)))),
-                     pa.array(np.diff(piece.word_at)[r[at]])], ["id", "y", "w", "n", "total"])
+                    [ids.take(take), signed(h[at]), pa.array(np.diff(np.append(at, len(h)))),
+                     pa.array(np.diff(piece.word_at)[r[at]])], ["id", "w", "n", "total"])
 
-    return docs.select("id", "y", "text").mapInArrow(local, "id bigint, y int, w bigint, n bigint, total bigint")
+    return docs.select("id", "text").mapInArrow(local, "id bigint, w bigint, n bigint, total bigint")
 
 
 def _document_counts(texts: DataFrame) -> DataFrame:
@@ -97,16 +100,15 @@ def _smallest(ids: DataFrame, most: int) -> DataFrame:
 
 
 class _Rows:
-    """Sparse matrix, ``value`` at (``row``, ``col``), as far as the fit needs one."""
+    """Sparse matrix, ``value`` at (``row``, ``col``) sorted by row, as far as the fit needs one."""
 
     def __init__(self, row: np.ndarray, col: np.ndarray, value: np.ndarray, shape: tuple[int, int]):
-        order = np.argsort(row, kind="stable")
-        self.row, self.col, self.value, self.shape = row[order], col[order], value[order], shape
+        self.row, self.col, self.value, self.shape = row, col, value, shape
         self.at = np.append(0, np.cumsum(np.bincount(row, minlength=shape[0])))
 
     @property
-    def T(self) -> "_Rows":  # noqa: N802
-        return _Rows(self.col, self.row, self.value, self.shape[::-1])
+    def T(self) -> "_Columns":  # noqa: N802
+        return _Columns(self)
 
     def __getitem__(self, some: np.ndarray) -> "_Rows":
         n = np.diff(self.at)[some]
@@ -117,9 +119,44 @@ class _Rows:
         return np.bincount(self.row, self.value * by_col[self.col], self.shape[0])
 
 
-def _fit(x: np.ndarray | _Rows, y: np.ndarray, prior: float, epochs: int = 30, batch: int = 1024, rate: float = 0.05,
-         decay: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Weights and bias of the linear scorer, by Adam on the non-negative risk."""
+class _Columns:
+    """Its transpose."""
+
+    def __init__(self, rows: _Rows):
+        self.rows = rows
+
+    def __matmul__(self, by_row: np.ndarray) -> np.ndarray:
+        rows = self.rows
+        return np.bincount(rows.col, rows.value * by_row[rows.row], rows.shape[1])
+
+
+def _risk(p: np.ndarray, u: np.ndarray, prior: float, rest: float) -> tuple[float, float]:
+    """Positive part and corrected negative part of the risk of scores (logits) of positives and unlabelled rows."""
+    loss = lambda f: np.logaddexp(0, f)  # noqa: E731  of label -1; of label +1 with the sign turned
+    return prior * loss(-p).mean(), (1 - prior) / (1 - rest) * (loss(u).mean() - rest * loss(p).mean())
+
+
+def _gradient(x_p, x_u, theta: np.ndarray, prior: float, rest: float) -> np.ndarray:
+    """Direction of a step: of the whole risk, or against the corrected negative part where that is below zero."""
+    p, u = x_p @ theta[:-1] + theta[-1], x_u @ theta[:-1] + theta[-1]
+    chance = lambda f: 1 / (1 + np.exp(-f))
+
+    def grad(rows, w: np.ndarray) -> np.ndarray:
+        return np.append(rows.T @ w, w.sum()) / len(w)
+
+    corrected = (1 - prior) / (1 - rest) * (grad(x_u, chance(u)) - rest * grad(x_p, chance(p)))
+    if _risk(p, u, prior, rest)[1] < 0:
+        return -corrected
+    return prior * grad(x_p, chance(p) - 1) + corrected
+
+
+def _fit(x: np.ndarray | _Rows, y: np.ndarray, prior: float, rest: float | None = None, epochs: int = 30,
+         batch: int = 1024, rate: float = 0.05, decay: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights and bias of the linear scorer, by Adam on the non-negative risk.
+
+    ``rest``: share of toxic rows among the unlabelled ones; the prior itself where they are of the whole.
+    """
+    rest = prior if rest is None else rest
     rng = np.random.default_rng(11)
     pos, unl = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     theta = np.zeros(x.shape[1] + 1)
@@ -134,15 +171,7 @@ def _fit(x: np.ndarray | _Rows, y: np.ndarray, prior: float, epochs: int = 30, b
         for k in range(steps):
             u = x[unl[order[k * batch:(k + 1) * batch]]]
             p = x[pos[rng.integers(0, len(pos), per_pos)]]
-            up = 1 / (1 + np.exp(-(p @ theta[:-1] + theta[-1])))      # d softplus(f) = sigmoid(f)
-            uu = 1 / (1 + np.exp(-(u @ theta[:-1] + theta[-1])))
-            negative = -np.log1p(-np.minimum(uu, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(up, 1 - 1e-12)).mean()
-
-            def grad(rows: np.ndarray | _Rows, w: np.ndarray) -> np.ndarray:
-                return np.append(rows.T @ w, w.sum()) / len(w)
-
-            corrected = grad(u, uu) - prior * grad(p, up)
-            g = prior * grad(p, up - 1) + corrected if negative >= 0 else -corrected
+            g = _gradient(p, u, theta, prior, rest)
             g[:-1] += decay * theta[:-1]
             t += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -174,11 +203,13 @@ def train(docs: DataFrame, toxic: DataFrame, id_column: str = "doc_id", text: st
     unlabelled = _smallest(texts.select("id").join(positives, "id", "left_anti"), max_unlabelled)
     chosen = _smallest(positives, max_positive).withColumn("y", F.lit(1)).unionAll(unlabelled.withColumn("y", F.lit(0)))
     chosen = written(chosen, "toxic-sample")
-    sample = texts.join(F.broadcast(chosen), "id").select("id", "y", "text")
+    sample = texts.join(F.broadcast(chosen.select("id").distinct()), "id").select("id", "text")
     words = written(_word_rows(sample), "toxic-words")
 
-    n_pos = max(1, texts.select("id").join(positives, "id").count())
-    n_unl = max(1, texts.count() - n_pos)
+    known = texts.select("id").join(labels, "id").agg(F.count("*").alias("n"), F.sum("l").alias("p")).first()
+    n_pos, n_all = max(1, known["p"] or 0), texts.count()
+    n_unl = max(1, n_all - n_pos)
+    rest = min(prior * max(0, n_all - known["n"]) / n_unl, 0.9)
     df = (_document_counts(_texts_of(texts, positives)).withColumnRenamed("n", "p").where(F.col("p") >= MIN_POSITIVES)
           .join(_document_counts(texts), "w").withColumn("u", F.col("n") - F.col("p")))
     a, b = F.col("p") / F.lit(n_pos), F.col("u") / F.lit(n_unl)
@@ -188,22 +219,27 @@ def train(docs: DataFrame, toxic: DataFrame, id_column: str = "doc_id", text: st
     points = chosen.join(kept.groupBy("id").agg(F.collect_list(F.struct("w", "n", "total")).alias("f")), "id", "left")
 
     def fit(batches):
-        y, row, word, n, total, rows = [], [], [], [], [], 0
+        y, row, word, value, rows = [], [], [], [], 0
         for batch in batches:
             y.append(batch.column(0).to_numpy())
             lists = batch.column(1)
             flat = lists.flatten()
             lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
-            row.append(np.repeat(np.arange(len(lengths)) + rows, lengths))
+            row.append(np.repeat(np.arange(len(lengths), dtype=np.int32) + np.int32(rows), lengths))
             rows += len(lengths)
-            for out, c in ((word, "w"), (n, "n"), (total, "total")):
-                out.append(flat.field(c).to_numpy(zero_copy_only=False))
+            w, n, total = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("w", "n", "total"))
+            word.append(w.copy())        # not the batch's memory
+            value.append(_features(n, total).astype(np.float32))
         if not rows:
             return
-        vocab, col = np.unique(unsigned(np.concatenate(word)), return_inverse=True)
-        x = _Rows(np.concatenate(row), col, _features(np.concatenate(n), np.concatenate(total)), (rows, max(1, len(vocab))))
+        word = unsigned(np.concatenate(word))
+        vocab = np.unique(word)
+        col = np.searchsorted(vocab, word).astype(np.int32)
+        del word
+        x = _Rows(np.concatenate(row), col, np.concatenate(value), (rows, max(1, len(vocab))))
+        del row, col, value
         y = np.concatenate(y)
-        weights, bias = _fit(x, y, prior)
+        weights, bias = _fit(x, y, prior, rest)
         yield pa.RecordBatch.from_pydict({"w": signed(vocab), "v": weights[:len(vocab)], "bias": np.full(len(vocab), bias)})
 
     model = points.select("y", "f").coalesce(1).mapInArrow(fit, "w bigint, v double, bias double").toArrow()

@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from driftlog.llm.queries import QUERIES, SQL
 
@@ -99,6 +100,25 @@ def test_edge_rows(spark, edge, none):
             assert len(got) == len(EDGE)
 
 
+def test_repeated_ids_keep_their_different_texts(spark):
+    text = {n: " ".join(f"{n}{i}" for i in range(60)) for n in "abcd"}
+    rows = [(1, text["a"]), (2, text["b"]), (2, text["a"] + " end"), (3, text["c"]), (3, text["d"]), (None, text["d"]),
+            (None, text["a"] + " tail"), (4, None), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = P.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(map(str, got)) == sorted(map(str, docs.where("text is null").collect()
+                                               + [docs.collect()[i] for i in (0, 1, 3, 4)]))
+
+
+def test_columns_that_stages_might_add(spark):
+    text = "\n".join(" ".join(f"word{i}of{j}" for j in range(12)) + "." for i in range(9))
+    docs = spark.createDataFrame([(1, text, "x", "y")], "doc_id bigint, text string, verdict string, _verdict string") \
+        .withColumns({"row": F.lit("r"), "_row": F.lit("s"), "n_chars": F.lit(0).cast("bigint"), "component_id": F.lit("c")})
+    for stage in (P.clean_lines, P.drop_near_duplicates):
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns and [(r.verdict, r._verdict, r.row, r.text) for r in got.collect()] == [("x", "y", "r", text)]
+
+
 def test_sql_of_the_queries(spark):
     con = duckdb.connect()
     for t in ("documents", "pages"):

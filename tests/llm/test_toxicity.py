@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from driftlog.llm.toxicity import _fit, score_documents, train
+from driftlog.llm.toxicity import _fit, _gradient, _risk, _Rows, score_documents, train
 
 from .conftest import EDGE
 
@@ -62,6 +62,34 @@ def test_risk_stays_non_negative_and_finds_the_direction():
     assert _auc(score, y) > 0.97 and abs(score.mean() - y.mean()) < 0.15
 
 
+def test_risk_and_gradient_against_the_plain_formula():
+    """Loss by loss, and the gradient by differences; where the negative part is below zero, against that part."""
+    rng = np.random.default_rng(3)
+    signs = set()
+    for case in range(12):
+        p, u, prior, rest = (rng.normal(size=(30, 4)) + case % 3, rng.normal(size=(50, 4)), (0.05, 0.4, 0.9)[case % 3],
+                             (0.04, 0.4, 0.7, 0.0)[case % 4])
+        theta = rng.normal(size=5)
+
+        def parts(theta, p=p, u=u, prior=prior, rest=rest):
+            f = lambda x: [float(np.dot(r, theta[:-1]) + theta[-1]) for r in x]
+            plus = sum(np.log(1 + np.exp(-v)) for v in f(p)) / len(p)
+            minus = sum(np.log(1 + np.exp(v)) for v in f(p)) / len(p)
+            negative = sum(np.log(1 + np.exp(v)) for v in f(u)) / len(u) - rest * minus
+            return prior * plus, (1 - prior) / (1 - rest) * negative
+
+        assert np.allclose(_risk(p @ theta[:-1] + theta[-1], u @ theta[:-1] + theta[-1], prior, rest), parts(theta))
+        below = parts(theta)[1] < 0
+        signs.add(below)
+        steps = np.eye(5) * 1e-6
+        slope = lambda part: np.array([(part(parts(theta + s)) - part(parts(theta - s))) / 2e-6 for s in steps])
+        want = -slope(lambda x: x[1]) if below else slope(sum)
+        assert np.allclose(_gradient(p, u, theta, prior, rest), want, atol=1e-6)
+        sparse = [_Rows(*np.nonzero(x), x[np.nonzero(x)], x.shape) for x in (p, u)]
+        assert np.allclose(_gradient(*sparse, theta, prior, rest), want, atol=1e-6)
+    assert signs == {True, False}
+
+
 def test_edge_rows(spark, edge, none):
     labels = spark.createDataFrame([(1, 1), (1, None), (None, 1), (6, 0), (99, 1)], "doc_id bigint, toxic int")
     got = score_documents(edge, labels).collect()
