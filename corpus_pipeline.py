@@ -5,13 +5,14 @@ as Parquet and read again as the next one's ``docs``:
 
 1. toxicity: documents scored 0.3 or more go;
 2. quality rules: failed lines go from the text, and documents that the base rules fail or that lose too much go;
-3. near duplicates (5-word shingles, similarity 0.8 or more): of each group the smallest id stays, once;
+3. near duplicates (5-word shingles, similarity 0.8 or more): of each group one row stays, of the smallest id;
 4. benchmark decontamination: documents that align with a test item go;
 5. sampled segmentations: two a document, with their pieces.
 
 All but the last return the columns of ``documents``; other columns of the
-input pass through. Documents without an id belong to no group of near
-duplicates and stay.
+input pass through. Groups are of rows: rows that share an id but whose texts
+are in different groups all stay, and rows without an id take part, coming
+after all others.
 """
 
 from __future__ import annotations
@@ -25,6 +26,13 @@ from driftlog.llm.scratch import written
 from driftlog.llm.ship import shipped
 
 
+def unused(name: str, docs: DataFrame) -> str:
+    """A column name that ``docs`` has not."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxicity.toxicity_score(model)(F.col("text")) < 0.3)
@@ -33,20 +41,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     shipped(spark)
     verdict = line_rules.line_verdict(with_text=True).asNondeterministic()    # evaluated once a row
-    judged = docs.select("*", verdict(F.col("text")).alias("_verdict")).where("_verdict.kept")
-    return judged.withColumns({"text": F.col("_verdict.clean_text"),
-                               "n_chars": F.length("_verdict.clean_text").cast("bigint")}).select(*docs.columns)
+    name = unused("verdict", docs)
+    judged = docs.select("*", verdict(F.col("text")).alias(name)).where(F.col(f"{name}.kept"))
+    return judged.withColumns({"text": F.col(f"{name}.clean_text"),
+                               "n_chars": F.length(f"{name}.clean_text").cast("bigint")}).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     shipped(spark)
-    groups = written(jaccard.similar_groups(docs, k=5, num=80, den=100), "groups")
-    kept = docs.join(groups.where("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti")
-    named = groups.where("doc_id is not null")
-    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept.select(*docs.columns)
-    unnamed = kept.where("doc_id is null")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(unnamed).select(*docs.columns)
+    row = unused("row", docs)
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")     # ids may repeat or be missing
+    groups = written(jaccard.similar_groups(rows, k=5, num=80, den=100, id_column=row), "groups")
+    named = groups.select(row, F.col("component_id").alias("of")).join(rows.select(row, F.col("doc_id").alias("id")), row)
+    first = named.groupBy("of").agg(F.min(F.struct(F.col("id").isNull(), "id", row)).alias("first")).select(f"first.{row}")
+    return rows.join(first, row, "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
