@@ -25,6 +25,9 @@ from driftlog.llm.queries import table, tokenizer_path
 from driftlog.llm.scratch import written
 from driftlog.llm.ship import shipped
 
+#: documents of an Arrow batch
+BATCH_DOCUMENTS = 2000
+
 
 def unused(name: str, docs: DataFrame) -> str:
     """A column name that ``docs`` has not."""
@@ -33,13 +36,20 @@ def unused(name: str, docs: DataFrame) -> str:
     return name
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to the workers in batches of a bounded number of documents: their memory follows the batch."""
+    shipped(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_DOCUMENTS)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxicity.toxicity_score(model)(F.col("text")) < 0.3)
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    shipped(spark)
+    small_batches(spark)
     verdict = line_rules.line_verdict(with_text=True).asNondeterministic()    # evaluated once a row
     name = unused("verdict", docs)
     judged = docs.select("*", verdict(F.col("text")).alias(name)).where(F.col(f"{name}.kept"))
@@ -48,7 +58,7 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    shipped(spark)
+    small_batches(spark)
     row = unused("row", docs)
     rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")     # ids may repeat or be missing
     groups = written(jaccard.similar_groups(rows, k=5, num=80, den=100, id_column=row), "groups")
@@ -58,12 +68,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     blocks = decontaminate.indexed_blocks(docs, table(spark, sf_dir, "benchmark"))
     return docs.where(~decontaminate.contaminated(docs, blocks)(F.col("text")))
 
 
 def sampled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    shipped(spark)
+    small_batches(spark)
     return sample_pieces.sampled_pieces(docs, tokenizer_path("piece_bpe_32k.model"), k=2, with_ids=True)
 
 
