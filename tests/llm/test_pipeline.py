@@ -121,7 +121,7 @@ def test_columns_that_stages_might_add(spark):
 
 def test_sql_of_the_queries(spark):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     for name, sql in SQL.items():
         got = QUERIES[name](spark, SF)
