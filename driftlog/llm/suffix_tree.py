@@ -18,9 +18,10 @@ each kept context there, and a correction where its next symbol is listed.
 Counting goes order by order: an n-gram is counted only where both its
 (n-1)-grams are frequent enough, judged by a bitmap of fixed size
 (``gates``); keys alone are counted first, and only frequent ones a second
-time with their parts. Counts cover all training texts. For scoring, the
-``HOT`` most frequent values of words and of contexts are handed to the
-tasks (a fixed bound) and summed there; the rest are joined by key.
+time with their parts. Counts cover all training texts. For scoring, rows are
+dealt into blocks of ``BLOCK_BYTES`` of text. A block names each key it needs
+once, the keys meet the model's values in one join, and values and texts come
+together again by block; this one plan serves models of every size.
 
 A null or empty text is its end token alone. Repeated rows are separate
 rows. Without training rows the unigram is uniform over unknown symbols.
@@ -32,6 +33,8 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +46,8 @@ DEPTH = 2
 MIN_COUNT = 5
 MIN_GAIN = 12.0
 DISCOUNT = 0.75
-HOT = (1 << 17, 1 << 20)   # words, context values
+BLOCK_BYTES = 1 << 25      # text of a block: what one task scores at a time
+KEY_ROWS = 1 << 18
 
 _U = np.uint64
 #: keys of contexts and of pairs of a context and its next symbol, apart from each other and from words
@@ -176,95 +180,100 @@ def grow(texts: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, min_g
     return {"values": written(values, "values"), "total": total, "distinct": distinct, "z": z, "depth": depth}
 
 
-def _hottest(values: DataFrame, kind: int, most: int):
-    """Table of the most frequent rows of a kind, ``most`` of them at most, and the condition of the others."""
-    rows = values.where(F.col("kind") == kind)
-    step = F.floor(F.log2("n") * 16).cast("int")
-    sizes = sorted(((r["step"], r["count"]) for r in rows.groupBy(step.alias("step")).count().collect()), reverse=True)
-    held, least = 0, 1 << 30
-    for s, n in sizes:
-        if held + n > most:
-            break
-        held, least = held + n, s
-    hot = rows.where(step >= least).select("key", "v").toArrow()
-    return Table(unsigned(hot.column("key").to_numpy()), hot.column("v").to_numpy()), (F.col("kind") == kind) & (step < least)
-
-
 def _sums(at: np.ndarray, values: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1)
     np.cumsum(values, out=total[1:])
     return np.diff(total[at])
 
 
-def score_texts(texts: DataFrame, model: dict, hot: tuple[int, int] = HOT) -> DataFrame:
-    """``id, n_tokens, n_known, base_score, score`` of every (text, row, id) row; ``row`` tells rows apart."""
-    values, depth = model["values"], model["depth"]
-    hot_words, cold_words = _hottest(values, 0, hot[0])
-    hot_model, cold_model = _hottest(values, 1, hot[1])
-    cold = values.where(cold_words | cold_model)
-    gate, all_gate = build_gate(cold, "key"), build_gate(values.where(F.col("kind") == 1), "key")
-    spark = texts.sparkSession
-    id_type = texts.schema["id"].dataType
-    tables = spark.sparkContext.broadcast((hot_words, hot_model))
+def _blocks(texts: DataFrame, block_bytes: int) -> DataFrame:
+    """``block, id, text``: rows dealt into stretches of about ``block_bytes`` (a longer text ends its block)."""
+    id_type = texts.schema["id"].dataType.simpleString()
+
+    def local(batches):
+        first, before = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16
+            ends = before + np.cumsum(size)
+            if len(ends):
+                before = int(ends[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(first + (ends - size) // block_bytes), *batch.columns], ["block", "id", "text"])
+
+    return written(texts.select("id", "text").mapInArrow(local, f"block bigint, id {id_type}, text string"), "blocks")
 
-    names = ["row", "id", "key", "n", "known", "base", "extra"]
 
+def _asked(tokens: np.ndarray, at: np.ndarray, depth: int, gate):
+    """(places, keys) of the contexts before each place, and of these with the symbol there, that the gate lets pass."""
+    grams = _grams(tokens, depth + 1)
+    for k in range(1, depth + 1):
+        n = len(grams[k])
+        if n:
+            ok = ngram_places(at, k + 1)
+            for keys in (grams[k - 1][:n] ^ _U(STATE), grams[k] ^ _U(PAIR)):
+                some = np.flatnonzero(passes(gate, keys) & ok)
+                yield some, keys[some]
+
+
+def _block_keys(blocks: DataFrame, depth: int, gate) -> DataFrame:
+    """``block, key``: what the scores of each block ask for, once a block and task."""
     def local(batches):
-        from pyspark.sql.pandas.types import to_arrow_type
+        block, held, fresh = None, np.zeros(0, _U), []
+
+        def rows():
+            keys = np.unique(np.concatenate([held, *fresh]))
+            for i in range(0, len(keys), KEY_ROWS):
+                some = signed(keys[i:i + KEY_ROWS])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), some], ["block", "key"])
 
-        bits, all_bits = gate.value, all_gate.value
-        words, contexts = tables.value
         for batch in batches:
-            for piece in word_slices(batch.column(0)):
-                if not piece.rows:
-                    continue
-                tokens, at = _tokens(piece)
-                row = np.repeat(np.arange(piece.rows), np.diff(at))
-                found, v = words.look(tokens)
-                base, known = _sums(at, v), _sums(at, found)
-                tails = [(row, tokens, ~found & passes(bits, tokens))]
-                extra = np.zeros(piece.rows)
-                grams = _grams(tokens, depth + 1)
-                for k in range(1, depth + 1):
-                    n = len(grams[k])
-                    if not n:
+            number = batch.column(0).to_numpy()
+            edges = np.flatnonzero(np.diff(number, prepend=number[:1] - 1, append=number[-1:] + 1))
+            for start, stop in zip(edges[:-1], edges[1:], strict=True):
+                if number[start] != block:
+                    if block is not None:
+                        yield from rows()
+                    block, held, fresh = number[start], np.zeros(0, _U), []
+                for piece in word_slices(batch.column(1).slice(start, stop - start)):
+                    if not piece.rows:
                         continue
-                    ok = ngram_places(at, k + 1)
-                    for keys in (grams[k - 1][:n] ^ _U(STATE), grams[k] ^ _U(PAIR)):
-                        some = np.flatnonzero(passes(all_bits, keys) & ok)
-                        found, v = contexts.look(keys[some])
-                        extra += np.bincount(row[some], weights=v, minlength=piece.rows)
-                        tails.append((row[some], keys[some], ~found & passes(bits, keys[some])))
-                ids = batch.column(1).slice(piece.row, piece.rows)
-                yield pa.RecordBatch.from_arrays(
-                    [ids, batch.column(2).slice(piece.row, piece.rows), pa.nulls(piece.rows, pa.int64()), pa.array(np.diff(at)),
-                     pa.array(known), pa.array(base), pa.array(extra)], names)
-                r = np.concatenate([a[m] for a, _, m in tails])
-                key = np.concatenate([b[m] for _, b, m in tails])
-                order = np.lexsort((key, r))
-                r, key = r[order], key[order]
-                new = np.ones(len(r), dtype=bool)
-                new[1:] = (r[1:] != r[:-1]) | (key[1:] != key[:-1])
-                first = np.flatnonzero(new)
-                n = np.diff(np.append(first, len(r)))
-                none = pa.nulls(len(first), pa.float64())
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(r[first])), pa.nulls(len(first), to_arrow_type(id_type)), signed(key[first]), pa.array(n),
-                     none, none, none], names)
-
-    parts = written(texts.select("text", "row", "id").mapInArrow(
-        local, f"row bigint, id {id_type.simpleString()}, key bigint, n bigint, known double, base double, extra double"), "scored")
-    tail = (parts.where(F.col("key").isNotNull()).select("row", "key", "n").join(cold.select("key", "kind", "v"), "key")
-            .groupBy("row").agg(F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("t_known"),
-                                F.sum(F.when(F.col("kind") == 0, F.col("n") * F.col("v"))).alias("t_base"),
-                                F.sum(F.when(F.col("kind") == 1, F.col("n") * F.col("v"))).alias("t_extra")))
-    own = parts.where(F.col("key").isNull()).drop("key")
+                    tokens, at = _tokens(piece)
+                    fresh.append(np.unique(np.concatenate([tokens, *(keys for _, keys in _asked(tokens, at, depth, gate.value))])))
+                    if sum(map(len, fresh)) > max(KEY_ROWS, len(held)):
+                        held, fresh = np.unique(np.concatenate([held, *fresh])), []
+        if block is not None:
+            yield from rows()
+
+    return blocks.select("block", "text").mapInArrow(local, "block bigint, key bigint")
+
+
+def score_texts(texts: DataFrame, model: dict, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``id, n_tokens, n_known, base_score, score`` of every (text, id) row."""
+    values, depth = model["values"], model["depth"]
+    gate = build_gate(values.where(F.col("kind") == 1), "key")
     unknown = math.log10(0.5 / model["z"])
-    zero = F.lit(0.0)
-    base = F.col("base") + F.coalesce("t_base", zero) + F.col("n") * F.lit(unknown)
-    return own.join(tail, "row", "left").select(
-        "id", F.col("n").alias("n_tokens"), (F.col("known").cast("bigint") + F.coalesce("t_known", F.lit(0))).alias("n_known"),
-        base.alias("base_score"), (base + F.col("extra") + F.coalesce("t_extra", zero)).alias("score"))
+    id_type = texts.schema["id"].dataType.simpleString()
+    blocks = _blocks(texts, block_bytes)
+    found = _block_keys(blocks, depth, gate).join(values.select("key", "v"), "key")
+
+    def scored(rows: pa.Table, known: pa.Table) -> pa.Table:
+        table = Table(unsigned(known.column("key").to_numpy()), known.column("v").to_numpy())
+        parts = []
+        for piece in word_slices(rows.column("text")):
+            if not piece.rows:
+                continue
+            tokens, at = _tokens(piece)
+            there, v = table.look(tokens)
+            n = np.diff(at)
+            base = _sums(at, v) + n * unknown
+            extra = np.zeros(len(tokens) + 1)
+            for some, keys in _asked(tokens, at, depth, gate.value):
+                extra[some] += table.look(keys)[1]
+            parts.append((n, _sums(at, there).astype(np.int64), base, base + _sums(at, extra[:-1])))
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0)] * 4
+        return pa.table([rows.column("id"), *map(pa.array, columns)], ["id", "n_tokens", "n_known", "base_score", "score"])
+
+    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
+        scored, f"id {id_type}, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def score_documents(docs: DataFrame, training: Column, id_column: str = "doc_id", text: str = "text", depth: int = DEPTH,
@@ -272,7 +281,7 @@ def score_documents(docs: DataFrame, training: Column, id_column: str = "doc_id"
     """``id, n_tokens, n_known, train_tokens, base_score, score`` of every row, learned from the ``training`` ones."""
     learn = docs.select(F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
     model = grow(learn, depth, min_count, min_gain)
-    rows = docs.select(F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"))
+    rows = docs.select(F.col(text).alias("text"), F.col(id_column).alias("id"))
     return score_texts(rows, model).select(
         F.col("id").alias(id_column), "n_tokens", "n_known", F.lit(model["total"]).cast("bigint").alias("train_tokens"),
         "base_score", "score")

@@ -68,11 +68,12 @@ def test_scores_equal_brute_force(spark, documents, depth):
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and math.isclose(r.score, score, rel_tol=1e-8)
 
 
-def test_joined_tail_equals_handed_out_tables(spark, documents):
+def test_blocks_of_any_size_give_the_same_scores(spark, documents):
     model = grow(documents.select("text", fold("doc_id").alias("training")), min_count=3, min_gain=5.0)
-    rows = documents.select("text", F.col("doc_id").alias("row"), F.col("doc_id").alias("id"))
+    rows = documents.select("text", F.col("doc_id").alias("id"))
     a = {r.id: r for r in score_texts(rows, model).collect()}
-    b = {r.id: r for r in score_texts(rows, model, hot=(50, 50)).collect()}
+    b = {r.id: r for r in score_texts(rows.repartition(3), model, block_bytes=20_000).collect()}
+    assert len(a) == len(b) == rows.count()
     for i, r in a.items():
         assert (r.n_tokens, r.n_known) == (b[i].n_tokens, b[i].n_known)
         assert math.isclose(r.score, b[i].score, rel_tol=1e-9) and math.isclose(r.base_score, b[i].base_score, rel_tol=1e-9)
