@@ -1,4 +1,7 @@
+import textwrap
+
 import duckdb
+import pyarrow as pa
 import pytest
 
 from driftlog.llm.licences import CRITICAL, RULES, SENTENCES, licence_scan, licence_sql
@@ -26,6 +29,107 @@ def test_rules_and_order(spark):
     assert got[1].n_unmatched == 0 and got[1].n_sentences == 3
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+   disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+   disclaimer in the documentation and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+NAMES = """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+   products derived from this software without specific prior written permission.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+specific language governing permissions and limitations under the License."""
+GPL = """This program is free software{} you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any
+later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with this program. If not, see
+<https://www.gnu.org/licenses/>."""
+WHOLE = {"MIT": MIT, "BSD-2-Clause": BSD.format(""), "BSD-3-Clause": BSD.format(NAMES), "Apache-2.0": APACHE,
+         "GPL-3.0-or-later": GPL.format(":", 3), "GPL-2.0-or-later": GPL.format(";", 2)}
+
+
+def layouts(text):
+    """Unwrapped, and wrapped at several widths, with a notice, without one, and as comments of a file."""
+    paragraphs = [" ".join(p.split()) for p in text.split("\n\n")]
+    yield "\n\n".join(paragraphs)
+    for width in (70, 74, 78, 80):
+        lines = "\n\n".join(textwrap.fill(p, width) for p in paragraphs)
+        yield lines
+        yield "Copyright (c) 2020 Some One\n" + lines
+        yield "".join(f" * {x}\n" for x in ["Copyright 2019 The Authors", "", *lines.split("\n")]) + " */\nint main() { return 0; }\n"
+
+
+@pytest.fixture(scope="module")
+def whole():
+    return [(name, x) for name, text in WHOLE.items() for x in layouts(text)]
+
+
+def test_whole_licences_in_any_wrapping(spark, whole):
+    rows = spark.createDataFrame([(i, x) for i, (_, x) in enumerate(whole)], "doc_id bigint, text string")
+    for r in licence_scan(rows).collect():
+        assert (r.licences, r.n_unmatched) == (whole[r.doc_id][0], 0), (r, whole[r.doc_id][1])
+
+
+OTHERS = {
+    "/* SPDX-License-Identifier: GPL-2.0-or-later */\n#include <x.h>\n": "GPL-2.0-or-later",
+    "# SPDX-License-Identifier: MIT\nimport os": "MIT",
+    "// This file is MIT licensed": "MIT",
+    "first line\nLicensed under the MIT License\nlast line": "MIT",
+    "this is dedicated to the public\ndomain of things": "",
+    "you may redistribute\nthis under no known licence": "",
+    "Copyright (c) 2021 Nobody": "",
+}
+
+
+def test_tags_lines_and_unknown_sentences(spark):
+    rows = spark.createDataFrame(list(enumerate(OTHERS)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licence_scan(rows).collect()}
+    assert [got[i].licences for i in range(len(OTHERS))] == list(OTHERS.values())
+    assert (got[4].sentences, got[5].sentences, got[6].sentences, got[6].n_unmatched) == ("unknown", "unknown", "copyright", 0)
+
+
+def test_whole_licences_equal_sql(spark, whole):
+    texts = [x for _, x in whole] + list(OTHERS) + list(TEXTS) + [t for _, t in EDGE]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    table = pa.table({"doc_id": range(len(texts)), "text": texts})
+    want = duckdb.connect().register("documents", table).sql(licence_sql()).fetchall()
+    assert sorted(tuple(r) for r in licence_scan(frame).collect()) == sorted(want)
+
+
 def test_tables_agree():
     assert all(any(c in s for c in CRITICAL) for s in SENTENCES)
     assert {x for _, rule in RULES for x in rule} <= set(SENTENCES.values())
