@@ -20,8 +20,9 @@ Counting goes order by order: an n-gram is counted only where both its
 (``gates``); keys alone are counted first, and only frequent ones a second
 time with their parts. Counts cover all training texts. For scoring, rows are
 dealt into blocks of ``BLOCK_BYTES`` of text. A block names each key it needs
-once, the keys meet the model's values in one join, and values and texts come
-together again by block; this one plan serves models of every size.
+once, packed in one row a range of keys (``RANGE_KEYS`` of the model's);
+the ranges look their keys up, and values and texts come together again by
+block. This one plan serves models of every size.
 
 A null or empty text is its end token alone. Repeated rows are separate
 rows. Without training rows the unigram is uniform over unknown symbols.
@@ -47,6 +48,7 @@ MIN_COUNT = 5
 MIN_GAIN = 12.0
 DISCOUNT = 0.75
 BLOCK_BYTES = 1 << 25      # text of a block: what one task scores at a time
+RANGE_KEYS = 1 << 19       # values of the model in a range of keys, on average
 KEY_ROWS = 1 << 18
 
 _U = np.uint64
@@ -203,27 +205,49 @@ def _blocks(texts: DataFrame, block_bytes: int) -> DataFrame:
 
 
 def _asked(tokens: np.ndarray, at: np.ndarray, depth: int, gate):
-    """(places, keys) of the contexts before each place, and of these with the symbol there, that the gate lets pass."""
+    """(places, keys) of the contexts before each place, and of these with the symbol there, that may be in the model.
+
+    The suffixes of a kept context are kept, and those of a listed pair listed, so longer ones are
+    asked for only where the gate let the shorter ones pass.
+    """
     grams = _grams(tokens, depth + 1)
+    state = pair = np.ones(len(tokens) + 1, dtype=bool)
     for k in range(1, depth + 1):
         n = len(grams[k])
-        if n:
-            ok = ngram_places(at, k + 1)
-            for keys in (grams[k - 1][:n] ^ _U(STATE), grams[k] ^ _U(PAIR)):
-                some = np.flatnonzero(passes(gate, keys) & ok)
-                yield some, keys[some]
+        if not n:
+            return
+        states, pairs = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+        for mask, out, keys in ((ngram_places(at, k + 1) & state[1:n + 1], states, grams[k - 1][:n] ^ _U(STATE)),
+                                (pair[1:n + 1], pairs, grams[k] ^ _U(PAIR))):
+            some = np.flatnonzero(mask if out is states else mask & states)
+            some = some[passes(gate, keys[some])]
+            out[some] = True
+            yield some, keys[some]
+        state, pair = states, pairs
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte plane by byte plane: the upper planes are nearly all zero and compress."""
+    return np.diff(keys, prepend=_U(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
 
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(_U).ravel(), dtype=_U)
 
-def _block_keys(blocks: DataFrame, depth: int, gate) -> DataFrame:
-    """``block, key``: what the scores of each block ask for, once a block and task."""
+
+def _block_keys(blocks: DataFrame, depth: int, gate, ranges: int) -> DataFrame:
+    """``block, range, keys``: the sorted keys that the scores of a block ask for, in one row a range of keys."""
     def local(batches):
         block, held, fresh = None, np.zeros(0, _U), []
 
         def rows():
             keys = np.unique(np.concatenate([held, *fresh]))
-            for i in range(0, len(keys), KEY_ROWS):
-                some = signed(keys[i:i + KEY_ROWS])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), some], ["block", "key"])
+            number = ((keys >> _U(32)) * _U(ranges) >> _U(32)).astype(np.int64)
+            first = np.flatnonzero(np.diff(number, prepend=-1))
+            parts = [_packed(x) for x in np.split(keys, first[1:])] if len(first) else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(first), block)), pa.array(number[first]), pa.array(parts, pa.binary())], ["block", "range", "keys"])
 
         for batch in batches:
             number = batch.column(0).to_numpy()
@@ -231,7 +255,7 @@ def _block_keys(blocks: DataFrame, depth: int, gate) -> DataFrame:
             for start, stop in zip(edges[:-1], edges[1:], strict=True):
                 if number[start] != block:
                     if block is not None:
-                        yield from rows()
+                        yield rows()
                     block, held, fresh = number[start], np.zeros(0, _U), []
                 for piece in word_slices(batch.column(1).slice(start, stop - start)):
                     if not piece.rows:
@@ -241,22 +265,41 @@ def _block_keys(blocks: DataFrame, depth: int, gate) -> DataFrame:
                     if sum(map(len, fresh)) > max(KEY_ROWS, len(held)):
                         held, fresh = np.unique(np.concatenate([held, *fresh])), []
         if block is not None:
-            yield from rows()
+            yield rows()
+
+    return blocks.select("block", "text").mapInArrow(local, "block bigint, range bigint, keys binary")
+
+
+def _found(asked: DataFrame, values: DataFrame, ranges: int) -> DataFrame:
+    """``block, keys, v``: of each row of ``asked`` the keys that the model holds, with their values."""
+    def look(rows: pa.Table, known: pa.Table) -> pa.Table:
+        table = Table(unsigned(known.column("key").to_numpy()), known.column("v").to_numpy(), 17)
+        keys, v = [], []
+        for data in rows.column("keys"):
+            some = _unpacked(data.as_py())
+            there, value = table.look(some)
+            keys.append(_packed(some[there]))
+            v.append(value[there].tobytes())
+        return pa.table([rows.column("block"), pa.array(keys, pa.binary()), pa.array(v, pa.binary())], ["block", "keys", "v"])
 
-    return blocks.select("block", "text").mapInArrow(local, "block bigint, key bigint")
+    known = values.select("key", "v", F.shiftright(F.shiftrightunsigned("key", 32) * F.lit(ranges).cast("bigint"), 32).alias("range"))
+    return asked.groupBy("range").cogroup(known.groupBy("range")).applyInArrow(look, "block bigint, keys binary, v binary")
 
 
-def score_texts(texts: DataFrame, model: dict, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_texts(texts: DataFrame, model: dict, block_bytes: int = BLOCK_BYTES, range_keys: int = RANGE_KEYS) -> DataFrame:
     """``id, n_tokens, n_known, base_score, score`` of every (text, id) row."""
     values, depth = model["values"], model["depth"]
     gate = build_gate(values.where(F.col("kind") == 1), "key")
+    ranges = values.count() // range_keys + 1
     unknown = math.log10(0.5 / model["z"])
     id_type = texts.schema["id"].dataType.simpleString()
     blocks = _blocks(texts, block_bytes)
-    found = _block_keys(blocks, depth, gate).join(values.select("key", "v"), "key")
+    found = _found(_block_keys(blocks, depth, gate, ranges), values, ranges)
 
     def scored(rows: pa.Table, known: pa.Table) -> pa.Table:
-        table = Table(unsigned(known.column("key").to_numpy()), known.column("v").to_numpy())
+        keys = [_unpacked(x.as_py()) for x in known.column("keys")]
+        v = [np.frombuffer(x.as_py()) for x in known.column("v")]
+        table = Table(np.concatenate([np.zeros(0, _U), *keys]), np.concatenate([np.zeros(0), *v]))
         parts = []
         for piece in word_slices(rows.column("text")):
             if not piece.rows:
@@ -265,10 +308,10 @@ def score_texts(texts: DataFrame, model: dict, block_bytes: int = BLOCK_BYTES) -
             there, v = table.look(tokens)
             n = np.diff(at)
             base = _sums(at, v) + n * unknown
-            extra = np.zeros(len(tokens) + 1)
+            extra = np.zeros(len(tokens))
             for some, keys in _asked(tokens, at, depth, gate.value):
                 extra[some] += table.look(keys)[1]
-            parts.append((n, _sums(at, there).astype(np.int64), base, base + _sums(at, extra[:-1])))
+            parts.append((n, _sums(at, there).astype(np.int64), base, base + _sums(at, extra)))
         columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0)] * 4
         return pa.table([rows.column("id"), *map(pa.array, columns)], ["id", "n_tokens", "n_known", "base_score", "score"])
 

@@ -72,7 +72,7 @@ def test_blocks_of_any_size_give_the_same_scores(spark, documents):
     model = grow(documents.select("text", fold("doc_id").alias("training")), min_count=3, min_gain=5.0)
     rows = documents.select("text", F.col("doc_id").alias("id"))
     a = {r.id: r for r in score_texts(rows, model).collect()}
-    b = {r.id: r for r in score_texts(rows.repartition(3), model, block_bytes=20_000).collect()}
+    b = {r.id: r for r in score_texts(rows.repartition(3), model, block_bytes=20_000, range_keys=100).collect()}
     assert len(a) == len(b) == rows.count()
     for i, r in a.items():
         assert (r.n_tokens, r.n_known) == (b[i].n_tokens, b[i].n_known)
