@@ -13,13 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from driftlog.session import checkpoint_root
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:
-    """``frame`` as a Parquet table in the shared folder, read back."""
-    path = shared_folder(frame.sparkSession, name)
-    frame.write.parquet(path)
+    """``frame`` as a Parquet table in the shared folder, read back; the shuffles of the write are let go with its end."""
+    path, conf = shared_folder(frame.sparkSession, name), frame.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -49,7 +49,7 @@ MIN_GAIN = 12.0
 DISCOUNT = 0.75
 BLOCK_BYTES = 1 << 25      # text of a block: what one task scores at a time
 RANGE_KEYS = 1 << 19       # values of the model in a range of keys, on average
-KEY_ROWS = 1 << 18
+KEY_ROWS = 1 << 22         # keys sorted at a time, at least
 
 _U = np.uint64
 #: keys of contexts and of pairs of a context and its next symbol, apart from each other and from words
@@ -226,6 +226,11 @@ def _asked(tokens: np.ndarray, at: np.ndarray, depth: int, gate):
         state, pair = states, pairs
 
 
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    keys = np.sort(np.concatenate(parts))
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
 def _packed(keys: np.ndarray) -> bytes:
     """Sorted keys as differences, byte plane by byte plane: the upper planes are nearly all zero and compress."""
     return np.diff(keys, prepend=_U(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -242,7 +247,7 @@ def _block_keys(blocks: DataFrame, depth: int, gate, ranges: int) -> DataFrame:
         block, held, fresh = None, np.zeros(0, _U), []
 
         def rows():
-            keys = np.unique(np.concatenate([held, *fresh]))
+            keys = _distinct([held, *fresh])
             number = ((keys >> _U(32)) * _U(ranges) >> _U(32)).astype(np.int64)
             first = np.flatnonzero(np.diff(number, prepend=-1))
             parts = [_packed(x) for x in np.split(keys, first[1:])] if len(first) else []
@@ -261,9 +266,9 @@ def _block_keys(blocks: DataFrame, depth: int, gate, ranges: int) -> DataFrame:
                     if not piece.rows:
                         continue
                     tokens, at = _tokens(piece)
-                    fresh.append(np.unique(np.concatenate([tokens, *(keys for _, keys in _asked(tokens, at, depth, gate.value))])))
+                    fresh += [tokens, *(keys for _, keys in _asked(tokens, at, depth, gate.value))]
                     if sum(map(len, fresh)) > max(KEY_ROWS, len(held)):
-                        held, fresh = np.unique(np.concatenate([held, *fresh])), []
+                        held, fresh = _distinct([held, *fresh]), []
         if block is not None:
             yield rows()
 
