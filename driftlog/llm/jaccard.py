@@ -12,19 +12,28 @@ shingles; equal sets are one node. Two nodes link when their similarity is
    every link lies within some region. Unrelated texts share no such part;
    in the plain Jaccard space they all lie at distance 1 of any pivot, and no
    pivot would part them.
-2. **Pivots.** Each round picks pivots in every region (``PIVOTS`` of them on
-   average, one at least). A node's distance to a pivot is first bounded from
-   below by the L1 distance of their sketches (shingles counted over
-   ``SKETCH`` cells: a contraction of the symmetric difference), and then
+2. **First pivot.** Every region gets a pivot. A node's distance to it is first
+   bounded from below by the Hamming distance of their sketches (one parity
+   bit per cell of the hash space, about as many cells as shingles: a
+   contraction of the symmetric difference), and where that allows a link
    computed exactly. Linked nodes join components; pairs within a component
-   need no look from then on.
-3. **Triangle windows and recursion.** A node outside the first pivot's
-   component can link to one inside only if their distances to the pivot
-   differ by the radius at most: the nodes outside, with the inside nodes of
-   that window, are the next smaller region, which gets pivots of its own. A
-   region whose nodes are all in one component is done. After the last round
-   what remains of a region is compared by sizes and sketches, and the close
-   pairs of different components exactly.
+   need no look from then on. A node outside the pivot's component can link to
+   one inside only if their distances to the pivot differ by the radius at
+   most, so inside nodes beyond that window leave the region. A region whose
+   nodes are all in one component is done; of regions of equal nodes one stays.
+3. **Voronoi cells and recursion.** A region of more than ``LEAF`` nodes gets
+   ``PIVOTS`` pivots on average; each is held against all of the region
+   exactly, as before, and leaves it. Every other node goes to the cell of its
+   nearest pivot in the Hamming metric of the sketches, and, by the triangle
+   inequality, as a guest to each cell of a smaller pivot that is farther by
+   twice the node's largest difference at most: two linked nodes always meet
+   in the cell of the smaller of their pivots. Cells are the next regions,
+   where they at least halve the pairs of their region.
+4. **Leaves.** Regions of ``LEAF`` nodes or fewer, and regions that cells don't
+   part (every node within the window of every pivot), are dealt into blocks
+   of about ``LEAF`` nodes; each two blocks meet in one bounded group, which
+   hands on the pairs of different components that sizes and sketches allow.
+   Those are compared exactly.
 
 All steps are exact (64-bit hashes stand for shingles), and none forms all
 pairs of a group of copies: each costs a row a region and round. A bitmap of
@@ -51,8 +60,9 @@ from driftlog.llm.gates import build_gate, passes
 from driftlog.llm.scratch import written
 from driftlog.llm.words import mix, ngram_places, ngrams, signed, word_slices
 
-SKETCH = 64
-PIVOTS = (1, 4)       # by round
+MOST_BITS = 13        # a sketch has at most 2 ** MOST_BITS bits
+PIVOTS = 4            # of a region to be parted, on average
+LEAF = 512            # nodes of a region, or of a block, that are compared directly
 LEAST_PART = 8        # parts of fewer shingles are left out where enough larger ones remain
 SPREAD = 1.4          # parts as a multiple of the differences that links allow, plus one
 _U = np.uint64
@@ -148,12 +158,49 @@ def _offers(bands: Bands, at: np.ndarray, row: np.ndarray, key: np.ndarray):
     return np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
 
 
-def _sketches(at: np.ndarray, row: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Shingles per cell, at most 255 each (saturation keeps the L1 distance a lower bound)."""
-    n = len(at) - 1
-    cell = (mix(key + _U(0x77)) >> _U(58)).astype(np.int64)
-    counts = np.bincount(row * SKETCH + cell, minlength=n * SKETCH).reshape(n, SKETCH)
-    return np.minimum(counts, 255).astype(np.uint8)
+def _sketches(at: np.ndarray, row: np.ndarray, key: np.ndarray) -> pa.Array:
+    """Parity bits of the shingles per cell; a sketch of half the length is the XOR of its halves."""
+    n = np.diff(at)
+    bits = 1 << np.clip(np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), 6, MOST_BITS)
+    start = np.concatenate([[0], np.cumsum(bits)])
+    cell = (mix(key + _U(0x77)) & (bits[row] - 1).astype(_U)).astype(np.int64)
+    odd = (np.bincount(start[row] + cell, minlength=start[-1]) & 1).astype(np.uint8)
+    data = np.packbits(odd, bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((start // 8).astype(np.int32)), pa.py_buffer(data)])
+
+
+def _folded(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches of one length as rows of 64-bit words, folded to ``width`` bytes."""
+    x = np.frombuffer(b"".join(sketches), dtype=_U).reshape(len(sketches), -1)
+    while x.shape[1] * 8 > width:
+        half = x.shape[1] // 2
+        x = x[:, :half] ^ x[:, half:]
+    return x
+
+
+def _by_length(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches of any lengths, folded to ``width`` bytes."""
+    out = np.zeros((len(sketches), width // 8), dtype=_U)
+    lengths = np.array([len(s) for s in sketches])
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        out[at] = _folded([sketches[i] for i in at], width)
+    return out
+
+
+def _hamming(*columns):
+    """Differing bits of two sketches folded to a width in bytes; at most the symmetric difference of the sets."""
+    @F.arrow_udf("bigint")
+    def differing(a: pa.Array, b: pa.Array, width: pa.Array) -> pa.Array:
+        x, y, width = a.to_pylist(), b.to_pylist(), width.to_numpy(zero_copy_only=False)
+        out = np.zeros(len(width), dtype=np.int64)
+        for w in np.unique(width):
+            at = np.flatnonzero(width == w)
+            differ = _by_length([x[i] for i in at], int(w)) ^ _by_length([y[i] for i in at], int(w))
+            out[at] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+        return pa.array(out)
+
+    return differing(*columns)
 
 
 def _described(texts: DataFrame, k: int) -> DataFrame:
@@ -162,10 +209,9 @@ def _described(texts: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for first, at, row, key in _sets(batch.column(1), k):
                 rows = len(at) - 1
-                sketch = _sketches(at, row, key)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, rows), pa.array(np.diff(at)), signed(_nodes(at, key)),
-                     pa.array([s.tobytes() for s in sketch], pa.binary())], ["id", "n", "node", "sketch"])
+                     _sketches(at, row, key)], ["id", "n", "node", "sketch"])
 
     return texts.mapInArrow(local, "id bigint, n bigint, node bigint, sketch binary")
 
@@ -194,23 +240,13 @@ def _region_rows(texts: DataFrame, k: int, bands: Bands) -> DataFrame:
     return texts.select("text").mapInArrow(rows, "region bigint, node bigint").distinct()
 
 
-def _far(num: int, den: int):
-    """Arrow function (sketch, sketch, n, n) -> least L1 distance, or null where a link is impossible."""
-    @F.arrow_udf("bigint")
-    def least(a: pa.Array, b: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
-        x = np.frombuffer(b"".join(a.to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-        y = np.frombuffer(b"".join(b.to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-        return pa.array(np.abs(x - y).sum(axis=1, dtype=np.int64))
-
-    return least
-
-
 def _measured(pairs: DataFrame, described: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """``a, b, far, linked, distance`` of each distinct pair of nodes; a far pair's distance is a lower bound."""
     one = described.select("node", "n", "sketch")
     near = (pairs.join(one.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
             .join(one.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
-            .withColumn("l1", F.greatest(_far(num, den)("sa", "sb", "na", "nb"), F.abs(F.col("na") - F.col("nb"))))
+            .withColumn("l1", F.greatest(_hamming("sa", "sb", F.least(F.octet_length("sa"), F.octet_length("sb"))),
+                                          F.abs(F.col("na") - F.col("nb"))))
             .select("a", "b", "na", "nb", "l1", (F.col("l1") * (den + num) > (den - num) * (F.col("na") + F.col("nb"))).alias("far")))
     near = written(near, "near")
     wanted = near.where("not far")
@@ -242,28 +278,35 @@ def _measured(pairs: DataFrame, described: DataFrame, texts: DataFrame, k: int,
     return written(exact.unionAll(bound), "measured")
 
 
-def _rest_pairs(rest: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of what is left of each region that their sizes and sketches allow, of different components."""
+def _leaf_pairs(leaves: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of the leaves that sizes and sketches allow, of different components; two blocks a group."""
     import pandas as pd
 
     def close(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("n", kind="stable")
-        n, node, part = frame["n"].to_numpy(), frame["node"].to_numpy(), frame["part"].to_numpy()
-        s = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-        a, b = [], []
-        for i in range(len(n) - 1):
-            stop = int(np.searchsorted(n, n[i] * den // num, side="right"))
-            j = np.arange(i + 1, max(i + 1, stop))
-            j = j[part[j] != part[i]]
-            l1 = np.abs(s[j] - s[i]).sum(axis=1, dtype=np.int64)
-            j = j[l1 * (den + num) <= (den - num) * (n[i] + n[j])]
-            a.append(np.full(len(j), node[i]))
-            b.append(node[j])
-        return pd.DataFrame({"a": np.concatenate(a) if a else np.zeros(0, np.int64),
-                             "b": np.concatenate(b) if b else np.zeros(0, np.int64)})
-
-    rows = rest.join(described.select("node", "n", "sketch"), "node")
-    return rows.select("region", "node", "n", "sketch", "part").groupBy("region") \
+        n, node, part, block = (frame[c].to_numpy() for c in ("n", "node", "part", "block"))
+        sketches = list(frame["sketch"])
+        s = _by_length(sketches, min(map(len, sketches)))
+        across = block.min() != block.max() or bool(frame["i"].iat[0] != frame["j"].iat[0])
+        pairs = [np.zeros((0, 2), dtype=np.int64)]
+        step = max(1, (1 << 21) // (s.size or 1))
+        for i in range(0, len(n), step):
+            k = np.arange(i, min(i + step, len(n)))[:, None]
+            may = (part[k] != part) & (n[k] * den >= n * num) & (n * den >= n[k] * num)
+            may &= (block[k] < block) if across else (k < np.arange(len(n)))
+            x, y = np.nonzero(may)
+            x = x + i
+            differ = np.bitwise_count(s[x] ^ s[y]).sum(axis=1, dtype=np.int64)
+            some = differ * (den + num) <= (den - num) * (n[x] + n[y])
+            x, y = node[x[some]], node[y[some]]
+            pairs.append(np.stack([np.maximum(x, y), np.minimum(x, y)], axis=1))
+        return pd.DataFrame(np.concatenate(pairs), columns=["a", "b"])
+
+    sizes = leaves.groupBy("region").agg(F.ceil(F.count("*") / LEAF).cast("int").alias("blocks"))
+    rows = (leaves.join(sizes, "region").join(described.select("node", "n", "sketch"), "node")
+            .withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}))
+    return rows.select("region", "i", "j", "block", "node", "n", "sketch", "part").groupBy("region", "i", "j") \
         .applyInPandas(close, "a bigint, b bigint").distinct()
 
 
@@ -273,42 +316,66 @@ def _labelled(rest: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _unsettled(rest: DataFrame) -> DataFrame:
-    """The rows of regions that still hold nodes of two components or more."""
+    """``region, node, part, size`` of regions with two components or more; of regions of the same nodes one stays."""
     rest = written(rest, "regions")
-    open_ = rest.groupBy("region").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("region")
-    return written(rest.join(open_, "region", "left_semi"), "unsettled")
+    open_ = (rest.groupBy("region").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("size"),
+                                        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+             .where("a <> b").groupBy("size", "x", "y").agg(F.min("region").alias("region")).select("region", "size"))
+    return written(rest.join(open_, "region"), "unsettled")
 
 
-def _pivot_round(rest: DataFrame, turn: int, pivots: int, described: DataFrame, texts: DataFrame, k: int, num: int,
-                 den: int, links: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(links to pivots, rows of the regions that are left, components so far) of one round."""
+def _first_pivot(rest: DataFrame, described: DataFrame, texts: DataFrame, k: int, num: int,
+                 den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links to the pivots, rows of the regions that are left, components so far); every node is a component still."""
     radius = 1 - num / den
-    order = F.xxhash64("node", F.lit(turn))
-    first = rest.groupBy("region").agg(F.count("*").alias("size"), F.min(F.struct(order.alias("o"), "node", "part")).alias("p")) \
-        .select("region", "size", F.col("p.node").alias("first"), F.col("p.part").alias("first_part"))
-    marked = rest.join(first, "region").withColumn(
-        "is_pivot", (F.col("node") == F.col("first")) | (F.pmod(F.xxhash64("node", F.lit(turn + 100)), F.col("size")) < pivots - 1))
-    marked = written(marked, "marked")
-    chosen = marked.where("is_pivot").select("region", F.col("node").alias("pivot"), F.col("part").alias("pivot_part"))
-    pairs = (marked.select("region", "node", "part").join(chosen, "region").where("part <> pivot_part")
-             .select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct())
-    measured = _measured(pairs, described, texts, k, num, den)
+    first = rest.groupBy("region").agg(F.min(F.struct(F.xxhash64("node").alias("o"), "node")).alias("p")) \
+        .select("region", F.col("p.node").alias("first"))
+    marked = written(rest.join(first, "region").where("node <> first")
+                     .withColumns({"a": F.greatest("node", "first"), "b": F.least("node", "first")}), "marked")
+    measured = _measured(marked.select("a", "b").distinct(), described, texts, k, num, den)
     found = measured.where("linked").select("a", "b")
-    roots = components(found if links is None else links.unionAll(found))
-    to_first = measured.select(F.col("a").alias("x"), F.col("b").alias("y"), "distance", "far")
-    placed = (marked.withColumns({"x": F.greatest("node", "first"), "y": F.least("node", "first")})
-              .join(to_first, ["x", "y"], "left")
+    roots = components(found)
+    placed = (marked.join(measured.select("a", "b", "distance", "far"), ["a", "b"])
               .join(roots, "node", "left").withColumn("now", F.coalesce("root", "node")).drop("root")
               .join(roots.select(F.col("node").alias("first"), F.col("root").alias("first_root")), "first", "left")
               .withColumn("inside", F.col("now") == F.coalesce("first_root", "first")))
-    placed = written(placed.select("region", "node", "is_pivot", "distance", "far", "inside"), "placed")
+    placed = written(placed.select("region", "node", "distance", "far", "inside"), "placed")
     edge = placed.where("not inside").groupBy("region").agg(F.min("distance").alias("nearest"))
-    # an inside node whose distance is not known, or only from below, stays too
-    known = F.col("inside") & F.coalesce(~F.col("far"), F.lit(False))
-    window = ~known | (F.col("distance") >= F.col("nearest") - radius - 1e-9)
-    # every pivot has been held against all nodes of other components
-    left = placed.where("not is_pivot").join(edge, "region").where(window).select("region", "node", F.col("node").alias("part"))
-    return found, left, roots
+    # an inside node whose distance is known only from below stays too
+    window = ~F.col("inside") | F.col("far") | (F.col("distance") >= F.col("nearest") - radius - 1e-9)
+    return found, placed.join(edge, "region").where(window).select("region", "node"), roots
+
+
+def _voronoi(rest: DataFrame, turn: int, described: DataFrame, texts: DataFrame, k: int, num: int, den: int,
+             links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(links to pivots, rows of the cells, rows of regions that cells don't part, components so far)."""
+    rows = rest.join(described.select("node", "n", "sketch"), "node")
+    one = rows.groupBy("region").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node")).alias("p"),
+                                     F.min(F.octet_length("sketch")).alias("width"))
+    marked = written(rows.join(one, "region").withColumn(
+        "is_pivot", (F.col("node") == F.col("p.node"))
+        | (F.pmod(F.xxhash64("node", F.lit(turn), F.lit("pivot")), F.col("size")) < PIVOTS - 1)).drop("p"), "marked")
+    pivots = marked.where("is_pivot").select("region", F.col("node").alias("pivot"), F.col("part").alias("pivot_part"),
+                                             F.col("sketch").alias("pivot_sketch"))
+    held = written(marked.join(pivots, "region").where("node <> pivot").select(
+        "region", "node", "n", "part", "size", "is_pivot", "pivot", "pivot_part",
+        _hamming("sketch", "pivot_sketch", "width").alias("h")), "held")
+    pairs = held.where("part <> pivot_part").select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b"))
+    found = _measured(pairs.distinct(), described, texts, k, num, den).where("linked").select("a", "b")
+    roots = components(links.unionAll(found))
+    # linked nodes differ in (den - num) / num of the smaller set's size at most
+    most = F.floor((den - num) * F.col("n") / num)
+    home = held.groupBy("region", "node").agg(F.min(F.struct("h", "pivot")).alias("home"))
+    cells = held.where("not is_pivot").join(home, ["region", "node"]).where(
+        (F.col("pivot") == F.col("home.pivot"))
+        | ((F.col("pivot") < F.col("home.pivot")) & (F.col("h") <= F.col("home.h") + 2 * most)))
+    cells = written(cells.select("region", "node", "size", "pivot"), "cells")
+    work = (cells.groupBy("region", "size", "pivot").agg(F.count("*").cast("double").alias("c"))
+            .groupBy("region", "size").agg(F.sum(F.col("c") * F.col("c")).alias("pairs")))
+    parted = work.where(2 * F.col("pairs") <= F.col("size").cast("double") * F.col("size")).select("region")
+    inner = cells.join(parted, "region", "left_semi").select(F.xxhash64("region", "pivot").alias("region"), "node")
+    whole = marked.where("not is_pivot").join(parted, "region", "left_anti").select("region", "node")
+    return found, inner, written(whole, "whole"), roots
 
 
 def similar_groups(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_column: str = "doc_id",
@@ -320,18 +387,22 @@ def similar_groups(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, i
     largest = rows.agg(F.max("n")).first()[0] or 1
     bands = Bands(num, den, largest)
     rest = _unsettled(_region_rows(texts, k, bands).withColumn("part", F.col("node")))
-    links, roots = None, None
-    for turn, pivots in enumerate(PIVOTS):
-        found, rest, roots = _pivot_round(rest, turn, pivots, described, texts, k, num, den, links)
-        links = found if links is None else links.unionAll(found)
-        rest = _unsettled(_labelled(rest.drop("part"), roots))
-        if rest.isEmpty():
-            break
-    else:
-        pairs = written(_rest_pairs(rest, described, num, den), "pairs")
-        if not pairs.isEmpty():
-            links = links.unionAll(_measured(pairs, described, texts, k, num, den).where("linked").select("a", "b"))
-            roots = components(links)
+    links, left, roots = _first_pivot(rest, described, texts, k, num, den)
+    rest = _unsettled(_labelled(left, roots))
+    leaves, turn = rest.where(F.col("size") <= LEAF).select("region", "node"), 0
+    rest = rest.where(F.col("size") > LEAF)
+    while not rest.isEmpty():
+        turn += 1
+        found, inner, whole, roots = _voronoi(rest, turn, described, texts, k, num, den, links)
+        links = links.unionAll(found)
+        rest = _unsettled(_labelled(inner, roots))
+        leaves = leaves.unionAll(whole).unionAll(rest.where(F.col("size") <= LEAF).select("region", "node"))
+        rest = rest.where(F.col("size") > LEAF)
+    leaves = _unsettled(_labelled(leaves, roots)).drop("size")
+    pairs = written(_leaf_pairs(leaves, described, num, den), "pairs")
+    if not pairs.isEmpty():
+        links = links.unionAll(_measured(pairs, described, texts, k, num, den).where("linked").select("a", "b"))
+        roots = components(links)
     named = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
     labels = (named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     least = labels.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -3,8 +3,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from driftlog.llm.jaccard import Bands, similar_groups
+from driftlog.llm import jaccard
 from driftlog.llm.components import components
+from driftlog.llm.jaccard import Bands, similar_groups
 
 from .conftest import words
 
@@ -72,6 +73,44 @@ def test_equals_brute_force(spark, copies, k, num, den):
     assert got == brute(copies, k, num, den)
 
 
+@pytest.mark.parametrize("k, num, den", [(3, 90, 100), (1, 50, 100)])
+def test_cells_and_blocks_equal_brute_force(spark, copies, monkeypatch, k, num, den):
+    """Regions beyond a few nodes go through Voronoi cells and blocks."""
+    monkeypatch.setattr(jaccard, "LEAF", 6)
+    frame = spark.createDataFrame(copies, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(frame, k, num, den).collect()}
+    assert got == brute(copies, k, num, den)
+
+
+def test_hot_region_of_unlinked_texts(spark, monkeypatch):
+    """Copies of one text, each edited alike much: most pairs are near the threshold and few link."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(200)]
+    texts = [edited(rng, list(base), int(rng.integers(4, 9))) for _ in range(300)]
+    texts += [edited(rng, t, 1) for t in texts[:40]] + [[f"v{i}" for i in range(200)] for _ in range(5)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for leaf in (512, 40):
+        monkeypatch.setattr(jaccard, "LEAF", leaf)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(frame).collect()}
+        assert got == brute(rows, 3, 90, 100)
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(3)
+    sizes = [0, 1, 5, 70, 400, 400, 9000]
+    sets = [np.unique(rng.integers(0, 20_000, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for n in sizes]
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    sketches = jaccard._sketches(at, np.repeat(np.arange(len(sets)), np.diff(at)), np.concatenate(sets)).to_pylist()
+    assert [len(s) for s in sketches] == [8, 8, 8, 16, 64, 64, 1024]
+    for x, a in zip(sets, sketches):
+        for y, b in zip(sets, sketches):
+            width = min(len(a), len(b))
+            u, v = jaccard._by_length([a, b], width)
+            differ = int(np.bitwise_count(u ^ v).sum())
+            assert differ <= len(np.setxor1d(x, y)) and (differ - len(np.setxor1d(x, y))) % 2 == 0
+
+
 def test_equals_brute_force_on_documents(spark, documents):
     rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(documents).collect()}
