@@ -31,8 +31,8 @@ from driftlog.sources.kafka import drop_replays, kafka_frame
 from driftlog.session import scratch_path
 from driftlog.sources.archive import archive_records, archive_stream, drain
 from driftlog.streaming.sinks import append_documents, read_store, upsert_documents, with_write_metrics
-from driftlog.sources.records import (DEFAULT_PARTITIONS, DEFAULT_TOPIC, file_records, records_from_events,
-                                      visitor_events)
+from driftlog.sources.records import (DEFAULT_PARTITIONS, DEFAULT_TOPIC, file_records, in_offset_order,
+                                      records_from_events, visitor_events)
 from driftlog.streaming.jobs import daily_visitors, flatten_append, flatten_upsert, read_visitors
 from driftlog.sources.tables import read_table
 
@@ -43,7 +43,7 @@ SEARCH_QUERY = "whst erth"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "events"))
+    return spread(read_table(spark, sf_dir, "events"), cut=True)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,16 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_from_events(_events(spark, sf_dir))
 
 
+def _tasks(spark: SparkSession, df: DataFrame) -> int:
+    return max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+
+
+def _records_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records, dealt and sorted by offset before their values are built."""
+    events = read_table(spark, sf_dir, "events")
+    return records_from_events(in_offset_order(events, _tasks(spark, events)))
+
+
 def _batch_of(ts_col: str = "timestamp"):
     """Micro-batch id of a record in the ledger scenarios: its UTC event day."""
     return day_number(instant_to_wall(F.col(ts_col)))
@@ -331,7 +341,7 @@ def q_daily_first_seen_stream(spark, sf_dir):
     base = _stream_dir(spark, "daily-visitors")
     # the month in three parts, written one after the other by as many tasks each: a batch each
     events = visitor_events(_events(spark, sf_dir))
-    tasks = max(events.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    tasks = _tasks(spark, events)
     for low, high in ((0, 11), (11, 21), (21, 99)):
         day = F.dayofmonth(F.timestamp_millis("ts"))
         events.where((day >= low) & (day < high)).repartition(tasks).write.mode("append").parquet(f"{base}/src")
@@ -368,10 +378,10 @@ def q_resume_stream(spark, sf_dir):
     a fresh checkpoint, starts at the offsets the ledger has saved, when the
     archive holds the rest too. The store has every record once."""
     base = _stream_dir(spark, "resume")
-    recs = _records(spark, sf_dir)
-    middle = recs.agg((F.max("offset") / 2).cast("long")).first()[0] or 0
+    recs = _records_in_order(spark, sf_dir)
+    middle = _records(spark, sf_dir).agg((F.max("offset") / 2).cast("long")).first()[0] or 0
     for n, part in enumerate((F.col("offset") < middle, F.col("offset") >= middle)):
-        archive_records(recs.where(part), f"{base}/topic")
+        archive_records(recs.where(part), f"{base}/topic", in_order=True)
         starting = seed_offsets(spark, f"{base}/ledger", GROUP, DEFAULT_TOPIC)
         src = archive_stream(spark, f"{base}/topic", f"{base}/ckpt{n}", starting)
         flatten_append(src, f"{base}/docs", f"{base}/ckpt{n}", ledger_path=f"{base}/ledger", group=GROUP,
@@ -392,7 +402,7 @@ def q_resume_archive(spark, sf_dir):
     offsets; equals ``resume_from`` of the same records and ledger at rest."""
     base = _stream_dir(spark, "resume-archive")
     recs = _records(spark, sf_dir)
-    archive_records(recs, f"{base}/topic")
+    archive_records(_records_in_order(spark, sf_dir), f"{base}/topic", in_order=True)
     cutoff = int(RESUME_AFTER_DAY.replace("-", ""))
     ledger = _ledger(recs).where(F.col("batch_id") <= cutoff)
     ledger.write.partitionBy("group", "topic", "run", "batch_id").parquet(f"{base}/ledger")
@@ -408,7 +418,7 @@ def q_capped_archive(spark, sf_dir):
     records a batch; the offset ranges of what arrived, every record once."""
     base = _stream_dir(spark, "capped")
     recs = _records(spark, sf_dir)
-    archive_records(recs, f"{base}/topic")
+    archive_records(_records_in_order(spark, sf_dir), f"{base}/topic", in_order=True)
     cap = -(-recs.count() // 5)
     src = archive_stream(spark, f"{base}/topic", f"{base}/ckpt", cap=cap)
     query = (src.writeStream.foreachBatch(lambda batch, n: _landed(batch, n, f"{base}/landed"))

@@ -38,16 +38,25 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 INDEX = "_index"
 INDEX_SCHEMA = "path string, topic string, partition int, from_offset long, until_offset long, records long"
 EARLIEST = -2   # in starting offsets: from the first record there is
+ROW_GROUP_BYTES = 8 << 20   # a task reads whole row groups: they are smaller than a task's range of offsets
 
 Offsets = dict[str, dict[str, int]]
 
 
 # --- writing ---
 
-def archive_records(records: DataFrame, path: str, records_per_file: int = 1_000_000) -> None:
-    """Append records to an archive, each file a stretch of few partitions' offsets, and index them."""
-    (records.repartitionByRange("topic", "partition", "offset").sortWithinPartitions("topic", "partition", "offset")
-     .write.mode("append").option("maxRecordsPerFile", records_per_file).parquet(path))
+def archive_records(records: DataFrame, path: str, records_per_file: int = 1_000_000, in_order: bool = False) -> None:
+    """Append records to an archive, each file a stretch of few partitions' offsets, and index them.
+
+    ``in_order``: the tasks of ``records`` hold such stretches already, sorted;
+    they are written as they are. (Else records are computed twice, once to
+    find the edges of the stretches.)
+    """
+    if not in_order:
+        at = ("topic", "partition", "offset")
+        records = records.repartitionByRange(*at).sortWithinPartitions(*at)
+    (records.write.mode("append").option("maxRecordsPerFile", records_per_file)
+     .option("parquet.block.size", ROW_GROUP_BYTES).parquet(path))
     index_archive(records.sparkSession, path)
 
 

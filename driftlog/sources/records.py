@@ -98,13 +98,25 @@ def envelope_json(line: Column, topic: str) -> Column:
     ))
 
 
+def _position(partitions: int) -> tuple[Column, Column]:
+    """Partition and offset of the record of an ``events`` row."""
+    return ((F.col("event_id") % partitions).cast("int"), F.floor(F.col("event_id") / partitions).cast("long"))
+
+
+def in_offset_order(events: DataFrame, tasks: int, partitions: int = DEFAULT_PARTITIONS) -> DataFrame:
+    """``events`` dealt and sorted as their records lie in a topic: rows of the table travel, not the larger records."""
+    at = _position(partitions)
+    return events.repartitionByRange(tasks, *at).sortWithinPartitions(*at)
+
+
 def records_from_events(events: DataFrame, topic: str = DEFAULT_TOPIC,
                         partitions: int = DEFAULT_PARTITIONS) -> DataFrame:
     """``events`` -> bus records ``(topic, partition, offset, timestamp, key, value)``."""
+    partition, offset = _position(partitions)
     return events.select(
         F.lit(topic).alias("topic"),
-        (F.col("event_id") % partitions).cast("int").alias("partition"),
-        F.floor(F.col("event_id") / partitions).cast("long").alias("offset"),
+        partition.alias("partition"),
+        offset.alias("offset"),
         wall_to_instant(F.col("ts")).alias("timestamp"),
         F.col("user_id").cast("string").alias("key"),
         envelope_json(line_struct(), topic).alias("value"),

@@ -100,7 +100,7 @@ def _write_index(docs: DataFrame, batch_id: int, index: tuple[str, str], id_col:
 def _process(batch: DataFrame, batch_id: int, mode: str, write_good, quarantine_path: str | None,
              ledger_path: str | None, group: str, columns: list[str] | None = None, run: int = 0,
              files: int | None = None, on_written: Callable[[int, int], None] | None = None) -> None:
-    if batch.isEmpty():    # looks for one record, undecoded
+    if not batch.select(F.lit(1)).take(1):    # looks for one record, undecoded; isEmpty() starts every task
         return
     # decoded once, by the tasks of the first write; the other writes read the result
     dec = _decoded_batch(batch, mode, columns or S.FACT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)

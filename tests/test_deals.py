@@ -1,0 +1,81 @@
+"""How tables are dealt to tasks before records are built from them."""
+
+from pyspark.sql import functions as F
+
+from driftlog.operators.parallel import spread
+from driftlog.sources.archive import INDEX, archive_records
+from driftlog.sources.records import in_offset_order
+from conftest import SF_SMALL
+
+
+def _rows_by_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_a_file_of_one_row_group_is_dealt_though_it_is_cut_in_many(spark, tmp_dir):
+    spark.range(4000).coalesce(1).write.parquet(f"{tmp_dir}/t")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in before:
+        spark.conf.set(k, "2000")
+    try:
+        table = spark.read.parquet(f"{tmp_dir}/t")
+        assert table.rdd.getNumPartitions() >= 4 and _rows_by_task(table) == [4000]
+        assert spread(table).rdd.getNumPartitions() == table.rdd.getNumPartitions()
+        dealt = _rows_by_task(spread(table, cut=True))
+        assert len(dealt) >= 4 and sum(dealt) == 4000 and max(dealt) <= 1100
+        many = spark.range(4000).repartition(8)
+        many.write.parquet(f"{tmp_dir}/many")
+        many = spark.read.parquet(f"{tmp_dir}/many")
+        assert spread(many, cut=True) is many
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_records_are_archived_in_order_and_computed_once(spark, tmp_dir):
+    events = spark.range(3000).select(F.col("id").alias("event_id")).repartition(5)
+    dealt = in_offset_order(events, 6).withColumn("task", F.spark_partition_id())
+    rows = [(r.task, r.event_id % 4, r.event_id // 4) for r in dealt.collect()]
+    assert len({t for t, _, _ in rows}) == 6 and [r[1:] for r in rows] == sorted(r[1:] for r in rows)
+
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def value(i):
+        computed.add(1)
+        return f"v{i}"
+
+    records = dealt.select(F.lit("t").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+                           F.floor(F.col("event_id") / 4).alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"),
+                           F.lit("k").alias("key"), value("event_id").alias("value"))
+    archive_records(records, f"{tmp_dir}/a", in_order=True)
+    assert computed.value == 3000
+    index = sorted(spark.read.parquet(f"{tmp_dir}/a/{INDEX}").select("partition", "from_offset", "until_offset").collect())
+    assert sum(until - first for _, first, until in index) == 3000      # stretches that do not overlap
+    assert all(a[0] < b[0] or a[2] <= b[1] for a, b in zip(index, index[1:]))
+
+
+def test_row_groups_of_an_archive_are_small(spark, tmp_dir):
+    """A task of a range of offsets reads the row groups it meets: not a whole file of them."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    noise = F.concat(*[F.sha2(F.concat("id", F.lit(str(i))), 512) for i in range(8)])
+    recs = spark.range(30_000).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+                                      F.lit(None).cast("timestamp").alias("timestamp"), F.lit("k").alias("key"), noise.alias("value"))
+    archive_records(recs.coalesce(1).sortWithinPartitions("offset"), f"{tmp_dir}/a", in_order=True)
+    (file,) = glob.glob(f"{tmp_dir}/a/*.parquet")
+    assert pq.ParquetFile(file).num_row_groups >= 3
+
+
+def test_resume_stream_hands_on_records_in_order(spark, monkeypatch):
+    from driftlog.plans import catalog
+
+    frames, write = [], catalog.archive_records
+    monkeypatch.setattr(catalog, "archive_records", lambda df, path, **kw: (frames.append((df, kw)), write(df, path, **kw)))
+    got = catalog.q_resume_stream(spark, SF_SMALL).count()
+    assert got == spark.read.parquet(f"{SF_SMALL}/events.parquet").count() == sum(df.count() for df, _ in frames)
+    for df, kw in frames:
+        rows = [(r.task, r.partition, r.offset) for r in df.withColumn("task", F.spark_partition_id()).collect()]
+        assert kw == {"in_order": True} and [r[1:] for r in rows] == sorted(r[1:] for r in rows)
