@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -220,8 +221,12 @@ def q_upsert_runs(spark, sf_dir):
     docs = _keyed_docs(spark, sf_dir).withColumnRenamed("batch_id", "day") \
         .select("uid", "day", "event_time", "partition", "offset", *S.DOC6_COLUMNS)
     before = F.col("day") <= int(RESUME_AFTER_DAY.replace("-", ""))
-    upsert_documents(docs.where(before), 0, store, "uid", run=1)
-    upsert_documents(docs.where(~before), 0, store, "uid", run=2)
+    docs = docs.persist(StorageLevel.MEMORY_AND_DISK)      # decoded once, by the first run's write
+    try:
+        upsert_documents(docs.where(before), 0, store, "uid", run=1)
+        upsert_documents(docs.where(~before), 0, store, "uid", run=2)
+    finally:
+        docs.unpersist()
     stored = read_store(spark, store, schema=T.StructType([
         *docs.schema.fields, T.StructField("run", T.LongType()), T.StructField("batch_id", T.LongType())]))
     latest = latest_documents(stored, "uid", order=["run", "batch_id", "day", "event_time", "partition", "offset"])

@@ -79,3 +79,13 @@ def test_resume_stream_hands_on_records_in_order(spark, monkeypatch):
     for df, kw in frames:
         rows = [(r.task, r.partition, r.offset) for r in df.withColumn("task", F.spark_partition_id()).collect()]
         assert kw == {"in_order": True} and [r[1:] for r in rows] == sorted(r[1:] for r in rows)
+
+
+def test_upsert_runs_decodes_once(spark, monkeypatch):
+    from driftlog.plans import catalog
+
+    held, write = [], catalog.upsert_documents
+    monkeypatch.setattr(catalog, "upsert_documents", lambda df, *a, **kw: (
+        held.append("InMemoryRelation" in df._jdf.queryExecution().withCachedData().toString()), write(df, *a, **kw)))
+    catalog.q_upsert_runs(spark, SF_SMALL).collect()
+    assert held == [True, True]
