@@ -357,10 +357,16 @@ def q_daily_first_seen_stream(spark, sf_dir):
     return read_visitors(spark, f"{base}/out")
 
 
-def _records_at_rest(spark, sf_dir, base: str) -> str:
-    """Write the derived records as files, as the data lies: the offline stand-in for a topic."""
+def _records_at_rest(spark, sf_dir, base: str, batches: int = 1) -> str:
+    """Write the derived records as files, as the data lies: the offline stand-in for a topic.
+
+    For ``batches`` that each take a share of the files, there is a file for every task of each.
+    """
     path = f"{base}/records"
-    _records(spark, sf_dir).write.mode("append").parquet(path)
+    events = _events(spark, sf_dir)
+    if batches > 1:
+        events = read_table(spark, sf_dir, "events").repartition(batches * _tasks(spark, events))
+    records_from_events(events).write.mode("append").parquet(path)
     return path
 
 
@@ -447,7 +453,7 @@ def q_flatten_upsert_stream(spark, sf_dir):
 
 def q_ledger_stream(spark, sf_dir):
     base = _stream_dir(spark, "ledger")
-    records = _records_at_rest(spark, sf_dir, base)
+    records = _records_at_rest(spark, sf_dir, base, batches=3)
     third = max(1, len(spark.read.parquet(records).inputFiles()) // 3)
     src = file_records(spark, records, stream=True, max_files_per_trigger=third)
     flatten_append(src, f"{base}/docs", f"{base}/ckpt", ledger_path=f"{base}/ledger",

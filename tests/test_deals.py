@@ -89,3 +89,14 @@ def test_upsert_runs_decodes_once(spark, monkeypatch):
         held.append("InMemoryRelation" in df._jdf.queryExecution().withCachedData().toString()), write(df, *a, **kw)))
     catalog.q_upsert_runs(spark, SF_SMALL).collect()
     assert held == [True, True]
+
+
+def test_ledger_stream_has_a_file_for_every_task_of_a_batch(spark, monkeypatch):
+    from driftlog.plans import catalog
+
+    seen, read = [], catalog.file_records
+    monkeypatch.setattr(catalog, "file_records", lambda spark, path, **kw: (
+        seen.append((len(spark.read.parquet(path).inputFiles()), kw["max_files_per_trigger"])), read(spark, path, **kw))[1])
+    catalog.q_ledger_stream(spark, SF_SMALL).collect()
+    tasks = spark.sparkContext.defaultParallelism
+    assert seen[0][0] >= 3 * tasks and seen[0][1] >= tasks
