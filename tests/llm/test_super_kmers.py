@@ -90,3 +90,36 @@ def test_query_equals_brute_force(spark):
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.op12_super_kmers(spark, SF).collect()}
     want = {i: (n, gone, hashlib.sha256(kept.encode()).hexdigest()) for (i, _), (n, gone, kept) in zip(docs, brute(docs))}
     assert got == want and any(x[1] for x in want.values())
+
+
+def test_hot_windows_leave_a_task_combined(monkeypatch):
+    """A task hands on each kind of hot window once, whatever the number of copies, and its first place."""
+    import numpy as np
+    import pyarrow as pa
+
+    from driftlog.llm import super_kmers
+    from driftlog.llm.super_kmers import _hot_windows
+
+    class Every:
+        @staticmethod
+        def passes(keys):
+            return np.ones(len(keys), dtype=bool)
+
+    class Hot:
+        value = Every()
+
+    def rows(copies, apart=""):
+        text = " ".join(f"x{i}" for i in range(90))
+        docs = [pa.record_batch([pa.array(range(b, b + 10)), pa.array([5] * 10),
+                                 pa.array([f"{text}{apart and apart + str(i)}" for i in range(b, b + 10)])], ["doc", "part", "text"])
+                for b in range(0, copies, 10)]
+        return [r for b in _hot_windows(20, Hot)(iter(docs[::-1])) for r in b.to_pylist()]
+
+    assert len(rows(200)) == len(rows(10)) == 71
+    assert sorted((r["doc"], r["part"], r["start"]) for r in rows(200)) == [(0, 5, p) for p in range(71)]
+    monkeypatch.setattr(super_kmers, "HELD", 500)
+    assert {(r["doc"], r["start"]) for r in rows(200)} == {(0, p) for p in range(71)}
+    least = {}
+    for r in rows(200, apart=" t"):         # one kind of its own a document, more than are held
+        least[r["hash"]] = min(least.get(r["hash"], (1000, 0)), (r["doc"], r["start"]))
+    assert len(least) == 71 + 200 and sum(v == (0, v[1]) for v in least.values()) == 72
