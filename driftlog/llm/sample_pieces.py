@@ -7,7 +7,7 @@ sharpened or flattened by ``alpha``; a segmentation's probability is the
 product of its weights over the sum for all segmentations, which a backward
 pass gives exactly. No piece crosses the start of a blank run or a line
 break, so the lattice falls into units there, and equal units of a slice of
-rows share one backward pass (and frequent ones over a worker's slices); the texts are never cut.
+rows share one backward pass (and frequent ones over a task's slices); the texts are never cut.
 
 ``k`` distinct segmentations are drawn as by Gumbel-perturbed A* search: the
 best path follows conditional maxima from the root with its perturbed value;
@@ -25,6 +25,8 @@ their samples; a null key counts as 0.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import zlib
 
 import numpy as np
@@ -40,7 +42,6 @@ STORE_UNITS = 200_000
 HEAD = 512              # steps of a path whose queue entries are looked at first
 _U = np.uint64
 _loaded: dict[tuple[str, float], "Vocabulary"] = {}
-_stores: dict[tuple[str, float], "Store"] = {}
 
 
 class Vocabulary:
@@ -81,12 +82,6 @@ def vocabulary(path: str, alpha: float) -> Vocabulary:
     return _loaded[path, alpha]
 
 
-def store(path: str, alpha: float) -> "Store":
-    if (path, alpha) not in _stores:
-        _stores[path, alpha] = Store(vocabulary(path, alpha))
-    return _stores[path, alpha]
-
-
 def decode(vocab: Vocabulary, ids: np.ndarray) -> bytes:
     """Text of a segmentation; the blank put before every text is taken off."""
     return _decoded(vocab, ids)[0].tobytes()[1:]
@@ -173,7 +168,7 @@ class Lattice:
 
 
 class Store:
-    """Lattices of units by hash: the first ``STORE_UNITS`` a worker meets stay, others last a slice.
+    """Lattices of units by hash: the first ``STORE_UNITS`` a task meets stay, others last a slice.
 
     A unit's edges are the same whether they were kept or made anew.
     """
@@ -481,18 +476,27 @@ def sampled_pieces(docs: DataFrame, path: str, k: int = 2, alpha: float = 1.0, i
     names = [id_column] + [x.split()[0] for x in SAMPLES.split(", ")] + ["ids"] * with_ids
 
     def local(batches):
-        lattice = store(path, alpha)
+        lattice = Store(vocabulary(path, alpha))
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
             keys = batch.column(2).to_numpy(zero_copy_only=False)
             for row, stop in row_slices(offsets, SAMPLE_SLICE):
                 yield _sample_rows(lattice, data, offsets[row:stop + 1], batch.column(0).slice(row, stop - row),
                                    keys[row:stop], k, with_ids, names)
+        del lattice
+        _give_back()
 
     return docs.select(F.col(id_column), F.col(text).alias("text"), F.coalesce(F.col(id_column).cast("bigint"), F.lit(0)).alias("key")) \
         .mapInArrow(local, f"{id_column} {kind}, {SAMPLES}" + (", ids array<int>" if with_ids else ""))
 
 
+def _give_back() -> None:
+    """What the worker has freed goes to the system: it stays for the tasks of other stages, and would hold it there."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):      # of the GNU C library alone
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _sample_rows(lattice, data, offsets, ids, keys, k, with_ids, names) -> pa.RecordBatch:
     """Output batch of one slice of rows."""
     size = np.diff(offsets)

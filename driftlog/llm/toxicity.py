@@ -84,7 +84,11 @@ def _document_counts(texts: DataFrame) -> DataFrame:
 
 
 def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts of some ids; few others are shuffled."""
+    """The texts of some ids; few others are shuffled.
+
+    Never joined by a handed-out table: what reads the texts in Python would share its tasks with the function here,
+    and a task with two of them holds two workers, which stay for the rest of the session.
+    """
     gate = build_gate(ids.select(F.xxhash64("id").alias("key")), "key")
 
     def local(batches):
@@ -92,7 +96,8 @@ def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.select(["id", "text"]).filter(pa.array(passes(bits, unsigned(batch.column(0).to_numpy()))))
 
-    return texts.select(F.xxhash64("id").alias("key"), "id", "text").mapInArrow(local, "id bigint, text string").join(ids, "id")
+    return texts.select(F.xxhash64("id").alias("key"), "id", "text").mapInArrow(local, "id bigint, text string") \
+        .join(ids.hint("merge"), "id")
 
 
 def _smallest(ids: DataFrame, most: int) -> DataFrame:

@@ -87,3 +87,20 @@ def test_model_pieces_cross_no_unit():
     vocab = S.vocabulary(PATH, 1.0)
     for p in vocab.pieces:
         assert b" " not in p.lstrip(b" ") and (len(p) < 2 or not set(p) & set(b"\n\t"))
+
+
+def test_workers_keep_no_lattices_after_their_tasks(spark, documents):
+    def held(batches):
+        import gc
+        import time
+
+        import pyarrow as pa
+        from driftlog.llm.sample_pieces import Store
+
+        rows = sum(b.num_rows for b in batches)
+        time.sleep(0.3)                    # every worker gets a task
+        yield pa.RecordBatch.from_pydict({"rows": [rows], "stores": [sum(isinstance(o, Store) for o in gc.get_objects())]})
+
+    assert S.sampled_pieces(documents.repartition(8), PATH).count() > 0
+    got = spark.range(16, numPartitions=16).mapInArrow(held, "rows bigint, stores bigint").collect()
+    assert sum(r.rows for r in got) == 16 and sum(r.stores for r in got) == 0

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from driftlog.llm.toxicity import _fit, _gradient, _risk, _Rows, score_documents, train
+from driftlog.llm.toxicity import _document_counts, _fit, _gradient, _risk, _Rows, _texts_of, score_documents, train
 
 from .conftest import EDGE
 
@@ -98,3 +98,14 @@ def test_edge_rows(spark, edge, none):
     no_labels = labels.limit(0)
     assert all(r.score < 1e-100 and r.predicted == 0 for r in score_documents(edge, no_labels).collect())
     assert score_documents(none, labels).collect() == []
+
+
+def test_a_task_counts_the_words_of_some_texts_with_one_python_worker(spark, documents):
+    texts = documents.select(F.col("doc_id").alias("id"), "text")
+    ids = texts.select("id").where("id % 3 = 0").distinct()       # small enough for Spark to hand it out
+    counts = _document_counts(_texts_of(texts, ids))
+    got = {r.w: r.n for r in counts.collect()}
+    assert got == {r.w: r.n for r in _document_counts(texts.where("id % 3 = 0")).collect()}
+    plan = counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    upper, _, lower = plan.rpartition("MapInArrow")
+    assert "MapInArrow" in upper and "Exchange" in upper[upper.rindex("MapInArrow"):] and "Scan" in lower
